@@ -118,20 +118,6 @@ def parse_rule_configs(lines: DataFrame) -> DataFrame:
         F.col("c.updatedBy").alias("updated_by"), F.col("c.updatedAt").alias("updated_ms"))
 
 
-def _param_problem(param: Param) -> Column:
-    value = F.col("params")[param.name]
-    got = F.concat(F.lit(", got "), value.cast("string"))
-    span = f"{bound_text(param.low)}..{bound_text(param.high)}"
-    problem = (F.when(value.isNull(), F.lit(f"missing param {param.name}"))
-               .when(~is_finite(value), F.concat(F.lit(f"{param.name} must be finite"), got))
-               .when(~value.between(param.low, param.high),
-                     F.concat(F.lit(f"{param.name} must be {span}"), got)))
-    if param.whole:
-        problem = problem.when(~is_whole(value),
-                               F.concat(F.lit(f"{param.name} must be a whole number"), got))
-    return problem
-
-
 def bound_text(x: float) -> str:
     """A bound as text: plain below ten million, with an exponent from there on."""
     if abs(x) < 1e7:
@@ -140,40 +126,63 @@ def bound_text(x: float) -> str:
     return f"{float(mantissa)}E{int(exponent)}"
 
 
+def _spec_rows(specs: Mapping[str, tuple[Param, ...]]) -> Column:
+    """The allowed parameters of the row's rule as an array of structs; null for an unknown rule."""
+    def row(p: Param) -> Column:
+        return F.struct(F.lit(p.name).alias("name"), F.lit(float(p.low)).alias("low"),
+                        F.lit(float(p.high)).alias("high"), F.lit(p.whole).alias("whole"),
+                        F.lit(f"{bound_text(p.low)}..{bound_text(p.high)}").alias("span"))
+
+    table = F.create_map(*[c for rule_id, params in specs.items()
+                           for c in (F.lit(rule_id), F.array(*[row(p) for p in params]))])
+    return table[F.col("rule_id")]
+
+
+def _value_problem(p: Column) -> Column:
+    """What is wrong with one parameter (a spec struct with its value), or null."""
+    name, value = p["name"], p["value"]
+    got = F.concat(F.lit(", got "), value.cast("string"))
+    return (F.when(value.isNull(), F.concat(F.lit("missing param "), name))
+            .when(~is_finite(value), F.concat(name, F.lit(" must be finite"), got))
+            .when((value < p["low"]) | (value > p["high"]),
+                  F.concat(name, F.lit(" must be "), p["span"], got))
+            .when(p["whole"] & ~is_whole(value),
+                  F.concat(name, F.lit(" must be a whole number"), got)))
+
+
 def problems(specs: Mapping[str, tuple[Param, ...]] = SPECS) -> Column:
-    """Every problem of a rule-config row, in order; an empty array for a valid row."""
-    none = F.array().cast("array<string>")
-    rule_id, version, weight = F.col("rule_id"), F.col("version"), F.col("weight")
-    known = ", ".join(sorted(specs))
+    """Every problem of a rule-config row, in order; an empty array for a valid row.
 
-    common = F.array_compact(F.array(
+    The specs are data inside the expression: each row looks up its own rule and walks
+    that rule's parameters.
+    """
+    version, weight, params = F.col("version"), F.col("weight"), F.col("params")
+
+    def shown(c: Column) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("null"))
+
+    common = F.array(
         F.when(version.isNull() | (version < 1),
-               F.concat(F.lit("version must be >= 1, got "),
-                        F.coalesce(version.cast("string"), F.lit("null")))),
+               F.concat(F.lit("version must be >= 1, got "), shown(version))),
         F.when(weight.isNull() | ~weight.between(0, MAX_WEIGHT),
-               F.concat(F.lit(f"weight must be 0..{MAX_WEIGHT}, got "),
-                        F.coalesce(weight.cast("string"), F.lit("null"))))))
-
-    per_rule = none
-    for name, params in specs.items():
-        allowed = sorted(p.name for p in params)
-        suffix = f" (allowed: [{', '.join(allowed)}])"
-        unknown = F.transform(
-            F.array_sort(F.filter(F.map_keys("params"), lambda k: ~k.isin(*allowed))),
-            lambda k: F.concat(F.lit("unknown param "), k, F.lit(suffix)))
-        found = F.concat(F.array_compact(F.array(*[_param_problem(p) for p in params])), unknown)
-        per_rule = F.when(rule_id == name, found).otherwise(per_rule)
-
-    probe, large = F.col("params")["probeMaxAmountMinor"], F.col("params")["largeAmountMinor"]
-    cross = F.when(
-        (rule_id == CARD_TESTING) & (probe >= large),
-        F.array(F.concat(F.lit("probeMaxAmountMinor ("), probe.cast("string"),
-                         F.lit(") must be < largeAmountMinor ("), large.cast("string"),
-                         F.lit("), otherwise the pattern cannot match")))).otherwise(none)
-
-    return (F.when(rule_id.isNull() | ~rule_id.isin(*specs),
-                   F.array(F.lit(f"unknown ruleId (known: [{known}])")))
-            .otherwise(F.concat(common, per_rule, cross)))
+               F.concat(F.lit(f"weight must be 0..{MAX_WEIGHT}, got "), shown(weight))))
+    valued = F.transform(_spec_rows(specs), lambda p: F.struct(
+        p["name"].alias("name"), p["low"].alias("low"), p["high"].alias("high"),
+        p["whole"].alias("whole"), p["span"].alias("span"), params[p["name"]].alias("value")))
+    per_param = F.transform(valued, _value_problem)
+    allowed = F.array_sort(F.transform(_spec_rows(specs), lambda p: p["name"]))
+    unknown = F.transform(
+        F.array_sort(F.array_except(F.map_keys(params), allowed)),
+        lambda k: F.concat(F.lit("unknown param "), k, F.lit(" (allowed: ["),
+                           F.array_join(allowed, ", "), F.lit("])")))
+    probe, large = params["probeMaxAmountMinor"], params["largeAmountMinor"]
+    cross = F.array(F.when((F.col("rule_id") == CARD_TESTING) & (probe >= large), F.concat(
+        F.lit("probeMaxAmountMinor ("), probe.cast("string"),
+        F.lit(") must be < largeAmountMinor ("), large.cast("string"),
+        F.lit("), otherwise the pattern cannot match"))))
+    known = ", ".join(sorted(specs))
+    return F.coalesce(F.array_compact(F.concat(common, per_param, unknown, cross)),
+                      F.array(F.lit(f"unknown ruleId (known: [{known}])")))
 
 
 def with_problems(configs: DataFrame, specs: Mapping[str, tuple[Param, ...]] = SPECS) -> DataFrame:

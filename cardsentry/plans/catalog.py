@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,10 +15,14 @@ from cardsentry.operators.verdict import (
     hit_rows, hits_per_rule, score_transactions, scored_only)
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, VELOCITY)
+from cardsentry.session import shared_folder
 from cardsentry.sources.centroids import CENTROIDS, centroids
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
+from cardsentry.sources.raw import file_lines
 from cardsentry.sources.sample import (
     sample_labels, sample_lines, sample_rule_history, sample_transactions)
+from cardsentry.streaming.job import dead_letter_stream, score_stream
+from cardsentry.streaming.sinks import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +31,8 @@ QUERIES: dict[str, Query] = {}
 # enough that the sample has such cards.
 SPLIT_ROWS = 100
 TARGET_FPR = 0.02
+# 2024-01-16, the middle of the sample.
+_HALF_WAY_MS = 1_705_363_200_000
 
 def _query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -333,3 +341,50 @@ def quality_checks(spark, sf_dir):
     return (quality.scored_checks(twice)
             .unionByName(quality.label_checks(labels))
             .unionByName(quality.rollup_checks(rollup.daily_card_agg(scored))))
+
+
+def _work_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one; in local mode a temporary one will do."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and \
+            spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="stream-")
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _stream_in_parts(spark: SparkSession, sf_dir: str, root: str, start) -> None:
+    """Streams the whole sample in two parts, earlier days first.
+
+    The second part arrives after the query has stopped, so it starts from its checkpoint.
+    """
+    lines = sample_lines(spark, sf_dir, keep=("event_ms",))
+    earlier = F.col("event_ms") < _HALF_WAY_MS
+    for part, wanted in enumerate((earlier, ~earlier)):
+        lines.filter(wanted).select("value").write.text(f"{root}/lines/part={part}")
+        start(file_lines(spark, f"{root}/lines/part=*"), root).awaitTermination()
+
+
+@_query("stream_scored")
+def stream_scored(spark, sf_dir):
+    """Verdicts of the stream, which must equal those of the batch on the same lines."""
+    root = _work_folder(spark)
+    _stream_in_parts(spark, sf_dir, root, score_stream)
+    return _verdict_view(Tables(root).read(spark, "scored"))
+
+
+@_query("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """The alert table of the stream."""
+    root = _work_folder(spark)
+    _stream_in_parts(spark, sf_dir, root, score_stream)
+    return Tables(root).alerts(spark).select(
+        "transaction_id", "card_id", "score", F.size("hits").alias("n_hits"),
+        F.concat_ws(",", "rule_ids").alias("rule_ids"))
+
+
+@_query("stream_dlq")
+def stream_dlq(spark, sf_dir):
+    root = _work_folder(spark)
+    _stream_in_parts(spark, sf_dir, root, dead_letter_stream)
+    record = F.from_json("value", "error string, payload string")
+    return (spark.read.text(f"{root}/dead_letters").select(record.alias("r"))
+            .select("r.error", "r.payload"))

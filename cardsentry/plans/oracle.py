@@ -17,7 +17,7 @@ _RULES = default_rules()
 ORACLE_SQL: dict[str, str] = {}
 
 
-def _tx(burst: bool = True) -> str:
+def _tx(burst: bool = True, where: str = "true") -> str:
     at = "(ms // 86400000) * 86400000 + (ms % 86400000) // 96" if burst else "ms"
     card = "user_id // 10" if burst else "user_id"
     return f"""
@@ -33,7 +33,7 @@ tx AS (SELECT event_id, 'tx-' || event_id AS transaction_id, 'card-' || ({card})
     ELSE 'NL' END AS country_code,
   CASE WHEN k % 4 <> 0 THEN 'dev-' || user_id END AS device_fingerprint,
   CAST({at} AS BIGINT) AS event_ms
-  FROM ev)"""
+  FROM ev WHERE {where})"""
 
 
 _PLACES = "places(code, lat, lon) AS (VALUES " + ", ".join(
@@ -47,9 +47,10 @@ def _km(a: str, b: str) -> str:
     return f"12742.0 * atan2(sqrt({inner}), sqrt(1 - {inner}))"
 
 
-def _facts(burst: bool = True, window_s: int = 60, large: str = "50000") -> str:
+def _facts(burst: bool = True, window_s: int = 60, large: str = "50000",
+           where: str = "true") -> str:
     unusual = ", ".join(f"'{c}'" for c in UNUSUAL_CATEGORIES)
-    return f"""{_tx(burst)}, {_PLACES},
+    return f"""{_tx(burst, where)}, {_PLACES},
 seen AS (SELECT *,
   count(*) OVER (PARTITION BY card_id ORDER BY event_ms
                  RANGE BETWEEN {window_s * 1000 - 1} PRECEDING AND CURRENT ROW)
@@ -95,8 +96,8 @@ testing AS (SELECT l.id AS transaction_id, card_id, l.ms AS event_ms, l.amount A
   FROM matched WHERE first_ms IS NOT NULL AND l IS NOT NULL AND l.ms - first_ms < 300000)"""
 
 
-def _hits(burst: bool = True, window_s: int = 60, max_count: int = 5) -> str:
-    return f"""{_facts(burst, window_s)},
+def _hits(burst: bool = True, window_s: int = 60, max_count: int = 5, where: str = "true") -> str:
+    return f"""{_facts(burst, window_s, where=where)},
 hits AS (
   SELECT transaction_id, card_id, event_ms, 'velocity' AS rule_id, 30 AS weight FROM facts
   WHERE n_recent > {max_count}
@@ -107,9 +108,9 @@ hits AS (
   UNION ALL SELECT transaction_id, card_id, event_ms, 'card_testing', 45 FROM testing)"""
 
 
-def _scored(distinct_testing: bool = False) -> str:
+def _scored(distinct_testing: bool = False, where: str = "true") -> str:
     source = "(SELECT DISTINCT * FROM hits)" if distinct_testing else "hits"
-    return f"""{_hits()},
+    return f"""{_hits(where=where)},
 per_tx AS (SELECT transaction_id, CAST(sum(weight) AS INTEGER) AS score,
     CAST(count(*) AS INTEGER) AS n_hits, string_agg(rule_id, ',' ORDER BY rule_id) AS rule_ids
   FROM {source} GROUP BY 1),
@@ -131,7 +132,7 @@ def _add(name: str, ctes: str, select: str) -> None:
 # Parse. Kinds of damage go by the last two digits of the event id.
 _BAD = "(11, 22, 33, 44, 55, 66, 77)"
 _add("parse_valid", _tx(), f"SELECT {_TX_COLUMNS} FROM tx WHERE event_id % 100 NOT IN {_BAD}")
-_add("parse_dlq", _tx() + """,
+_DAMAGED = _tx() + """,
 lines AS (SELECT event_id % 100 AS kind, event_id, transaction_id,
   '{"transactionId":"' || transaction_id || '","cardId":"' || card_id || '","amountMinor":'
   || CASE event_id % 100 WHEN 33 THEN '-1' || amount_minor WHEN 77 THEN amount_minor || '.7'
@@ -140,38 +141,40 @@ lines AS (SELECT event_id % 100 AS kind, event_id, transaction_id,
   || coalesce(',"merchantCategory":"' || merchant_category || '"', '')
   || ',"countryCode":"' || country_code || '"'
   || coalesce(',"deviceFingerprint":"' || device_fingerprint || '"', '')
-  || ',"eventTime":' || event_ms || '}' AS body FROM tx)""", f"""
-SELECT 'Failed to parse Transaction' AS error,
-  CASE kind WHEN 11 THEN '{{not json ' || event_id
-    WHEN 22 THEN '{{"transactionId":"' || transaction_id || '"}}'
+  || ',"eventTime":' || event_ms || '}' AS body FROM tx)"""
+_LETTER = """'Failed to parse Transaction' AS error,
+  CASE kind WHEN 11 THEN '{not json ' || event_id
+    WHEN 22 THEN '{"transactionId":"' || transaction_id || '"}'
     WHEN 44 THEN substr(event_id || repeat('x', 5000), 1, 1024) || '...'
-    WHEN 55 THEN '' WHEN 66 THEN '[]' ELSE body END AS payload,
+    WHEN 55 THEN '' WHEN 66 THEN '[]' ELSE body END AS payload"""
+_add("parse_dlq", _DAMAGED, f"""SELECT {_LETTER},
   CASE kind WHEN 22 THEN 'missing cardId' WHEN 33 THEN 'negative amountMinor'
-    WHEN 55 THEN 'malformed' ELSE 'malformed' END AS reason
+    ELSE 'malformed' END AS reason
 FROM lines WHERE kind IN {_BAD}""")
+_add("stream_dlq", _DAMAGED, f"SELECT {_LETTER} FROM lines WHERE kind IN {_BAD}")
 _add("dedupe_transactions", _tx(), f"SELECT {_TX_COLUMNS} FROM tx")
 
 # Rules.
-_VELOCITY = """SELECT transaction_id, card_id, event_ms, 30 AS weight, 1 AS rule_version,
+_VELOCITY = """SELECT transaction_id, card_id, event_ms, 30 AS weight, 1::BIGINT AS rule_version,
   n_recent AS n, {m} AS max_count, {w} AS window_seconds FROM facts WHERE n_recent > {m}"""
 _add("rule_velocity", _facts(), _VELOCITY.format(m=5, w=60))
 _add("rule_velocity_hourly", _facts(False, 3600), _VELOCITY.format(m=2, w=3600))
 _add("rule_amount_anomaly", _facts(), """
-SELECT transaction_id, card_id, event_ms, 25 AS weight, 1 AS rule_version, amount_minor,
+SELECT transaction_id, card_id, event_ms, 25 AS weight, 1::BIGINT AS rule_version, amount_minor,
   CAST(round(mean_prior) AS BIGINT) AS mean_minor, 6.0::DOUBLE AS multiplier,
   n_prior AS observations
 FROM facts WHERE n_prior >= 5 AND amount_minor >= 5000 AND amount_minor > mean_prior * 6""")
 _GEO = """
-SELECT transaction_id, card_id, event_ms, 40 AS weight, 1 AS rule_version,
+SELECT transaction_id, card_id, event_ms, 40 AS weight, 1::BIGINT AS rule_version,
   prev_country AS from_country, country_code AS to_country, CAST(round(km) AS BIGINT) AS km,
   gap_ms // 1000 AS gap_seconds, CAST(round(kmh) AS BIGINT) AS kmh FROM geo WHERE kmh > 900"""
 _add("rule_geo_impossible", _facts(), _GEO)
 _add("rule_geo_impossible_natural", _facts(False), _GEO)
 _add("rule_card_testing", _facts(), """
-SELECT transaction_id, card_id, event_ms, 45 AS weight, 1 AS rule_version, 3 AS probe_count,
+SELECT transaction_id, card_id, event_ms, 45 AS weight, 1::BIGINT AS rule_version, 3 AS probe_count,
   CAST(run_total AS BIGINT) AS probe_total, large_amount, span_seconds FROM testing""")
 _add("rule_model_score", _facts(False), """
-SELECT transaction_id, card_id, event_ms, 35 AS weight, 1 AS rule_version,
+SELECT transaction_id, card_id, event_ms, 35 AS weight, 1::BIGINT AS rule_version,
   round(risk, 6) AS probability FROM facts WHERE risk >= 0.75""")
 _add("haversine_pairs", f"{_tx()}, {_PLACES}", f"""
 SELECT country_code, b.code AS to_country, n, round({_km('a', 'b')}, 4) AS km
@@ -183,10 +186,13 @@ _VERDICT = "SELECT transaction_id, card_id, score, n_hits, rule_ids FROM scored"
 _add("score_merged", _scored(), _VERDICT)
 _add("score_merged_split", _scored(), _VERDICT)
 _add("score_deduped_hits", _scored(distinct_testing=True), _VERDICT)
+_PARSED = f"event_id % 100 NOT IN {_BAD}"
+_add("stream_scored", _scored(where=_PARSED), _VERDICT)
+_add("stream_alerts", _scored(where=_PARSED), f"{_VERDICT} WHERE score >= 40")
 _OUTSIDE = """base AS (SELECT CASE WHEN event_id % 10 = 9 THEN 'gone-' ELSE 'tx-' END
     || (event_id // 6 * 6) AS transaction_id,
   CASE WHEN event_type = 'click' THEN 'outside_a' ELSE 'outside_b' END AS rule_id,
-  event_id % 4 * 5 AS weight, event_id % 2 + 1 AS rule_version FROM events WHERE event_id % 3 = 0),
+  event_id % 4 * 5 AS weight, event_id % 2 + 1::BIGINT AS rule_version FROM events WHERE event_id % 3 = 0),
 outside AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE weight = 15)"""
 _add("score_with_outside_hits", f"{_scored()}, {_OUTSIDE}", """
 SELECT transaction_id, CAST(s.score + coalesce(o.w, 0) AS INTEGER) AS score,
@@ -351,7 +357,7 @@ _add("candidate_fpr", _rates(), """
 SELECT rule_id, candidate, fired_legit, legit_rows, round(fpr, 6) AS fpr FROM rates""")
 _CURRENT = ", ".join(f"('{r}', {_RULES[r].weight})" for r in TUNED)
 _add("rule_retune", f"{_rates()}, current(rule_id, weight) AS (VALUES {_CURRENT})", """
-SELECT rule_id, 2 AS version, true AS enabled, weight, candidate AS chosen, round(fpr, 6) AS fpr,
+SELECT rule_id, 2::BIGINT AS version, true AS enabled, weight, candidate AS chosen, round(fpr, 6) AS fpr,
   'rule_retune' AS updated_by, 'airflow' AS source
 FROM rates JOIN current USING (rule_id)
 QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY fpr <= 0.02 DESC,
@@ -360,7 +366,7 @@ _add("latency_percentiles", "d AS (SELECT 200 + event_id * 7919 % 5000 AS delay
 SELECT count(*) AS rows, quantile_disc(delay, 0.5) AS p50, quantile_disc(delay, 0.9) AS p90,
   quantile_disc(delay, 0.99) AS p99 FROM d""")
 _add("quality_checks", f"{_scored()}, {_LABELS}", """
-SELECT 'scored.transaction_id unique' AS "check",
+SELECT "check", CAST(violations AS BIGINT) AS violations FROM (SELECT 'scored.transaction_id unique' AS "check",
   (SELECT count(*) FROM tx WHERE event_id % 25 = 1) AS violations
 UNION ALL SELECT 'scored.amount_minor >= 0', 0
 UNION ALL SELECT 'scored.score >= 0', 0
@@ -376,4 +382,4 @@ UNION ALL SELECT 'labels.label allowed',
   (SELECT count(*) FROM labelled WHERE transaction_id LIKE '%77')
 UNION ALL SELECT 'daily_card_agg key unique', 0
 UNION ALL SELECT 'daily_card_agg.alert_count <= txn_count', 0
-UNION ALL SELECT 'daily_card_agg.max_score only with alerts', 0""")
+UNION ALL SELECT 'daily_card_agg.max_score only with alerts', 0)""")

@@ -65,7 +65,8 @@ def sample_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("tx-"), event_id).alias("transaction_id"), label.alias("label"))
 
 
-def sample_lines(spark: SparkSession, sf_dir: str, burst: bool = True) -> DataFrame:
+def sample_lines(spark: SparkSession, sf_dir: str, burst: bool = True,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Wire lines (``value`` and event_id): every transaction, some of them damaged.
 
     By the last two digits of the event id: 11 is no JSON, 22 lacks all but the id,
@@ -93,7 +94,7 @@ def sample_lines(spark: SparkSession, sf_dir: str, burst: bool = True) -> DataFr
             .when(kind == 66, F.lit("[]"))
             .when(kind == 88, F.concat(body, F.lit(',"futureField":1}')))
             .otherwise(F.concat(body, F.lit("}"))))
-    return rows.select("event_id", line.alias("value"))
+    return rows.select("event_id", line.alias("value"), *keep)
 
 
 def sample_rule_history(spark: SparkSession, sf_dir: str) -> DataFrame:
