@@ -104,7 +104,8 @@ def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
     """Input rows and, for a stream, the remembered ones, in one shape.
 
     ``memory`` has card_id, kind (MEMORY or CONTEXT), transaction_id, event_ms,
-    amount_minor, country_code, seen (transactions so far) and seen_total.
+    amount_minor, country_code, seen (transactions so far), seen_total and, where the
+    rows have it, is_late.
     """
     own = rows.select("*", F.lit(OWN).alias("_kind"), F.lit(1).cast("bigint").alias("_n"),
                       F.col("amount_minor").alias("_amount"))
@@ -114,7 +115,8 @@ def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
         "card_id", F.col("kind").alias("_kind"), "transaction_id", "event_ms", "amount_minor",
         "country_code",
         F.when(F.col("kind") == MEMORY, F.col("seen")).otherwise(F.lit(0)).alias("_n"),
-        F.when(F.col("kind") == MEMORY, F.col("seen_total")).otherwise(F.lit(0)).alias("_amount"))
+        F.when(F.col("kind") == MEMORY, F.col("seen_total")).otherwise(F.lit(0)).alias("_amount"),
+        *[c for c in ("is_late",) if c in rows.columns])
     return own.unionByName(remembered, allowMissingColumns=True)
 
 
