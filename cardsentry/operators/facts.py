@@ -23,13 +23,16 @@ from cardsentry.schema import CARD_TESTING, VELOCITY
 
 # A card with more rows than this is cut into slices.
 HOT_ROWS = 1_000_000
-# At most this many cards can be hot, which bounds the broadcast of the hot cards.
+# At most this many cards are cut, which bounds the broadcast of the hot cards.
 MAX_HOT_CARDS = 100_000
 
 # Kinds of rows in a window.
 MEMORY, CONTEXT, OWN = 0, 1, 2
 # Sorts memory rows before everything else, with room for the frame arithmetic.
 _BEGINNING = -(1 << 60)
+# Longer than the time one slice can span (17 years), and short enough for eight million
+# large rows in a slice; beyond that the arithmetic overflows and the query fails.
+_STRETCH = 1 << 39
 
 FACT_COLUMNS = ["velocity_count", "prior_count", "prior_total", "prev_country", "prev_ms",
                 "probe_runs"]
@@ -43,19 +46,20 @@ def look_back_ms(rules: RuleSet) -> int:
 def hot_cards(rows: DataFrame, look_back: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """(card_id, slice_ms) of the cards to cut, or None when there are none.
 
-    Runs one aggregate over two columns. The threshold rises with the row count,
-    so the result never holds more than MAX_HOT_CARDS rows however large the input.
-    The slice length aims at ``hot_rows`` rows a slice and is never below the look-back.
+    One aggregate over two columns, of which the largest MAX_HOT_CARDS cards at most
+    reach the driver, however large the input. A card left out holds no more than
+    1 / MAX_HOT_CARDS of all rows; it is scored all the same, in one piece. The slice
+    length aims at ``hot_rows`` rows a slice and is never below the look-back.
     """
-    per_card = rows.groupBy("card_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("event_ms").alias("lo"), F.max("event_ms").alias("hi"))
-    total, largest = per_card.agg(F.sum("n"), F.max("n")).first()
-    threshold = max(hot_rows, (total or 0) // MAX_HOT_CARDS)
-    if (largest or 0) <= threshold:
+    largest = (rows.groupBy("card_id")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("event_ms").alias("lo"),
+                    F.max("event_ms").alias("hi"))
+               .filter(F.col("n") > hot_rows)
+               .orderBy(F.col("n").desc()).limit(MAX_HOT_CARDS).collect())
+    if not largest:
         return None
-    length = F.floor((F.col("hi") - F.col("lo")) / (F.col("n") / F.lit(hot_rows)))
-    return (per_card.filter(F.col("n") > threshold)
-            .select("card_id", F.greatest(F.lit(look_back), length).alias("slice_ms")))
+    hot = [(r["card_id"], max(look_back, (r["hi"] - r["lo"]) * hot_rows // r["n"])) for r in largest]
+    return rows.sparkSession.createDataFrame(hot, "card_id string, slice_ms bigint")
 
 
 def _in_slices(rows: DataFrame, hot: DataFrame, look_back: int) -> DataFrame:
@@ -152,75 +156,77 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = HOT_RO
 def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: bool) -> DataFrame:
     velocity, testing = rules[VELOCITY], rules[CARD_TESTING]
     velocity_ms = velocity.whole("windowSeconds") * 1000
-    probes = testing.whole("probeCount")
     testing_ms = testing.whole("windowSeconds") * 1000
+    before_last = testing.whole("probeCount") - 1
+    on_time = "NOT coalesce(is_late, false)" if "is_late" in columns else "true"
 
-    kind, ms, amount = F.col("_kind"), F.col("event_ms"), F.col("amount_minor")
-    real = kind != MEMORY
-    on_time = ~F.coalesce("is_late", F.lit(False)) if "is_late" in columns else F.lit(True)
-    marked = placed.select(
+    card = "PARTITION BY card_id, _slice"
+    line = f"{card} ORDER BY _at, transaction_id"
+    past = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    upto = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+    marked = placed.selectExpr(
         "*",
-        F.when(real, ms).otherwise(F.lit(_BEGINNING)).alias("_at"),
-        (real & on_time & (amount <= testing.whole("probeMaxAmountMinor"))).alias("_probe"),
-        (real & on_time & (amount >= testing.whole("largeAmountMinor"))).alias("_large"))
-
-    # Running facts in event-time order.
-    line = W.partitionBy("card_id", "_slice").orderBy("_at", "transaction_id")
-    past = line.rowsBetween(W.unboundedPreceding, -1)
-    upto = line.rowsBetween(W.unboundedPreceding, 0)
-    outside = (W.partitionBy("card_id", "_slice").orderBy("_at")
-               .rangeBetween(W.unboundedPreceding, -velocity_ms))
-    running = marked.select(
+        f"_kind <> {MEMORY} AS _real",
+        f"if(_kind = {MEMORY}, {_BEGINNING}, event_ms) AS _at",
+        f"_kind <> {MEMORY} AND {on_time}"
+        f" AND amount_minor <= {testing.whole('probeMaxAmountMinor')} AS _probe",
+        f"_kind <> {MEMORY} AND {on_time}"
+        f" AND amount_minor >= {testing.whole('largeAmountMinor')} AS _large")
+
+    # Running facts in event-time order; one sort serves them and the three windows after.
+    running = marked.selectExpr(
         "*",
-        F.row_number().over(line).alias("_row"),
-        F.count(F.when(real, 1)).over(upto).alias("_rank"),
-        F.sum(F.when(kind != CONTEXT, F.col("_n"))).over(past).alias("_prior_count"),
-        F.sum(F.when(kind != CONTEXT, F.col("_amount"))).over(past).alias("_prior_total"),
-        F.lag("country_code").over(line).alias("_lag_country"),
-        F.lag("event_ms").over(line).alias("_lag_ms"),
-        F.count(F.when(F.col("_large"), 1)).over(past).alias("_group"),
-        *([F.max(F.when(~real, ms)).over(past).alias("_mem_ms"),
-           F.max(F.when(~real, F.col("country_code"))).over(past).alias("_mem_country")]
+        f"count_if(_real) OVER ({upto}) AS _rank",
+        f"sum(if(_kind = {CONTEXT}, 0, _n)) OVER ({past}) AS _prior_count",
+        f"sum(if(_kind = {CONTEXT}, 0, _amount)) OVER ({past}) AS _prior_total",
+        f"lag(country_code) OVER ({line}) AS _lag_country",
+        f"lag(event_ms) OVER ({line}) AS _lag_ms",
+        f"min(if(_real, event_ms, null)) OVER ({upto}) AS _start_ms",
+        f"count_if(_large) OVER ({past}) AS _group",
+        f"lag(if(_probe, event_ms, null), {before_last}) IGNORE NULLS OVER ({line}) AS _first_ms",
+        f"sum(if(_probe, amount_minor, 0)) OVER ({upto}) AS _probed",
+        *([f"max(if(_real, null, event_ms)) OVER ({past}) AS _mem_ms",
+           f"max(if(_real, null, country_code)) OVER ({past}) AS _mem_country"]
           if streaming else []),
-    ).select("*", F.count(F.when(real, 1)).over(outside).alias("_outside"))
-
-    # Runs of probes: the n-th last probe and the total since, among probes only. This window
-    # stands above the card's own, whose partitioning already serves it.
-    among = W.partitionBy("card_id", "_slice", "_probe").orderBy("_at", "transaction_id")
-    run = among.rowsBetween(-(probes - 1), 0)
-    with_runs = running.select(
+    ).selectExpr(
+        "*",
+        f"_probed - lag(if(_probe, _probed - amount_minor, null), {before_last}) IGNORE NULLS"
+        f" OVER ({line}) AS _run_total",
+    ).selectExpr(
         "*",
-        F.when(F.col("_probe"), F.lag("event_ms", probes - 1).over(among)).alias("_first_ms"),
-        F.when(F.col("_probe"), F.sum("amount_minor").over(run)).alias("_run_total"))
-
-    # Card testing without a join: a complete run sits at 2 * group, the large row that
-    # closes the group one above it, and every other row alone at a negative even place.
-    # A frame of exactly one place below then hands a large row all runs since the large
-    # row before it, and is empty for all other rows.
-    complete = F.col("_probe") & F.col("_first_ms").isNotNull()
-    place = (F.when(complete, F.col("_group") * 2)
-             .when(F.col("_large"), F.col("_group") * 2 + 1)
-             .otherwise(F.col("_row") * -2))
-    below = (W.partitionBy("card_id", "_slice").orderBy("_place").rangeBetween(-1, -1))
-    runs = F.collect_list(F.when(complete, F.struct(
-        F.col("_first_ms").alias("first_ms"), F.col("_run_total").alias("total_minor"))))
-    gathered = (with_runs.withColumn("_place", place.cast("bigint"))
-                .withColumn("_runs", runs.over(below))
-                .filter(kind == OWN))
-
-    prev_ms, prev_country = F.col("_lag_ms"), F.col("_lag_country")
+        f"count_if(_real) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
+        f" AND {velocity_ms} PRECEDING) AS _outside")
+
+    # Card testing without a join. The rows between two large ones form a group. A row stands
+    # at its time within the stretch of its group, a large row one stretch further, so that a
+    # frame one stretch back holds just the rows of its own group inside the window, while the
+    # frame of any other row holds at most the large row before it. Places rise in event-time
+    # order: the sort finds its input sorted.
+    placed_runs = running.selectExpr(
+        "*",
+        f"if(_real, (2 * _group + int(_large)) * {_STRETCH} + event_ms - _start_ms, {_BEGINNING})"
+        " AS _place",
+        "if(_probe AND _first_ms IS NOT NULL,"
+        " named_struct('first_ms', _first_ms, 'total_minor', _run_total), null) AS _run",
+    ).selectExpr(
+        "*",
+        f"collect_list(_run) OVER ({card} ORDER BY _place RANGE BETWEEN"
+        f" {_STRETCH + testing_ms - 1} PRECEDING AND {_STRETCH} PRECEDING) AS _runs",
+    ).filter(F.col("_kind") == OWN)
+
+    prev_ms, prev_country = "_lag_ms", "_lag_country"
     if streaming:
         # A row that came late must not become the last known place.
-        newer = F.col("_mem_ms") > F.coalesce(prev_ms, F.lit(_BEGINNING))
-        prev_country = F.when(newer, F.col("_mem_country")).otherwise(prev_country)
-        prev_ms = F.when(newer, F.col("_mem_ms")).otherwise(prev_ms)
-    in_time = F.filter("_runs", lambda r: r["first_ms"] > ms - testing_ms)
-    return gathered.select(
+        newer = f"_mem_ms > coalesce(_lag_ms, {_BEGINNING})"
+        prev_ms = f"if({newer}, _mem_ms, _lag_ms)"
+        prev_country = f"if({newer}, _mem_country, _lag_country)"
+    return placed_runs.selectExpr(
         *columns,
-        (F.col("_rank") - F.col("_outside")).alias("velocity_count"),
-        F.coalesce("_prior_count", F.lit(0)).cast("bigint").alias("prior_count"),
-        F.coalesce("_prior_total", F.lit(0)).cast("bigint").alias("prior_total"),
-        prev_country.alias("prev_country"), prev_ms.alias("prev_ms"),
-        F.when(F.size("_runs") > 0, F.array_sort(in_time))
-        .otherwise(F.array().cast("array<struct<first_ms:bigint,total_minor:bigint>>"))
-        .alias("probe_runs"))
+        "_rank - _outside AS velocity_count",
+        "coalesce(_prior_count, 0L) AS prior_count",
+        "coalesce(_prior_total, 0L) AS prior_total",
+        f"{prev_country} AS prev_country",
+        f"{prev_ms} AS prev_ms",
+        f"if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms > event_ms - {testing_ms})),"
+        " _runs) AS probe_runs")

@@ -45,11 +45,16 @@ def false_positive_rates(scored: DataFrame, labels: DataFrame) -> DataFrame:
     A row counts once per rule, however many hits of the rule it has. One pass with
     conditional counts; nothing is exploded.
     """
-    judged = adjudicated(scored, labels)
+    # Flags go through the join, not hits with their evidence.
+    ids = F.transform("hits", lambda h: h["rule_id"])
+    flags = scored.select("transaction_id", ids.alias("_ids")).select(
+        "transaction_id", *[F.array_contains("_ids", r).alias(f"_r{i}")
+                            for i, r in enumerate(RULE_IDS)])
+    judged = adjudicated(flags, labels)
     legit = F.col("label") == "legit"
     aggregates = [F.count(F.when(legit, 1)).alias("legit_rows")]
-    for i, rule_id in enumerate(RULE_IDS):
-        fired = F.array_contains(F.transform("hits", lambda h: h["rule_id"]), rule_id)
+    for i in range(len(RULE_IDS)):
+        fired = F.col(f"_r{i}")
         aggregates += [F.count(F.when(fired, 1)).alias(f"_f{i}"),
                        F.count(F.when(fired & legit, 1)).alias(f"_l{i}")]
     rows = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col(f"_f{i}").alias("fired"),

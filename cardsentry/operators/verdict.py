@@ -12,14 +12,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardsentry.functions.geo import haversine_km, km_per_hour
+from cardsentry.functions.geo import km_per_hour
 from cardsentry.functions.numbers import round_to_long, whole_seconds
 from cardsentry.functions.risk import Model, logistic_risk
 from cardsentry.operators.facts import FACT_COLUMNS, HOT_ROWS, card_facts
 from cardsentry.operators.rules import Rule, RuleSet
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, HIT, MODEL_SCORE, VELOCITY)
-from cardsentry.sources.centroids import centroids
+from cardsentry.sources.centroids import country_distances
 
 # Columns the verdict derives from the facts, before any threshold.
 MEASURE_COLUMNS = ["prior_mean", "gap_ms", "travel_km", "travel_kmh", "risk"]
@@ -96,19 +96,14 @@ ROW_RULES: tuple[RowRule, ...] = (
 def with_measures(facts: DataFrame, model: Model = logistic_risk) -> DataFrame:
     """Facts plus prior mean, gap, distance, speed and risk.
 
-    The two look-ups go against the 43 fixed centroids; an unknown country leaves
-    the distance null, and the travel rule abstains.
+    Distances are looked up among the fixed pairs of known countries; for an unknown one
+    the distance stays null, and the travel rule abstains.
     """
-    places = centroids(facts.sparkSession)
-    origin = F.broadcast(places.select(
-        F.col("country").alias("prev_country"), F.col("lat").alias("_lat0"), F.col("lon").alias("_lon0")))
-    target = F.broadcast(places.select(
-        F.col("country").alias("country_code"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1")))
     columns = facts.columns
-    km = F.when(F.col("prev_country") != F.col("country_code"),
-                haversine_km(F.col("_lat0"), F.col("_lon0"), F.col("_lat1"), F.col("_lon1")))
-    located = (facts.join(origin, "prev_country", "left").join(target, "country_code", "left")
-               .select(*columns, km.alias("travel_km")))
+    pairs = country_distances(facts.sparkSession).select(
+        F.col("from_country").alias("prev_country"), F.col("to_country").alias("country_code"),
+        F.col("km").alias("travel_km"))
+    located = facts.join(F.broadcast(pairs), ["prev_country", "country_code"], "left")
     return located.select(
         *columns,
         F.when(F.col("prior_count") > 0,

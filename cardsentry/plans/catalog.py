@@ -8,7 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardsentry.functions.geo import haversine_km
 from cardsentry.operators import alerts as A, feedback, merge, quality, rollup, rules as R
 from cardsentry.operators.asof import rules_in_force
 from cardsentry.operators.verdict import (
@@ -16,7 +15,7 @@ from cardsentry.operators.verdict import (
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, VELOCITY)
 from cardsentry.session import shared_folder
-from cardsentry.sources.centroids import CENTROIDS, centroids
+from cardsentry.sources.centroids import country_distances
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.raw import file_lines
 from cardsentry.sources.sample import (
@@ -151,17 +150,12 @@ def rule_model_score(spark, sf_dir):
 
 @_query("haversine_pairs")
 def haversine_pairs(spark, sf_dir):
-    """Distances between all countries of the transactions and all countries known."""
+    """Distances from the countries of the transactions to all countries known."""
     seen = sample_transactions(spark, sf_dir).groupBy("country_code").agg(
         F.count(F.lit(1)).alias("n"))
-    known = centroids(spark)
-    here = F.broadcast(known.select(F.col("country").alias("country_code"),
-                                    F.col("lat").alias("lat0"), F.col("lon").alias("lon0")))
-    there = F.array(*[F.struct(F.lit(c).alias("to_country"), F.lit(lat).alias("lat1"),
-                               F.lit(lon).alias("lon1")) for c, (lat, lon) in CENTROIDS.items()])
-    return (seen.join(here, "country_code").withColumn("t", F.explode(there))
-            .select("country_code", "t.to_country", "n", F.round(haversine_km(
-                F.col("lat0"), F.col("lon0"), F.col("t.lat1"), F.col("t.lon1")), 4).alias("km")))
+    pairs = country_distances(spark).withColumnRenamed("from_country", "country_code")
+    return seen.join(F.broadcast(pairs), "country_code").select(
+        "country_code", "to_country", "n", F.round("km", 4).alias("km"))
 
 
 def _verdict_view(scored: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cardsentry.functions.geo import haversine_km
 
 # Country code -> (latitude, longitude) in degrees.
 CENTROIDS = {
@@ -24,3 +26,18 @@ def centroids(spark: SparkSession) -> DataFrame:
     """(country, lat, lon); 43 rows, so broadcasting it is always safe."""
     rows = ", ".join(f"('{code}', {lat}D, {lon}D)" for code, (lat, lon) in CENTROIDS.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(country, lat, lon)")
+
+
+def country_distances(spark: SparkSession) -> DataFrame:
+    """(from_country, to_country, km) for every pair of known countries: 1849 rows.
+
+    Looking a distance up is cheaper than working it out for each transaction, and keeps
+    the trigonometry out of filters on the verdict.
+    """
+    target = F.expr("array(" + ", ".join(
+        f"struct('{code}' AS to_country, {lat}D AS lat1, {lon}D AS lon1)"
+        for code, (lat, lon) in CENTROIDS.items()) + ")")
+    return (centroids(spark).select(F.col("country").alias("from_country"), "lat", "lon",
+                                    F.explode(target).alias("t"))
+            .select("from_country", "t.to_country", haversine_km(
+                F.col("lat"), F.col("lon"), F.col("t.lat1"), F.col("t.lon1")).alias("km")))

@@ -34,6 +34,8 @@ class Tables:
 
     def watermark_before(self, spark: SparkSession, batch_id: int, delay_ms: int) -> int:
         """Newest event time of all earlier batches less the delay; reads one row."""
+        if batch_id == 0:
+            return _NEVER
         try:
             row = spark.read.parquet(self.of("progress", batch_id - 1)).first()
         except AnalysisException:
