@@ -1,9 +1,9 @@
 """Which rule version was in force at a time.
 
 An as-of join with few keys and many rows on both sides: neither one task per rule
-nor all pairs per rule would do. Time is cut into hours; each (rule, hour) sorts its
-own pushes and questions, and starts from one row that holds the best version of all
-hours before.
+nor all pairs per rule would do. Time is cut into hours and the questions of an hour are
+dealt to several salts; each (rule, hour, salt) sorts its questions among all pushes of
+the hour, and starts from one row that holds the best version of all hours before.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 _HOUR_MS = 3_600_000
+# Shares of a busy hour. Pushes are repeated that often, questions are not.
+SALTS = 16
 
 
 def rules_in_force(questions: DataFrame, versions: DataFrame, at: str = "event_ms",
-                   bucket_ms: int = _HOUR_MS) -> DataFrame:
+                   bucket_ms: int = _HOUR_MS, salts: int = SALTS) -> DataFrame:
     """``questions`` (rule_id and a time) with the newest version pushed up to then.
 
     ``versions`` holds valid configurations only. Adds version_in_force and
@@ -41,9 +43,13 @@ def rules_in_force(questions: DataFrame, versions: DataFrame, at: str = "event_m
              .filter(F.col("_best").isNotNull())
              .withColumn("_at", F.col("_bucket") * bucket_ms))
 
-    rows = (bucketed(asked).unionByName(bucketed(pushes), allowMissingColumns=True)
-            .unionByName(start, allowMissingColumns=True))
-    until = (W.partitionBy("rule_id", "_bucket").orderBy("_at")
+    # The salt hangs on the row alone, so a task that runs again deals the same way.
+    spread = [c for c, kind in questions.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    known = bucketed(pushes).unionByName(start).withColumn("_salt", every)
+    rows = bucketed(asked).withColumn("_salt", salt).unionByName(known, allowMissingColumns=True)
+    until = (W.partitionBy("rule_id", "_bucket", "_salt").orderBy("_at")
              .rangeBetween(W.unboundedPreceding, W.currentRow))
     return (rows.withColumn("_known", F.max("_best").over(until))
             .filter(F.col("_asked"))

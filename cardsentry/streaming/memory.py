@@ -26,14 +26,16 @@ from cardsentry.schema import TRANSACTION_COLUMNS, TRANSACTION
 # Local property of the job that runs a micro-batch: rows before this time are late.
 LATE_BEFORE = "cardsentry.late.before.ms"
 
-_SUMMARY = T.StructType([
-    T.StructField("seen", T.LongType()), T.StructField("seen_total", T.LongType()),
-    T.StructField("last_ms", T.LongType()), T.StructField("last_id", T.StringType()),
-    T.StructField("last_country", T.StringType())])
 _RECENT = T.StructType([
     T.StructField("event_ms", T.LongType()), T.StructField("transaction_id", T.StringType()),
     T.StructField("amount_minor", T.LongType()), T.StructField("country_code", T.StringType()),
     T.StructField("is_late", T.BooleanType())])
+# One record per card: every access is a round trip between the task and its worker.
+_CARD = T.StructType([
+    T.StructField("seen", T.LongType()), T.StructField("seen_total", T.LongType()),
+    T.StructField("last_ms", T.LongType()), T.StructField("last_id", T.StringType()),
+    T.StructField("last_country", T.StringType()),
+    T.StructField("recent", T.ArrayType(_RECENT))])
 
 REMEMBERED = T.StructType(
     [T.StructField(f.name, f.dataType, True) for f in TRANSACTION.fields]
@@ -53,14 +55,12 @@ class CardMemory(StatefulProcessor):
         self.keep_ms, self.forget_ms, self.expire = keep_ms, forget_ms, expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = self.forget_ms if self.expire else None
-        self.summary = handle.getValueState("summary", _SUMMARY, ttl)
-        self.recent = handle.getListState("recent", _RECENT, ttl)
+        self.card = handle.getValueState("card", _CARD, self.forget_ms if self.expire else None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         card = key[0]
-        known = self.summary.get() if self.summary.exists() else None
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        known = self.card.get()
+        recent = [tuple(r) for r in known[5]] if known is not None else []
         late_before = int(TaskContext.get().getLocalProperty(LATE_BEFORE) or -(1 << 62))
 
         ids = {r[1] for r in recent}
@@ -91,9 +91,9 @@ class CardMemory(StatefulProcessor):
 
         if known is not None:
             last = max(last, (known[2], known[3], known[4]))
-        self.summary.update((len(fresh) + (known[0] if known else 0),
-                             total + (known[1] if known else 0), *last))
-        self.recent.put([r for r in recent + fresh if r[0] > last[0] - self.keep_ms])
+        self.card.update((len(fresh) + (known[0] if known else 0),
+                          total + (known[1] if known else 0), *last,
+                          [r for r in recent + fresh if r[0] > last[0] - self.keep_ms]))
 
     def _out(self, card, ms, tx, amount, country, late, kind, seen, seen_total) -> Row:
         return _Out(tx, card, amount, None, None, None, country, None, ms, late, kind, seen, seen_total)
