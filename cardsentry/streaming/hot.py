@@ -1,0 +1,92 @@
+"""Cards too busy for one task of the stateful operator.
+
+The rows of a card named here pass that operator over many keys and leave no state. What
+it would have remembered is kept as tables instead: a memory row per card and batch, and the scored rows of the last
+batches as context. Both are read, joined and aggregated by many tasks, and the window
+operators then cut such a card into slices of time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from cardsentry.operators.facts import CONTEXT, MEMORY
+from cardsentry.sources.parse import unique_transactions
+from cardsentry.streaming.sinks import Progress, Tables
+
+_MEMORY = "card_id string, seen bigint, seen_total bigint, last struct<event_ms:bigint," \
+          "transaction_id:string,country_code:string>"
+
+
+class HotCards:
+    def __init__(self, cards: Sequence[str], tables: Tables) -> None:
+        self.cards, self.tables = list(dict.fromkeys(cards)), tables
+
+    def match(self) -> Column:
+        return F.col("card_id").isin(*self.cards) if self.cards else F.lit(False)
+
+    def fresh(self, rows: DataFrame, recent: DataFrame | None) -> DataFrame:
+        """Rows of hot cards less those seen before, in this batch or the last ones."""
+        unique = unique_transactions(rows)
+        if recent is None:
+            return unique
+        return unique.join(recent.select("transaction_id"), "transaction_id", "left_anti").select(
+            *rows.columns)
+
+    def recent(self, spark: SparkSession, before: Progress, keep_ms: int) -> DataFrame | None:
+        """Scored rows of hot cards from the batches that reach into the last ``keep_ms``."""
+        if before.newest_ms is None:
+            return None
+        since = before.newest_ms - keep_ms
+        folders = [self.tables.of("scored", b) for b, newest in before.recent if newest > since]
+        return spark.read.parquet(*folders).filter(self.match() & (F.col("event_ms") > since))
+
+    def remembered(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """One row per hot card: all before this batch. Cards new to the list are summed up
+        once from the scored rows of all earlier batches."""
+        if batch_id == 0:
+            return spark.createDataFrame([], _MEMORY)
+        try:
+            last = spark.read.schema(_MEMORY).parquet(self.tables.of("hot_memory", batch_id - 1))
+            have = {r["card_id"] for r in last.select("card_id").collect()}
+        except AnalysisException:
+            last, have = spark.createDataFrame([], _MEMORY), set()
+        missing = [c for c in self.cards if c not in have]
+        if not missing:
+            return last
+        earlier = self.tables.read(spark, "scored").filter(
+            (F.col("batch_id") < batch_id) & F.col("card_id").isin(*missing))
+        return last.unionByName(_summed(earlier))
+
+    def as_memory(self, remembered: DataFrame, recent: DataFrame | None) -> DataFrame:
+        """Memory and context rows as the window operators take them."""
+        memory = remembered.select(
+            "card_id", F.lit(MEMORY).alias("kind"),
+            F.col("last.transaction_id").alias("transaction_id"),
+            F.col("last.event_ms").alias("event_ms"),
+            F.lit(None).cast("bigint").alias("amount_minor"),
+            F.col("last.country_code").alias("country_code"), "seen", "seen_total",
+            F.lit(False).alias("is_late"))
+        if recent is None:
+            return memory
+        context = recent.select(
+            "card_id", F.lit(CONTEXT).alias("kind"), "transaction_id", "event_ms", "amount_minor",
+            "country_code", F.lit(None).cast("bigint").alias("seen"),
+            F.lit(None).cast("bigint").alias("seen_total"), "is_late")
+        return memory.unionByName(context)
+
+    def remember(self, remembered: DataFrame, scored: DataFrame, batch_id: int) -> None:
+        """Writes what is known after this batch: a row per hot card ever seen."""
+        both = remembered.unionByName(_summed(scored.filter(self.match())))
+        self.tables.write(both.groupBy("card_id").agg(
+            F.sum("seen").alias("seen"), F.sum("seen_total").alias("seen_total"),
+            F.max("last").alias("last")), "hot_memory", batch_id)
+
+
+def _summed(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("card_id").agg(
+        F.count(F.lit(1)).alias("seen"), F.sum("amount_minor").alias("seen_total"),
+        F.max(F.struct("event_ms", "transaction_id", "country_code")).alias("last"))

@@ -8,6 +8,7 @@ does not parse.
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -17,18 +18,23 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from cardsentry.functions.risk import Model, logistic_risk
 from cardsentry.functions.wire import alert_json, scored_json
 from cardsentry.operators.alerts import flat_alerts
-from cardsentry.operators.facts import CONTEXT, HOT_ROWS, MEMORY, OWN
-from cardsentry.operators.rules import RuleSet, default_rules, load_rules
+from cardsentry.operators.facts import CONTEXT, HOT_ROWS, MEMORY, OWN, look_back_ms
+from cardsentry.operators.rules import (
+    LONGEST_WINDOW_SECONDS, RuleSet, default_rules, load_rules)
 from cardsentry.operators.verdict import score_transactions, scored_only
 from cardsentry.schema import ALERT_THRESHOLD, AMOUNT_ANOMALY, RULE_CONFIG, event_time
 from cardsentry.session import ROCKSDB
 from cardsentry.sources.parse import accepted, dead_letter_json, dead_letters, parse_lines
-from cardsentry.streaming.memory import LATE_BEFORE, remember
+from cardsentry.streaming.hot import HotCards
+from cardsentry.streaming.memory import LATE_BEFORE, LOOK_BACK, remember
 from cardsentry.streaming.sinks import Tables, counters, publish
 
 # Fixed value: how far out of order events may come before they are late.
 OUT_OF_ORDER_SECONDS = 5
 
+# Past rows are kept for the longest window any legal rule can have.
+KEEP_MS = LONGEST_WINDOW_SECONDS * 1000
+
 _LOG = logging.getLogger(__name__)
 
 
@@ -54,35 +60,50 @@ class RuleFeed:
 class BatchScorer:
     """Scores one micro-batch and writes its results, each to a folder of the batch."""
 
-    def __init__(self, tables: Tables, feed: RuleFeed, *, model: Model = logistic_risk,
-                 threshold: int = ALERT_THRESHOLD, hot_rows: int | None = HOT_ROWS,
-                 kafka: str | None = None) -> None:
-        self.tables, self.feed, self.model = tables, feed, model
+    def __init__(self, tables: Tables, feed: RuleFeed, hot: HotCards, *,
+                 model: Model = logistic_risk, threshold: int = ALERT_THRESHOLD,
+                 hot_rows: int | None = HOT_ROWS, kafka: str | None = None) -> None:
+        self.tables, self.feed, self.hot, self.model = tables, feed, hot, model
         self.threshold, self.hot_rows, self.kafka = threshold, hot_rows, kafka
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
-        watermark = tables.watermark_before(spark, batch_id, OUT_OF_ORDER_SECONDS * 1000)
+        before = tables.progress_before(spark, batch_id)
+        watermark = before.next_watermark(OUT_OF_ORDER_SECONDS * 1000)
+        rules = self.feed.current(spark)
         # The stateful operator runs once, here; everything below reads what it wrote.
-        spark.sparkContext.setLocalProperty(LATE_BEFORE, str(watermark))
+        settings = {LATE_BEFORE: str(watermark), LOOK_BACK: str(look_back_ms(rules))}
         try:
+            for name, value in settings.items():
+                spark.sparkContext.setLocalProperty(name, value)
             seen = tables.write(batch, "incoming", batch_id)
         finally:
-            spark.sparkContext.setLocalProperty(LATE_BEFORE, None)
+            for name in settings:
+                spark.sparkContext.setLocalProperty(name, None)
 
         own = seen.filter(F.col("kind") == OWN).drop("kind", "seen", "seen_total")
         memory = seen.filter(F.col("kind").isin(MEMORY, CONTEXT))
+        remembered = None
+        if self.hot.cards:
+            recent = self.hot.recent(spark, before, KEEP_MS)
+            remembered = self.hot.remembered(spark, batch_id)
+            busy = self.hot.fresh(own.filter(self.hot.match()), recent)
+            own = own.filter(~self.hot.match()).unionByName(busy)
+            memory = memory.unionByName(self.hot.as_memory(remembered, recent),
+                                        allowMissingColumns=True)
         verdict = scored_only(score_transactions(
-            own, self.feed.current(spark), model=self.model, hot_rows=self.hot_rows, memory=memory))
+            own, rules, model=self.model, hot_rows=self.hot_rows, memory=memory))
         scored = tables.write(verdict, "scored", batch_id)
         fresh = flat_alerts(scored, self.threshold).withColumn("inserted_at", F.current_timestamp())
         alerts = tables.write(fresh, "alerts", batch_id)
         if self.kafka is not None:
             publish(scored, "transaction_id", scored_json(), self.kafka, "scored-transactions")
             publish(alerts, "transaction_id", alert_json(), self.kafka, "alerts")
+        if remembered is not None:
+            self.hot.remember(remembered, scored, batch_id)
         # Written last: a batch without it is run again.
-        tables.write(counters(scored, F.col("score") >= self.threshold, watermark),
-                     "progress", batch_id)
+        tables.write(counters(scored, F.col("score") >= self.threshold, before, watermark,
+                              batch_id, KEEP_MS), "progress", batch_id)
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -102,12 +123,16 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: str) -> Streaming
 def score_stream(lines: DataFrame, root: str, *, rules_path: str | None = None,
                  trigger: str = "available", model: Model = logistic_risk,
                  threshold: int = ALERT_THRESHOLD, hot_rows: int | None = HOT_ROWS,
-                 kafka: str | None = None) -> StreamingQuery:
+                 hot_cards: Sequence[str] = (), kafka: str | None = None) -> StreamingQuery:
     """Starts scoring ``lines`` into tables below ``root``, a folder all executors reach.
 
     ``trigger`` is "available" (all input there is, then stop) or an interval such as
     "10 seconds", which runs on and lets the state of cards that stay away expire.
     State and offsets live in ``root``/checkpoint, so a restart goes on where it stopped.
+
+    ``hot_cards`` names the cards that bring more rows than one task should take, as
+    ``facts.hot_cards`` finds them in past data. The list may grow from one start to the
+    next; a card never leaves it.
     """
     spark = lines.sparkSession
     # transformWithState works on RocksDB only.
@@ -116,8 +141,10 @@ def score_stream(lines: DataFrame, root: str, *, rules_path: str | None = None,
     forget = feed.current(spark)[AMOUNT_ANOMALY].whole("stateTtlSeconds")
     valid = (accepted(_parsed(lines)).withColumn("event_time", event_time())
              .withWatermark("event_time", f"{OUT_OF_ORDER_SECONDS} seconds").drop("event_time"))
-    known = remember(valid, forget, "None" if trigger == "available" else "ProcessingTime")
-    scorer = BatchScorer(Tables(root), feed, model=model, threshold=threshold,
+    hot = HotCards(hot_cards, Tables(root))
+    known = remember(valid, forget, "None" if trigger == "available" else "ProcessingTime",
+                     hot.match())
+    scorer = BatchScorer(Tables(root), feed, hot, model=model, threshold=threshold,
                          hot_rows=hot_rows, kafka=kafka)
     return _start(known.writeStream.queryName("score").foreachBatch(scorer),
                   f"{root}/checkpoint/score", trigger)

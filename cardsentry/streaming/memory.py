@@ -2,12 +2,13 @@
 
 The processor applies no rule. For each card of a micro-batch it passes the new rows
 on and adds what was known before: one memory row (count, sum, last place) and the
-rows of the last hour as context. The window operators of the batch side then see the
+rows inside the look-back as context. The window operators of the batch side then see the
 same rows as if the whole history were there, and a changed threshold needs neither a
 restart nor a rewrite of state.
 
-State per card is two small records and an hour of (time, id, amount). One micro-batch
-brings at most what the source admits per trigger, also for a very busy card.
+State per card is one record: the memory and an hour of rows without their wide columns.
+One micro-batch brings at most what the source admits per trigger; cards too busy for
+that are named to the job and go round this operator (see ``hot``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame, Row, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cardsentry.operators.facts import CONTEXT, MEMORY, OWN
@@ -25,6 +26,8 @@ from cardsentry.schema import TRANSACTION_COLUMNS, TRANSACTION
 
 # Local property of the job that runs a micro-batch: rows before this time are late.
 LATE_BEFORE = "cardsentry.late.before.ms"
+# Local property of the same job: how far back the rules in force look.
+LOOK_BACK = "cardsentry.look.back.ms"
 
 _RECENT = T.StructType([
     T.StructField("event_ms", T.LongType()), T.StructField("transaction_id", T.StringType()),
@@ -44,6 +47,9 @@ REMEMBERED = T.StructType(
 _Out = Row(*REMEMBERED.fieldNames())
 
 
+# Rows of a card named as hot are spread over this many keys, none of which has state.
+LANES = 256
+
 # The processor travels with the query, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -58,10 +64,15 @@ class CardMemory(StatefulProcessor):
         self.card = handle.getValueState("card", _CARD, self.forget_ms if self.expire else None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        card = key[0]
+        card, lane = key
+        late_before = int(TaskContext.get().getLocalProperty(LATE_BEFORE) or -(1 << 62))
+        if lane:
+            for row in rows:
+                yield self._passed(row, late_before)
+            return
         known = self.card.get()
         recent = [tuple(r) for r in known[5]] if known is not None else []
-        late_before = int(TaskContext.get().getLocalProperty(LATE_BEFORE) or -(1 << 62))
+        look_back = int(TaskContext.get().getLocalProperty(LOOK_BACK) or self.keep_ms)
 
         ids = {r[1] for r in recent}
         fresh: list[tuple] = []
@@ -70,14 +81,14 @@ class CardMemory(StatefulProcessor):
             if row["transaction_id"] in ids:
                 continue  # a replayed record
             ids.add(row["transaction_id"])
-            late = row["event_ms"] < late_before
-            yield _Out(*[row[c] for c in TRANSACTION_COLUMNS], late, OWN, None, None)
+            yield self._passed(row, late_before)
             ms = row["event_ms"]
             total += row["amount_minor"]
             earliest = ms if earliest is None else min(earliest, ms)
             place = (ms, row["transaction_id"], row["country_code"])
             last = place if last is None or place > last else last
-            fresh.append((ms, row["transaction_id"], row["amount_minor"], row["country_code"], late))
+            fresh.append((ms, row["transaction_id"], row["amount_minor"], row["country_code"],
+                          ms < late_before))
         if not fresh:
             return
 
@@ -86,7 +97,7 @@ class CardMemory(StatefulProcessor):
         if known is not None:
             yield self._out(card, known[2], known[3], None, known[4], False, MEMORY, known[0], known[1])
         for ms, tx, amount, country, late in recent:
-            if ms > earliest - self.keep_ms:
+            if ms > earliest - look_back:
                 yield self._out(card, ms, tx, amount, country, late, CONTEXT, None, None)
 
         if known is not None:
@@ -95,6 +106,10 @@ class CardMemory(StatefulProcessor):
                           total + (known[1] if known else 0), *last,
                           [r for r in recent + fresh if r[0] > last[0] - self.keep_ms]))
 
+    def _passed(self, row, late_before: int) -> Row:
+        return _Out(*[row[c] for c in TRANSACTION_COLUMNS], row["event_ms"] < late_before, OWN,
+                    None, None)
+
     def _out(self, card, ms, tx, amount, country, late, kind, seen, seen_total) -> Row:
         return _Out(tx, card, amount, None, None, None, country, None, ms, late, kind, seen, seen_total)
 
@@ -102,14 +117,22 @@ class CardMemory(StatefulProcessor):
         pass
 
 
-def remember(transactions: DataFrame, forget_seconds: int, time_mode: str = "None") -> DataFrame:
+def remember(transactions: DataFrame, forget_seconds: int, time_mode: str = "None",
+             hot: Column | None = None) -> DataFrame:
     """New transactions and, per card, what was known before them (columns of REMEMBERED).
 
+    Rows that meet ``hot`` only pass, over many keys; the plan is the same with and without
+    such rows, so the condition may change from one start to the next.
+
     ``time_mode`` "None" ends when the input ends and forgets a card when it comes back
     after ``forget_seconds`` of event time. "ProcessingTime" also drops the state of cards
     that never come back, and is meant for a query that runs on.
     """
     processor = CardMemory(LONGEST_WINDOW_SECONDS * 1000, forget_seconds * 1000,
                            expire=time_mode == "ProcessingTime")
-    return transactions.groupBy("card_id").transformWithState(
+    lane = F.pmod(F.xxhash64("transaction_id"), F.lit(LANES)).cast("int") + 1
+    # Never null, with or without hot cards: the state store compares key schemas.
+    laned = transactions.withColumn("lane", F.lit(0) if hot is None else F.coalesce(
+        F.when(hot, lane), F.lit(0)))
+    return laned.groupBy("card_id", "lane").transformWithState(
         processor, outputStructType=REMEMBERED, outputMode="append", timeMode=time_mode)

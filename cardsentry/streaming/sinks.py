@@ -13,6 +13,20 @@ from cardsentry.schema import RULE_IDS
 _NEVER = -(1 << 62)
 
 
+@dataclasses.dataclass(frozen=True)
+class Progress:
+    """The watermark a batch had, the newest event time up to it, and the batches (with
+    their newest event time) that reach into the last hour."""
+
+    watermark_ms: int = _NEVER
+    newest_ms: int | None = None
+    recent: list[tuple[int, int]] = dataclasses.field(default_factory=list)
+
+    def next_watermark(self, delay_ms: int) -> int:
+        newest = _NEVER if self.newest_ms is None else self.newest_ms - delay_ms
+        return max(self.watermark_ms, newest)
+
+
 @dataclasses.dataclass(frozen=True)
 class Tables:
     """Folders of the stream below one root every executor can reach."""
@@ -32,16 +46,16 @@ class Tables:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.of(table))
 
-    def watermark_before(self, spark: SparkSession, batch_id: int, delay_ms: int) -> int:
-        """Newest event time of all earlier batches less the delay; reads one row."""
+    def progress_before(self, spark: SparkSession, batch_id: int) -> Progress:
+        """What the batch before left behind; reads one row."""
         if batch_id == 0:
-            return _NEVER
+            return Progress()
         try:
             row = spark.read.parquet(self.of("progress", batch_id - 1)).first()
         except AnalysisException:
-            return _NEVER
-        newest = row["newest_ms"]
-        return max(row["watermark_ms"], newest - delay_ms if newest is not None else _NEVER)
+            return Progress()
+        return Progress(row["watermark_ms"], row["newest_ms"],
+                        [(r["batch_id"], r["newest_ms"]) for r in row["recent"]])
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         """The alert table: one row per transaction, ``inserted_at`` the first one."""
@@ -49,18 +63,31 @@ class Tables:
         return upsert_alerts(written, written.limit(0))
 
 
-def counters(scored: DataFrame, alert: Column, watermark_ms: int) -> DataFrame:
-    """The counts of one micro-batch: rows, late rows, alerts, hits per rule, newest time."""
+def counters(scored: DataFrame, alert: Column, before: Progress, watermark_ms: int,
+             batch_id: int, keep_ms: int) -> DataFrame:
+    """The counts of one micro-batch (rows, late rows, alerts, hits per rule) and where it
+    left the stream."""
     def hits(rule_id: str) -> Column:
         return F.sum(F.size(F.filter("hits", lambda h: h["rule_id"] == rule_id)))
 
+    newest = F.greatest(F.max("event_ms"), F.lit(before.newest_ms).cast("bigint"))
+    listed = "array<struct<batch_id:bigint,newest_ms:bigint>>"
+    earlier = F.array(*[F.struct(F.lit(b).alias("batch_id"), F.lit(n).alias("newest_ms"))
+                        for b, n in before.recent]).cast(listed)
+    this = F.when(F.col("_own").isNotNull(), F.array(F.struct(
+        F.lit(batch_id).alias("batch_id"), F.col("_own").alias("newest_ms")))
+    ).otherwise(F.array()).cast(listed)
     return scored.agg(
         F.count(F.lit(1)).alias("scored"),
         F.count(F.when(F.col("is_late"), 1)).alias("late"),
         F.count(F.when(alert, 1)).alias("alerts"),
         *[F.coalesce(hits(r), F.lit(0)).alias(f"hits_{r}") for r in RULE_IDS],
-        F.max("event_ms").alias("newest_ms"),
-    ).withColumn("watermark_ms", F.lit(watermark_ms).cast("bigint"))
+        F.max("event_ms").alias("_own"), newest.alias("newest_ms"),
+    ).select(
+        "*", F.lit(watermark_ms).cast("bigint").alias("watermark_ms"),
+        F.filter(F.concat(earlier, this),
+                 lambda b: b["newest_ms"] > F.col("newest_ms") - keep_ms).alias("recent"),
+    ).drop("_own")
 
 
 def publish(df: DataFrame, key: str, value: Column, servers: str, topic: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,15 +65,17 @@ def _view(df):
         "transaction_id", "score", F.to_json("hits").alias("h")).collect())
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
-def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows):
+@pytest.mark.parametrize("hot_rows,hot_cards", [
+    (1_000_000, ((), ())), (20, ((), ())), (20, (("hot",), ("hot",))), (20, ((), ("hot", "a")))])
+def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows, hot_cards):
     rows = _traffic(1)
     feed = Feed(spark, tmp_path)
     feed.put(rows[:120])
     feed.put(rows[120:130])
-    feed.run(hot_rows=hot_rows)
-    feed.put(rows[130:])
-    feed.run(hot_rows=hot_rows)  # from the checkpoint
+    feed.run(hot_rows=hot_rows, hot_cards=hot_cards[0])
+    feed.put(rows[130:300])
+    feed.put(rows[300:])
+    feed.run(hot_rows=hot_rows, hot_cards=hot_cards[1])  # from the checkpoint
     batch = score_transactions(frame(spark, rows), default_rules())
     assert _view(feed.tables.read(spark, "scored")) == _view(batch)
     alerts = feed.tables.alerts(spark)
@@ -80,18 +83,20 @@ def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows):
     assert alerts.count() == alerts.select("transaction_id").distinct().count() == expected > 0
 
 
-def test_replayed_records_change_nothing(spark, tmp_path):
+@pytest.mark.parametrize("hot_cards", [(), ("hot", "b")])
+def test_replayed_records_change_nothing(spark, tmp_path, hot_cards):
     rows = _traffic(2, n=120)
     feed = Feed(spark, tmp_path)
-    feed.put(rows[:80])
+    feed.put(rows[:80] + rows[70:75])
     feed.put(rows[60:])  # twenty records again
     feed.put(rows[100:])
-    feed.run()
+    feed.run(hot_cards=hot_cards)
     batch = score_transactions(frame(spark, rows), default_rules())
     assert _view(feed.tables.read(spark, "scored")) == _view(batch)
 
 
-def test_late_rows_are_scored_and_counted_but_leave_no_trace_in_geo_or_sequences(spark, tmp_path):
+@pytest.mark.parametrize("hot_cards", [(), ("g", "s")])
+def test_late_rows_are_scored_but_leave_no_trace_in_geo_or_sequences(spark, tmp_path, hot_cards):
     feed = Feed(spark, tmp_path)
     feed.put([transaction("n0", T0, card_id="g", country_code="NL"),
               transaction("n1", T0 + 600_000, card_id="g", country_code="NL"),
@@ -101,7 +106,7 @@ def test_late_rows_are_scored_and_counted_but_leave_no_trace_in_geo_or_sequences
               transaction("late-probe", T0 + 500_050, card_id="s", amount_minor=100)])
     feed.put([transaction("next-geo", T0 + 660_000, card_id="g", country_code="NL"),
               transaction("large", T0 + 620_000, card_id="s", amount_minor=60000)])
-    scores = feed.run().scores()
+    scores = feed.run(hot_cards=hot_cards).scores()
     assert len(scores) == 8  # nothing is dropped
     assert scores["late-geo"] == 0  # a negative gap is not judged
     assert scores["next-geo"] == 0  # and the late country is not the last place
@@ -146,6 +151,22 @@ def test_a_card_that_returns_after_the_time_to_live_starts_afresh(spark, tmp_pat
     assert scores["a-in"] == 25 and scores["b-out"] == 0
 
 
+def test_a_query_that_runs_on_scores_what_arrives(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.put([transaction(f"v{i}", T0 + i * 1000, card_id="v") for i in range(4)])
+    lines = file_lines(spark, f"{feed.folder}/in/part=*")
+    query = score_stream(lines, feed.tables.root, trigger="500 milliseconds")
+    try:
+        feed.put([transaction(f"v{i}", T0 + i * 1000, card_id="v") for i in range(4, 8)])
+        deadline = time.time() + 90
+        while time.time() < deadline and sum(p["numInputRows"] for p in query.recentProgress) < 8:
+            assert query.exception() is None
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert feed.scores() == {f"v{i}": 30 if i > 4 else 0 for i in range(8)}
+
+
 def test_counters_and_dead_letters(spark, tmp_path):
     rows = _traffic(3, n=60)
     feed = Feed(spark, tmp_path)
