@@ -13,7 +13,8 @@ from cardsentry.plans.catalog import QUERIES
 from cardsentry.session import local_session
 
 HEADLINE = [
-    "parse_valid", "parse_dlq", "dedupe_transactions", "rule_velocity", "rule_amount_anomaly",
+    "parse_valid", "parse_dlq", "dedupe_transactions", "card_facts", "risk_probability",
+    "rule_velocity", "rule_amount_anomaly",
     "rule_geo_impossible", "rule_card_testing", "rule_model_score", "score_merged",
     "score_merged_split", "score_with_outside_hits", "alerts_flat", "alerts_page", "alerts_upsert",
     "hits_per_rule", "rule_config_problems", "rule_latest_valid", "rule_asof", "hit_rule_version",

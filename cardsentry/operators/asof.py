@@ -4,11 +4,12 @@ An as-of join with few keys and many rows on both sides: neither one task per ru
 nor all pairs per rule would do. Time is cut into hours and the questions of an hour are
 dealt to several salts; each (rule, hour, salt) sorts its questions among all pushes of
 the hour, and starts from one row that holds the best version of all hours before.
+The questions are read once; what is read again is the table of pushes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 _HOUR_MS = 3_600_000
 # Shares of a busy hour. Pushes are repeated that often, questions are not.
@@ -24,34 +25,42 @@ def rules_in_force(questions: DataFrame, versions: DataFrame, at: str = "event_m
     version, not the last push, so a stale push changes nothing.
     """
     columns = questions.columns
-    best = F.struct("version", (-F.col("updated_ms")).alias("neg_ms"))
-    pushes = versions.select("rule_id", F.col("updated_ms").alias("_at"), best.alias("_best"))
-    asked = questions.select("*", F.col(at).alias("_at"), F.lit(True).alias("_asked"))
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_bucket", F.floor(F.col("_at") / F.lit(bucket_ms)).cast("bigint"))
-
-    # One row per rule and hour on both sides; the window runs over hours.
-    hours = (bucketed(pushes).groupBy("rule_id", "_bucket").agg(F.max("_best").alias("_best"))
-             .unionByName(bucketed(asked.select("rule_id", "_at"))
-                          .groupBy("rule_id", "_bucket").agg(F.lit(None).alias("_any"))
-                          .drop("_any"), allowMissingColumns=True)
-             .groupBy("rule_id", "_bucket").agg(F.max("_best").alias("_best")))
+    best = F.struct("version", (-F.col("_at")).alias("neg_ms"))
+    pushes = (versions.select("rule_id", "version", F.coalesce("updated_ms", F.lit(0)).alias("_at"))
+              .select("rule_id", "_at", _bucket(bucket_ms), best.alias("_best")))
+
+    # One row per rule; after the last push of a rule the answer is the same for ever.
+    rule = pushes.groupBy("rule_id").agg(
+        F.max("_best").alias("_final"), F.max("_at").alias("_last_at"),
+        F.min("_bucket").alias("_lo"), F.max("_bucket").alias("_hi"))
+    # One row per rule and hour between its first and its last push.
+    hours = rule.select("rule_id", F.explode(F.sequence("_lo", "_hi")).alias("_bucket"))
+    pushed = pushes.groupBy("rule_id", "_bucket").agg(F.max("_best").alias("_best"))
     earlier = (W.partitionBy("rule_id").orderBy("_bucket")
                .rowsBetween(W.unboundedPreceding, -1))
-    start = (hours.select("rule_id", "_bucket", F.max("_best").over(earlier).alias("_best"))
-             .filter(F.col("_best").isNotNull())
-             .withColumn("_at", F.col("_bucket") * bucket_ms))
+    start = (hours.join(pushed, ["rule_id", "_bucket"], "left")
+             .select("rule_id", "_bucket", (F.col("_bucket") * bucket_ms).alias("_at"),
+                     F.max("_best").over(earlier).alias("_best"))
+             .filter(F.col("_best").isNotNull()))
 
     # The salt hangs on the row alone, so a task that runs again deals the same way.
     spread = [c for c, kind in questions.dtypes if "map<" not in kind and "variant" not in kind]
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    known = bucketed(pushes).unionByName(start).withColumn("_salt", every)
-    rows = bucketed(asked).withColumn("_salt", salt).unionByName(known, allowMissingColumns=True)
+    asked = (questions.select("*", F.col(at).alias("_at"), F.lit(True).alias("_asked"),
+                              F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int").alias("_salt"))
+             .select("*", _bucket(bucket_ms))
+             .join(F.broadcast(rule.drop("_lo", "_hi")), "rule_id", "left"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    known = pushes.unionByName(start).select("*", every)
     until = (W.partitionBy("rule_id", "_bucket", "_salt").orderBy("_at")
              .rangeBetween(W.unboundedPreceding, W.currentRow))
-    return (rows.withColumn("_known", F.max("_best").over(until))
+    answer = F.when(F.col("_at") >= F.col("_last_at"), F.col("_final")).otherwise(F.col("_best"))
+    return (asked.unionByName(known, allowMissingColumns=True)
+            .withColumn("_best", F.max("_best").over(until))
             .filter(F.col("_asked"))
-            .select(*columns, F.col("_known.version").alias("version_in_force"),
-                    (-F.col("_known.neg_ms")).alias("in_force_since")))
+            .withColumn("_best", answer)
+            .select(*columns, F.col("_best.version").alias("version_in_force"),
+                    (-F.col("_best.neg_ms")).alias("in_force_since")))
+
+
+def _bucket(bucket_ms: int) -> Column:
+    return F.floor(F.col("_at") / F.lit(bucket_ms)).cast("bigint").alias("_bucket")

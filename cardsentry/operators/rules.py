@@ -230,11 +230,27 @@ def load_rules(configs: DataFrame | None = None,
     return rules
 
 
+class RuleConfigError(ValueError):
+    """A configuration that must not be used, with everything that is wrong with it."""
+
+    def __init__(self, rule_id: str, found: list[str]) -> None:
+        super().__init__(f"{rule_id}: {'; '.join(found)}")
+        self.rule_id, self.problems = rule_id, found
+
+
 def check_rule(spark: SparkSession, rule: Rule) -> list[str]:
     """The problems of one configuration, for a caller that wants to refuse it."""
     return with_problems(rules_frame(spark, [rule])).first()["problems"]
 
 
+def require_valid(spark: SparkSession, rule: Rule) -> Rule:
+    """The rule unchanged, or an error with every problem."""
+    found = check_rule(spark, rule)
+    if found:
+        raise RuleConfigError(rule.rule_id, found)
+    return rule
+
+
 def hit_versions(hits: DataFrame, versions: DataFrame) -> DataFrame:
     """Each hit with the configuration that produced it, by rule id and version.
 

@@ -96,14 +96,16 @@ ROW_RULES: tuple[RowRule, ...] = (
 def with_measures(facts: DataFrame, model: Model = logistic_risk) -> DataFrame:
     """Facts plus prior mean, gap, distance, speed and risk.
 
-    Distances are looked up among the fixed pairs of known countries; for an unknown one
-    the distance stays null, and the travel rule abstains.
+    A distance is there only when the country changed. It is looked up among the fixed
+    pairs of known countries; for an unknown one it stays null, and the travel rule abstains.
     """
     columns = facts.columns
     pairs = country_distances(facts.sparkSession).select(
         F.col("from_country").alias("prev_country"), F.col("to_country").alias("country_code"),
-        F.col("km").alias("travel_km"))
-    located = facts.join(F.broadcast(pairs), ["prev_country", "country_code"], "left")
+        F.col("km").alias("_km"))
+    moved = F.when(F.col("prev_country") != F.col("country_code"), F.col("_km"))
+    located = (facts.join(F.broadcast(pairs), ["prev_country", "country_code"], "left")
+               .select(*columns, moved.alias("travel_km")))
     return located.select(
         *columns,
         F.when(F.col("prior_count") > 0,

@@ -8,10 +8,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cardsentry.functions.risk import logistic_risk
+from cardsentry.functions.wire import transaction_json
 from cardsentry.operators import alerts as A, feedback, merge, quality, rollup, rules as R
 from cardsentry.operators.asof import rules_in_force
+from cardsentry.operators.facts import HOT_ROWS, card_facts
 from cardsentry.operators.verdict import (
-    hit_rows, hits_per_rule, score_transactions, scored_only)
+    hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, VELOCITY)
 from cardsentry.session import shared_folder
@@ -90,6 +93,20 @@ def parse_dlq(spark, sf_dir):
     return dead_letters(parse_lines(sample_lines(spark, sf_dir).select("value")))
 
 
+@_query("parse_counters")
+def parse_counters(spark, sf_dir):
+    """Accepted lines and refused ones by reason."""
+    parsed = parse_lines(sample_lines(spark, sf_dir).select("value"))
+    outcome = F.coalesce("reason", F.lit("parsed"))
+    return parsed.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@_query("transaction_wire")
+def transaction_wire(spark, sf_dir):
+    """Every transaction as the JSON line it travels as."""
+    return sample_transactions(spark, sf_dir).select("transaction_id", transaction_json().alias("line"))
+
+
 @_query("dedupe_transactions")
 def dedupe_transactions(spark, sf_dir):
     rows = sample_transactions(spark, sf_dir, keep=("event_id",))
@@ -98,6 +115,39 @@ def dedupe_transactions(spark, sf_dir):
     return unique_transactions(rows.unionByName(again).unionByName(older).drop("event_id"))
 
 
+def _facts(spark: SparkSession, sf_dir: str, burst: bool, rules: R.RuleSet,
+           hot_rows: int | None) -> DataFrame:
+    facts = with_measures(card_facts(sample_transactions(spark, sf_dir, burst), rules,
+                                     hot_rows=hot_rows))
+    return facts.select(
+        "transaction_id", "velocity_count", "prior_count", "prior_total", "prev_country", "gap_ms",
+        F.size("probe_runs").alias("n_runs"), F.round("travel_km", 4).alias("travel_km"))
+
+
+@_query("card_facts")
+def all_facts(spark, sf_dir):
+    """What every transaction knows of its card."""
+    return _facts(spark, sf_dir, True, R.default_rules(), None)
+
+
+@_query("card_facts_split")
+def all_facts_split(spark, sf_dir):
+    """The same facts with every busy card cut into slices of time."""
+    return _facts(spark, sf_dir, True, R.default_rules(), SPLIT_ROWS)
+
+
+@_query("card_facts_hourly")
+def all_facts_hourly(spark, sf_dir):
+    """Facts with an hour's velocity window over unsqueezed days."""
+    return _facts(spark, sf_dir, False, _natural_rules(), HOT_ROWS)
+
+
+@_query("risk_probability")
+def risk_probability(spark, sf_dir):
+    return sample_transactions(spark, sf_dir, burst=False).select(
+        "transaction_id", F.round(logistic_risk(), 6).alias("risk"))
+
+
 @_query("rule_velocity")
 def rule_velocity(spark, sf_dir):
     return _evidence(_scored(spark, sf_dir), VELOCITY, {

@@ -17,9 +17,10 @@ from cardsentry.operators.alerts import flat_alerts
 from cardsentry.operators.facts import HOT_ROWS
 from cardsentry.operators.feedback import retune
 from cardsentry.operators.rollup import daily_card_agg
-from cardsentry.operators.rules import RuleSet, load_rules
+from cardsentry.operators.rules import (
+    Rule, RuleConfigError, RuleSet, load_rules, require_valid, rules_frame)
 from cardsentry.operators.verdict import score_transactions, scored_only
-from cardsentry.schema import RULE_CONFIG, TRANSACTION_COLUMNS
+from cardsentry.schema import RULE_CONFIG, RULE_SOURCES, TRANSACTION_COLUMNS
 from cardsentry.sources.parse import dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.tables import append_rows, overwrite_days, read_table
 
@@ -82,6 +83,19 @@ def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime
         F.col("agg_date").between(F.lit(first), F.lit(last)))))
 
 
+def push_rule(spark: SparkSession, root: str, rule: Rule, source: str) -> None:
+    """Appends a checked version of one rule; it must be newer than the one in force."""
+    require_valid(spark, rule)
+    if source not in RULE_SOURCES:
+        raise RuleConfigError(rule.rule_id, [f"source must be one of {RULE_SOURCES}, got {source}"])
+    current = current_rules(spark, root).get(rule.rule_id)
+    if not rule.supersedes(current):
+        raise RuleConfigError(rule.rule_id, [
+            f"version must be > {current.version}, got {rule.version}"])
+    append_rows(rules_frame(spark, [rule]).withColumn("source", F.lit(source)),
+                f"{root}/rule_versions")
+
+
 def retune_rules(spark: SparkSession, root: str, labels: DataFrame, target: float,
                  now_ms: int, hot_rows: int | None = HOT_ROWS) -> None:
     """Appends the next version of every rule to ``rule_versions``; a running stream picks it up."""

@@ -151,9 +151,30 @@ _add("parse_dlq", _DAMAGED, f"""SELECT {_LETTER},
   CASE kind WHEN 22 THEN 'missing cardId' WHEN 33 THEN 'negative amountMinor'
     ELSE 'malformed' END AS reason
 FROM lines WHERE kind IN {_BAD}""")
+_add("parse_counters", _DAMAGED, f"""SELECT CASE WHEN kind NOT IN {_BAD} THEN 'parsed'
+    WHEN kind = 22 THEN 'missing cardId' WHEN kind = 33 THEN 'negative amountMinor'
+    ELSE 'malformed' END AS outcome, count(*) AS lines FROM lines GROUP BY 1""")
+_add("transaction_wire", _tx() + """,
+lines AS (SELECT transaction_id, '{"transactionId":"' || transaction_id || '","cardId":"' || card_id
+  || '","amountMinor":' || amount_minor || ',"currency":"USD","merchantId":"' || merchant_id || '"'
+  || coalesce(',"merchantCategory":"' || merchant_category || '"', '')
+  || ',"countryCode":"' || country_code || '"'
+  || coalesce(',"deviceFingerprint":"' || device_fingerprint || '"', '')
+  || ',"eventTime":' || event_ms || '}' AS line FROM tx)""", "SELECT transaction_id, line FROM lines")
 _add("stream_dlq", _DAMAGED, f"SELECT {_LETTER} FROM lines WHERE kind IN {_BAD}")
 _add("dedupe_transactions", _tx(), f"SELECT {_TX_COLUMNS} FROM tx")
 
+# Facts.
+_FACT_VIEW = """
+SELECT transaction_id, n_recent AS velocity_count, n_prior AS prior_count,
+  CAST(coalesce(total_prior, 0) AS BIGINT) AS prior_total, prev_country, gap_ms,
+  CAST((SELECT count(*) FROM testing t WHERE t.transaction_id = f.transaction_id) AS INTEGER)
+    AS n_runs, round(km, 4) AS travel_km FROM facts f"""
+_add("card_facts", _facts(), _FACT_VIEW)
+_add("card_facts_split", _facts(), _FACT_VIEW)
+_add("card_facts_hourly", _facts(False, 3600), _FACT_VIEW)
+_add("risk_probability", _facts(False), "SELECT transaction_id, round(risk, 6) AS risk FROM facts")
+
 # Rules.
 _VELOCITY = """SELECT transaction_id, card_id, event_ms, 30 AS weight, 1::BIGINT AS rule_version,
   n_recent AS n, {m} AS max_count, {w} AS window_seconds FROM facts WHERE n_recent > {m}"""

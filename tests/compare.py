@@ -49,6 +49,6 @@ def difference(df, con, sql) -> str | None:
         return f"columns {names} != {expected_names}"
     if got == expected:
         return None
-    only_got = [r for r in got if r not in set(expected)][:3]
-    only_expected = [r for r in expected if r not in set(got)][:3]
+    only_got = sorted(set(got) - set(expected), key=_key)[:3]
+    only_expected = sorted(set(expected) - set(got), key=_key)[:3]
     return f"{len(got)} vs {len(expected)} rows; spark only {only_got}; duckdb only {only_expected}"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from cardsentry.operators.rules import RuleConfigError, default_rules
 from cardsentry.plans import jobs
-from cardsentry.plans.catalog import QUERIES
+from cardsentry.schema import VELOCITY
 from cardsentry.sources.sample import sample_labels, sample_lines
 from cardsentry.sources.tables import read_table
 
@@ -52,4 +55,20 @@ def test_days_of_the_rollup_prune_partitions(spark, tmp_path):
     day = read_table(spark, f"{root}/scored").filter("event_date = DATE'2024-01-05'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert QUERIES["daily_card_agg"]
+
+
+def test_pushed_rules_are_checked_and_must_be_newer(spark, tmp_path):
+    root = str(tmp_path)
+    v1 = default_rules()[VELOCITY]
+    tuned = dataclasses.replace(v1.with_params(maxCount=7.0), version=2, updated_by="me", updated_ms=1)
+    jobs.push_rule(spark, root, tuned, "api")
+    assert jobs.current_rules(spark, root)[VELOCITY] == tuned
+    with pytest.raises(RuleConfigError, match="version must be > 2, got 2"):
+        jobs.push_rule(spark, root, tuned, "api")
+    with pytest.raises(RuleConfigError) as error:
+        jobs.push_rule(spark, root, dataclasses.replace(
+            v1, version=3, params={"maxCount": 1.0, "bogus": 1.0}), "api")
+    assert len(error.value.problems) == 3
+    with pytest.raises(RuleConfigError, match="source"):
+        jobs.push_rule(spark, root, dataclasses.replace(tuned, version=3), "hand")
+    assert read_table(spark, f"{root}/rule_versions").count() == 1

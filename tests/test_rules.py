@@ -126,3 +126,12 @@ def test_versions_appear_on_hits(spark):
     hit = score_transactions(frame(spark, rows), rules).selectExpr(
         "hits[0].rule_version AS v", "hits[0].weight AS w").first()
     assert (hit["v"], hit["w"]) == (7, 50)
+
+
+def test_a_model_of_ones_own(spark):
+    """A model is any function that returns a probability column."""
+    rows = [transaction("a", 1, amount_minor=10), transaction("b", 2, amount_minor=90)]
+    scored = score_transactions(frame(spark, rows), R.default_rules(),
+                                model=lambda: F.col("amount_minor") / 100)
+    assert {r["transaction_id"]: r["score"] for r in scored.select("transaction_id", "score").collect()
+            } == {"a": 0, "b": 35}
