@@ -30,9 +30,6 @@ MAX_HOT_CARDS = 100_000
 MEMORY, CONTEXT, OWN = 0, 1, 2
 # Sorts memory rows before everything else, with room for the frame arithmetic.
 _BEGINNING = -(1 << 60)
-# Longer than the time one slice can span (17 years), and short enough for eight million
-# large rows in a slice; beyond that the arithmetic overflows and the query fails.
-_STRETCH = 1 << 39
 
 FACT_COLUMNS = ["velocity_count", "prior_count", "prior_total", "prev_country", "prev_ms",
                 "probe_runs"]
@@ -46,20 +43,28 @@ def look_back_ms(rules: RuleSet) -> int:
 def hot_cards(rows: DataFrame, look_back: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """(card_id, slice_ms) of the cards to cut, or None when there are none.
 
-    One aggregate over two columns, of which the largest MAX_HOT_CARDS cards at most
-    reach the driver, however large the input. A card left out holds no more than
-    1 / MAX_HOT_CARDS of all rows; it is scored all the same, in one piece. The slice
-    length aims at ``hot_rows`` rows a slice and is never below the look-back.
+    One count over one column, of which the largest MAX_HOT_CARDS cards at most reach
+    the driver, however large the input. A card left out holds no more than
+    1 / MAX_HOT_CARDS of all rows; it is scored all the same, in one piece.
+
+    A slice is as many look-backs long as keep its busiest stretch below ``hot_rows``,
+    and at least one. Measuring the busiest look-back rather than the span from first to
+    last keeps bursts, and single rows with a broken clock, from making slices too long.
     """
-    largest = (rows.groupBy("card_id")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("event_ms").alias("lo"),
-                    F.max("event_ms").alias("hi"))
+    spark = rows.sparkSession
+    largest = (rows.groupBy("card_id").agg(F.count(F.lit(1)).alias("n"))
                .filter(F.col("n") > hot_rows)
                .orderBy(F.col("n").desc()).limit(MAX_HOT_CARDS).collect())
     if not largest:
         return None
-    hot = [(r["card_id"], max(look_back, (r["hi"] - r["lo"]) * hot_rows // r["n"])) for r in largest]
-    return rows.sparkSession.createDataFrame(hot, "card_id string, slice_ms bigint")
+    hot = spark.createDataFrame([(r["card_id"],) for r in largest], "card_id string")
+    stretch = F.floor(F.col("event_ms") / F.lit(look_back))
+    peaks = (rows.select("card_id", "event_ms").join(F.broadcast(hot), "card_id")
+             .groupBy("card_id", stretch.alias("_s")).agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("card_id").agg(F.max("n").alias("peak")).collect())
+    return spark.createDataFrame(
+        [(r["card_id"], look_back * max(1, hot_rows // r["peak"])) for r in peaks],
+        "card_id string, slice_ms bigint")
 
 
 def _in_slices(rows: DataFrame, hot: DataFrame, look_back: int) -> DataFrame:
@@ -157,7 +162,6 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
     velocity, testing = rules[VELOCITY], rules[CARD_TESTING]
     velocity_ms = velocity.whole("windowSeconds") * 1000
     testing_ms = testing.whole("windowSeconds") * 1000
-    before_last = testing.whole("probeCount") - 1
     on_time = "NOT coalesce(is_late, false)" if "is_late" in columns else "true"
 
     card = "PARTITION BY card_id, _slice"
@@ -165,6 +169,12 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
     past = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     upto = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
+    # For a probe: the time of the first of its run, and the amounts of the others.
+    before_last = testing.whole("probeCount") - 1
+    earlier_probes = " + ".join(
+        f"lag(if(_probe, amount_minor, null), {i}) IGNORE NULLS OVER ({line})"
+        for i in range(1, before_last + 1))
+
     marked = placed.selectExpr(
         "*",
         f"_kind <> {MEMORY} AS _real",
@@ -174,7 +184,7 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"_kind <> {MEMORY} AND {on_time}"
         f" AND amount_minor >= {testing.whole('largeAmountMinor')} AS _large")
 
-    # Running facts in event-time order; one sort serves them and the three windows after.
+    # Running facts in event-time order; one sort serves them and the two windows after.
     running = marked.selectExpr(
         "*",
         f"count_if(_real) OVER ({upto}) AS _rank",
@@ -182,37 +192,31 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"sum(if(_kind = {CONTEXT}, 0, _amount)) OVER ({past}) AS _prior_total",
         f"lag(country_code) OVER ({line}) AS _lag_country",
         f"lag(event_ms) OVER ({line}) AS _lag_ms",
-        f"min(if(_real, event_ms, null)) OVER ({upto}) AS _start_ms",
         f"count_if(_large) OVER ({past}) AS _group",
         f"lag(if(_probe, event_ms, null), {before_last}) IGNORE NULLS OVER ({line}) AS _first_ms",
-        f"sum(if(_probe, amount_minor, 0)) OVER ({upto}) AS _probed",
+        f"amount_minor + {earlier_probes} AS _run_total",
         *([f"max(if(_real, null, event_ms)) OVER ({past}) AS _mem_ms",
            f"max(if(_real, null, country_code)) OVER ({past}) AS _mem_country"]
           if streaming else []),
-    ).selectExpr(
-        "*",
-        f"_probed - lag(if(_probe, _probed - amount_minor, null), {before_last}) IGNORE NULLS"
-        f" OVER ({line}) AS _run_total",
     ).selectExpr(
         "*",
         f"count_if(_real) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
         f" AND {velocity_ms} PRECEDING) AS _outside")
 
     # Card testing without a join. The rows between two large ones form a group. A row stands
-    # at its time within the stretch of its group, a large row one stretch further, so that a
-    # frame one stretch back holds just the rows of its own group inside the window, while the
-    # frame of any other row holds at most the large row before it. Places rise in event-time
-    # order: the sort finds its input sorted.
-    placed_runs = running.selectExpr(
+    # at its time, pushed on by two windows for each group before and by one more for a large
+    # row. A frame of one window, one window back, then holds for a large row just the rows of
+    # its own group inside the window, and for any other row at most the large row before it.
+    # Places rise in event-time order, so this sort finds its input sorted.
+    gathered = running.selectExpr(
         "*",
-        f"if(_real, (2 * _group + int(_large)) * {_STRETCH} + event_ms - _start_ms, {_BEGINNING})"
-        " AS _place",
+        f"if(_real, event_ms + {testing_ms} * (2 * _group + int(_large)), {_BEGINNING}) AS _place",
         "if(_probe AND _first_ms IS NOT NULL,"
         " named_struct('first_ms', _first_ms, 'total_minor', _run_total), null) AS _run",
     ).selectExpr(
         "*",
         f"collect_list(_run) OVER ({card} ORDER BY _place RANGE BETWEEN"
-        f" {_STRETCH + testing_ms - 1} PRECEDING AND {_STRETCH} PRECEDING) AS _runs",
+        f" {2 * testing_ms - 1} PRECEDING AND {testing_ms} PRECEDING) AS _runs",
     ).filter(F.col("_kind") == OWN)
 
     prev_ms, prev_country = "_lag_ms", "_lag_country"
@@ -221,7 +225,7 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         newer = f"_mem_ms > coalesce(_lag_ms, {_BEGINNING})"
         prev_ms = f"if({newer}, _mem_ms, _lag_ms)"
         prev_country = f"if({newer}, _mem_country, _lag_country)"
-    return placed_runs.selectExpr(
+    return gathered.selectExpr(
         *columns,
         "_rank - _outside AS velocity_count",
         "coalesce(_prior_count, 0L) AS prior_count",

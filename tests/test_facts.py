@@ -66,7 +66,9 @@ def test_hot_cards_are_found_and_bounded(spark):
     assert hot_cards(rows, 300_000, 1_000) is None
     found = hot_cards(rows, 300_000, 300).collect()
     assert [r["card_id"] for r in found] == ["hot"]
-    assert all(r["slice_ms"] >= 300_000 for r in found)
+    assert all(r["slice_ms"] >= 300_000 and r["slice_ms"] % 300_000 == 0 for r in found)
+    broken = rows.unionByName(frame(spark, [transaction("z", 0, card_id="hot")]))
+    assert hot_cards(broken, 300_000, 300).collect() == found
 
 
 def _scores(spark, rows, **options):
@@ -167,3 +169,14 @@ def test_invariants(spark):
     total = F.aggregate("hits", F.lit(0), lambda n, h: n + h["weight"])
     assert scored.filter(F.col("score") != total).count() == 0
     assert scored.select("transaction_id").distinct().count() == len(rows) == scored.count()
+
+
+def test_broken_clocks_disturb_nothing(spark):
+    """Rows at the epoch or far ahead share a card with ordinary ones."""
+    rows = _random_rows(11, n=300)
+    rows += [transaction(f"z{i}", ms, card_id="hot", amount_minor=a) for i, (ms, a) in enumerate(
+        [(0, 100), (1, 100), (2, 100), (3, 60000), (-5, 60000), (9_000_000_000_000, 100),
+         (9_000_000_000_001, 60000)])]
+    for hot_rows in (None, 20):
+        got = collected_facts(card_facts(frame(spark, rows), default_rules(), hot_rows=hot_rows))
+        assert got == simulator.facts(as_dicts(rows))
