@@ -23,29 +23,35 @@ def flat_alerts(scored: DataFrame, threshold: int = ALERT_THRESHOLD) -> DataFram
             .select(*ALERT_COLUMNS))
 
 
-def upsert_alerts(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The table after ``fresh`` is written: one row per transaction id.
+def latest_alerts(written: DataFrame) -> DataFrame:
+    """One row per transaction id out of all alerts ever written.
 
     The row scored last wins, and ``inserted_at`` keeps its first value, which makes
-    a replay visible. Written as one aggregate, so replayed copies combine before
-    the shuffle.
+    a replay visible. An aggregate, so replayed copies combine before the shuffle.
     """
-    both = stored.unionByName(fresh)
-    columns = [c for c in both.columns if c not in ("transaction_id", "inserted_at")]
+    columns = [c for c in written.columns if c not in ("transaction_id", "inserted_at")]
     # ``hits`` holds variants, which have no order; it rides along as the value.
     rank = F.struct("scored_at", "inserted_at")
-    return (both.groupBy("transaction_id")
+    return (written.groupBy("transaction_id")
             .agg(F.max_by(F.struct(*columns), rank).alias("_row"),
                  F.min("inserted_at").alias("inserted_at"))
             .select("transaction_id", "_row.*", "inserted_at"))
 
 
+def upsert_alerts(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The alert table after ``fresh`` is written to it."""
+    return latest_alerts(stored.unionByName(fresh))
+
+
 def by_card(alerts: DataFrame, card_id: str) -> DataFrame:
     return alerts.filter(F.col("card_id") == card_id)
 
 
 def by_time(alerts: DataFrame, start: str, end: str) -> DataFrame:
-    """Event time from ``start`` up to but not including ``end`` (UTC timestamps)."""
+    """Event time from ``start`` up to but not including ``end``.
+
+    Both are timestamps as text; without a zone they are read in that of the session.
+    """
     at = F.col("event_time")
     return alerts.filter((at >= F.lit(start).cast("timestamp")) & (at < F.lit(end).cast("timestamp")))
 

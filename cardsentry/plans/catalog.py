@@ -271,7 +271,7 @@ def alerts_by_card(spark, sf_dir):
 
 @_query("alerts_by_time")
 def alerts_by_time(spark, sf_dir):
-    return _alert_view(A.by_time(_flat(spark, sf_dir), "2024-01-05 00:00:00", "2024-01-12 00:00:00"))
+    return _alert_view(A.by_time(_flat(spark, sf_dir), "2024-01-05 00:00:00Z", "2024-01-12 00:00:00Z"))
 
 
 @_query("alerts_by_rule")
@@ -282,7 +282,7 @@ def alerts_by_rule(spark, sf_dir):
 @_query("alerts_page")
 def alerts_page(spark, sf_dir):
     """Fifty alerts, newest first, from a given row on."""
-    return _alert_view(A.page(_flat(spark, sf_dir), 50, ("2024-01-20 00:05:00", "")))
+    return _alert_view(A.page(_flat(spark, sf_dir), 50, ("2024-01-20 00:05:00Z", "")))
 
 
 @_query("alerts_upsert")

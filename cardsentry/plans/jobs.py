@@ -65,12 +65,12 @@ def score_all(spark: SparkSession, root: str, *, model: Model = logistic_risk,
         read_table(spark, f"{root}/transactions"), current_rules(spark, root),
         model=model, hot_rows=hot_rows))
     overwrite_days(verdict.withColumn("event_date", _day(F.col("event_ms"))),
-                   f"{root}/scored", "event_date")
+                   f"{root}/scored", "event_date", "card_id", "event_ms")
     scored = read_table(spark, f"{root}/scored")
     quality.require_clean(quality.scored_checks(scored))
     alerts = flat_alerts(scored).withColumn("inserted_at", F.current_timestamp())
-    overwrite_days(alerts.withColumn("event_date", F.to_date("event_time")),
-                   f"{root}/alerts", "event_date")
+    overwrite_days(alerts.withColumn("event_date", _day(F.unix_millis("event_time"))),
+                   f"{root}/alerts", "event_date", "card_id", "event_time")
 
 
 def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime.date) -> None:
@@ -78,7 +78,7 @@ def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime
     days = read_table(spark, f"{root}/scored").filter(
         F.col("event_date").between(F.lit(first), F.lit(last)))
     rollup = daily_card_agg(days).withColumn("computed_at", F.current_timestamp())
-    overwrite_days(rollup, f"{root}/daily_card_agg", "agg_date")
+    overwrite_days(rollup, f"{root}/daily_card_agg", "agg_date", "card_id")
     quality.require_clean(quality.rollup_checks(read_table(spark, f"{root}/daily_card_agg").filter(
         F.col("agg_date").between(F.lit(first), F.lit(last)))))
 

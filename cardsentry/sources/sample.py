@@ -22,6 +22,12 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _epoch_ms() -> Column:
+    """``ts`` has no zone and is meant as UTC; this holds in any session time zone."""
+    return F.expr("CAST(1000 * CAST(CAST(ts - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND)"
+                  " AS DECIMAL(20, 6)) AS BIGINT)")
+
+
 def _k() -> Column:
     return F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
 
@@ -31,7 +37,7 @@ def sample_transactions(spark: SparkSession, sf_dir: str, burst: bool = True,
     """Transaction columns; ``keep`` adds columns of ``events``, such as event_id."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", _k())
     event_id, user_id, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = _epoch_ms()
     if burst:
         # Whole numbers throughout, so both sides of a comparison agree to the millisecond.
         day = ms - ms % _DAY_MS
@@ -132,5 +138,5 @@ def sample_rule_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         (event_id % 110).cast("int").alias("weight"),
         params.alias("params"),
         F.concat(F.lit("user-"), F.col("user_id")).alias("updated_by"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("updated_ms"),
+        _epoch_ms().alias("updated_ms"),
         "event_id")

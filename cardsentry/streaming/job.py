@@ -60,14 +60,16 @@ class RuleFeed:
 class BatchScorer:
     """Scores one micro-batch and writes its results, each to a folder of the batch."""
 
-    def __init__(self, tables: Tables, feed: RuleFeed, hot: HotCards, *,
+    def __init__(self, spark: SparkSession, tables: Tables, feed: RuleFeed, hot: HotCards, *,
                  model: Model = logistic_risk, threshold: int = ALERT_THRESHOLD,
                  hot_rows: int | None = HOT_ROWS, kafka: str | None = None) -> None:
+        # The session of a stream has adaptive execution switched off; scoring wants it.
+        self.spark = spark
         self.tables, self.feed, self.hot, self.model = tables, feed, hot, model
         self.threshold, self.hot_rows, self.kafka = threshold, hot_rows, kafka
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark, tables = batch.sparkSession, self.tables
+        spark, tables = self.spark, self.tables
         before = tables.progress_before(spark, batch_id)
         watermark = before.next_watermark(OUT_OF_ORDER_SECONDS * 1000)
         rules = self.feed.current(spark)
@@ -76,7 +78,7 @@ class BatchScorer:
         try:
             for name, value in settings.items():
                 spark.sparkContext.setLocalProperty(name, value)
-            seen = tables.write(batch, "incoming", batch_id)
+            seen = tables.write(batch, "incoming", batch_id, spark)
         finally:
             for name in settings:
                 spark.sparkContext.setLocalProperty(name, None)
@@ -135,8 +137,9 @@ def score_stream(lines: DataFrame, root: str, *, rules_path: str | None = None,
     next; a card never leaves it.
     """
     spark = lines.sparkSession
-    # transformWithState works on RocksDB only.
+    # transformWithState works on RocksDB only, and no result waits for a batch without data.
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     feed = RuleFeed(rules_path)
     forget = feed.current(spark)[AMOUNT_ANOMALY].whole("stateTtlSeconds")
     valid = (accepted(_parsed(lines)).withColumn("event_time", event_time())
@@ -144,7 +147,7 @@ def score_stream(lines: DataFrame, root: str, *, rules_path: str | None = None,
     hot = HotCards(hot_cards, Tables(root))
     known = remember(valid, forget, "None" if trigger == "available" else "ProcessingTime",
                      hot.match())
-    scorer = BatchScorer(Tables(root), feed, hot, model=model, threshold=threshold,
+    scorer = BatchScorer(spark, Tables(root), feed, hot, model=model, threshold=threshold,
                          hot_rows=hot_rows, kafka=kafka)
     return _start(known.writeStream.queryName("score").foreachBatch(scorer),
                   f"{root}/checkpoint/score", trigger)

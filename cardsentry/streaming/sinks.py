@@ -7,7 +7,7 @@ import dataclasses
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardsentry.operators.alerts import upsert_alerts
+from cardsentry.operators.alerts import latest_alerts
 from cardsentry.schema import RULE_IDS
 
 _NEVER = -(1 << 62)
@@ -37,11 +37,12 @@ class Tables:
         folder = f"{self.root}/{table}"
         return folder if batch_id is None else f"{folder}/batch_id={batch_id}"
 
-    def write(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+    def write(self, df: DataFrame, table: str, batch_id: int,
+              spark: SparkSession | None = None) -> DataFrame:
         """Writes one batch and hands back what was written, free of its lineage."""
         path = self.of(table, batch_id)
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.of(table))
@@ -59,8 +60,7 @@ class Tables:
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         """The alert table: one row per transaction, ``inserted_at`` the first one."""
-        written = self.read(spark, "alerts").drop("batch_id")
-        return upsert_alerts(written, written.limit(0))
+        return latest_alerts(self.read(spark, "alerts").drop("batch_id"))
 
 
 def counters(scored: DataFrame, alert: Column, before: Progress, watermark_ms: int,

@@ -8,6 +8,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cardsentry.operators.alerts import by_card
 from cardsentry.operators.rules import RuleConfigError, default_rules
 from cardsentry.plans import jobs
 from cardsentry.schema import VELOCITY
@@ -55,6 +56,9 @@ def test_days_of_the_rollup_prune_partitions(spark, tmp_path):
     day = read_table(spark, f"{root}/scored").filter("event_date = DATE'2024-01-05'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+    plan = by_card(read_table(spark, f"{root}/alerts"), "card-1")._jdf.queryExecution(
+        ).executedPlan().toString()
+    assert "EqualTo(card_id,card-1)" in plan.split("PushedFilters")[1]
 
 
 def test_pushed_rules_are_checked_and_must_be_newer(spark, tmp_path):
