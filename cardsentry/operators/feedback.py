@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cardsentry.operators.facts import HOT_ROWS, card_facts
 from cardsentry.operators.rules import RuleSet, rules_frame, valid_configs
@@ -137,8 +137,6 @@ def candidate_rates(transactions: DataFrame, labels: DataFrame, rules: RuleSet,
     values = [v for v in grid[CARD_TESTING] if v > rules[CARD_TESTING].number("probeMaxAmountMinor")]
     legit = labels.filter(F.col("label") == "legit").select("transaction_id")
     fired = _testing_fires(transactions, rules, values, hot_rows)
-    legit_rows = (transactions.select("transaction_id").join(legit, "transaction_id", "left_semi")
-                  .agg(F.count(F.lit(1)).alias("legit_rows")))
     # One conditional count per value: a row also for a value that never fires.
     counted = (fired.join(legit, "transaction_id", "left_semi")
                .agg(*[F.count(F.when(F.col("candidate") == float(v), 1)).alias(f"_{i}")
@@ -146,10 +144,14 @@ def candidate_rates(transactions: DataFrame, labels: DataFrame, rules: RuleSet,
     pairs = F.array(*[F.struct(F.lit(float(v)).alias("candidate"), F.col(f"_{i}").alias("fired_legit"))
                       for i, v in enumerate(values)])
     testing = (counted.select(F.explode(pairs).alias("_r"))
-               .select(F.lit(CARD_TESTING).alias("rule_id"), "_r.*")
-               .withColumn("legit_rows", legit_rows.scalar()))
-    return plain.unionByName(testing).withColumn(
-        "fpr", F.when(F.col("legit_rows") > 0, F.col("fired_legit") / F.col("legit_rows")))
+               .select(F.lit(CARD_TESTING).alias("rule_id"), "_r.*",
+                       F.lit(None).cast("bigint").alias("legit_rows")))
+    # One row per value tried; the number of legit rows is the same for all of them.
+    every = W.partitionBy(F.lit(0))
+    return (plain.unionByName(testing)
+            .withColumn("legit_rows", F.max("legit_rows").over(every))
+            .withColumn("fpr", F.when(F.col("legit_rows") > 0,
+                                      F.col("fired_legit") / F.col("legit_rows"))))
 
 
 def choose(rates: DataFrame, target: float) -> DataFrame:

@@ -11,14 +11,14 @@ MAX_FILES_PER_TRIGGER = 1000
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str = "transactions",
-                max_offsets: int = MAX_OFFSETS_PER_TRIGGER, **options: str) -> DataFrame:
+                group: str = "fraud-scorer", max_offsets: int = MAX_OFFSETS_PER_TRIGGER, **options: str) -> DataFrame:
     """One binary ``value`` per record, untouched, from the earliest offset on."""
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
             .option("maxOffsetsPerTrigger", str(max_offsets))
-            .option("kafka.group.id", "fraud-scorer")
+            .option("kafka.group.id", group)
             .options(**options)
             .load()
             .select("value"))
