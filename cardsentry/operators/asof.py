@@ -29,16 +29,18 @@ def rules_in_force(questions: DataFrame, versions: DataFrame, at: str = "event_m
     pushes = (versions.select("rule_id", "version", F.coalesce("updated_ms", F.lit(0)).alias("_at"))
               .select("rule_id", "_at", _bucket(bucket_ms), best.alias("_best")))
 
+    # One row per rule and hour with a push, which the next two steps share.
+    pushed = pushes.groupBy("rule_id", "_bucket").agg(
+        F.max("_best").alias("_best"), F.max("_at").alias("_last_at"))
     # One row per rule; after the last push of a rule the answer is the same for ever.
-    rule = pushes.groupBy("rule_id").agg(
-        F.max("_best").alias("_final"), F.max("_at").alias("_last_at"),
+    rule = pushed.groupBy("rule_id").agg(
+        F.max("_best").alias("_final"), F.max("_last_at").alias("_last_at"),
         F.min("_bucket").alias("_lo"), F.max("_bucket").alias("_hi"))
     # One row per rule and hour between its first and its last push.
     hours = rule.select("rule_id", F.explode(F.sequence("_lo", "_hi")).alias("_bucket"))
-    pushed = pushes.groupBy("rule_id", "_bucket").agg(F.max("_best").alias("_best"))
     earlier = (W.partitionBy("rule_id").orderBy("_bucket")
                .rowsBetween(W.unboundedPreceding, -1))
-    start = (hours.join(pushed, ["rule_id", "_bucket"], "left")
+    start = (hours.join(pushed.drop("_last_at"), ["rule_id", "_bucket"], "left")
              .select("rule_id", "_bucket", (F.col("_bucket") * bucket_ms).alias("_at"),
                      F.max("_best").over(earlier).alias("_best"))
              .filter(F.col("_best").isNotNull()))

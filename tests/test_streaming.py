@@ -6,6 +6,7 @@ import random
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cardsentry.functions.wire import transaction_json
@@ -13,6 +14,7 @@ from cardsentry.operators.rules import RULE_CONFIG, default_rules, rules_frame
 from cardsentry.operators.verdict import score_transactions
 from cardsentry.schema import VELOCITY
 from cardsentry.sources.raw import file_lines
+from cardsentry.streaming import job
 from cardsentry.streaming.job import dead_letter_stream, score_stream
 from cardsentry.streaming.sinks import Tables
 from tests.helpers import frame, transaction
@@ -83,6 +85,30 @@ def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows, hot_card
     assert alerts.count() == alerts.select("transaction_id").distinct().count() == expected > 0
 
 
+@pytest.mark.parametrize("hot_cards", [(), ("hot",)])
+def test_a_batch_that_failed_half_way_is_run_again_without_a_trace(
+        spark, tmp_path, monkeypatch, hot_cards):
+    rows = _traffic(6, n=200)
+    feed = Feed(spark, tmp_path)
+    feed.put(rows[:100])
+    feed.run(hot_cards=hot_cards)
+    feed.put(rows[100:])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost in the middle of a batch")
+
+    # Scored rows, alerts and memory of the batch are written; its progress is not.
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "counters", broken)
+        with pytest.raises(StreamingQueryException):
+            feed.run(hot_cards=hot_cards)
+    feed.run(hot_cards=hot_cards)
+    batch = score_transactions(frame(spark, rows), default_rules())
+    assert _view(feed.tables.read(spark, "scored")) == _view(batch)
+    alerts = feed.tables.read(spark, "alerts")
+    assert alerts.count() == batch.filter("score >= 40").count()
+
+
 @pytest.mark.parametrize("hot_cards", [(), ("hot", "b")])
 def test_replayed_records_change_nothing(spark, tmp_path, hot_cards):
     rows = _traffic(2, n=120)
