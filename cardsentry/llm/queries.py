@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, packing, token_ids
+from cardsentry.llm import chat_format, language_id, packing, token_ids
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _query(name: str):
@@ -23,6 +24,11 @@ def _query(name: str):
     return add
 
 
+def _fold(folds: int) -> Column:
+    """The remainder of the crc32 of doc_id as text; null ids have none."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -88,3 +94,12 @@ SELECT conv_id, count(*) AS n_turns,
        count(*) FILTER (bad) = 0 AS valid, min(place) FILTER (bad) AS first_bad_turn
 FROM judged GROUP BY conv_id
 """
+
+
+@_query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    """Predicted language of all documents, learned outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.learn(docs, _fold(4) != 2, vocabulary=PIECES)
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
