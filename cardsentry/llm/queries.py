@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, language_id, packing, token_ids
+from cardsentry.llm import chat_format, language_id, packing, token_ids, toxicity
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,13 @@ def op10_language_id(spark, sf_dir):
     model = language_id.learn(docs, _fold(4) != 2, vocabulary=PIECES)
     found = language_id.predict(docs, model)
     return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    """Score of all documents, learned from labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(spark, docs, _table(spark, sf_dir, "labels"), _fold(5) != 0)
+    scored = toxicity.score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))

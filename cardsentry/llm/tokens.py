@@ -1,8 +1,9 @@
 """Token ids of whole texts, with the units of a text looked up once per worker.
 
-A text is cut before each space that is followed by a character that is not white space. The
-pre-tokenizer of the byte-level vocabulary ends a piece there in every text, so the ids of the
-units, one after another, are the ids of the text. Units repeat, so their ids are kept.
+The pre-tokenizer of the byte-level vocabulary ends a piece, in every text, before a space that
+is followed by a character other than white space, and around a line feed that has no white space
+beside it. So a text is cut there, and the ids of the units, one after another, are the ids of
+the text. Units repeat, so their ids are kept.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import numpy as np
 # Characters whose class (letter, digit, sign, white space) all Unicode versions agree on.
 _PLAIN = re.compile(r"[ -~\nÀ-ÖØ-öø-ɏ]*").fullmatch
 _ODD_SPACE = re.compile(r" (?!\S)").search
+_ODD_LINE = re.compile(r"\n(?!\S)|(?<!\S)\n").search
 _UNITS = re.compile(r" (?=\S)").split
 
 
@@ -26,10 +28,10 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class UnitIds(dict):
-    """Unit of text to its ids as little-endian bytes; emptied when ``most`` units are kept."""
+class _Bare(dict):
+    """Unit at the start of a line to its ids, as little-endian bytes."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int):
         super().__init__()
         import public_tokenizers
         import regex
@@ -44,37 +46,65 @@ class UnitIds(dict):
         self.letters = _byte_letters()
         self.most = most
 
-    def __missing__(self, unit: str) -> bytes:
-        if unit[-1] in ",." and unit[1:-1].isalpha() and _PLAIN(unit):
-            return self[unit[:-1]] + self[unit[-1]]  # shares its ids with the bare word
+    def word(self, unit: str) -> bytes:
+        """A unit that is one piece: only the merges are left to do."""
+        if unit.isascii() and "\n" not in unit:
+            shown = unit.replace(" ", "Ġ")
+        else:
+            shown = "".join([self.letters[b] for b in unit.encode()])
+        ids = [token.id for token in self.merge(shown)]
+        return struct.pack(self.pack % len(ids), *ids)
+
+    def encode(self, unit: str) -> bytes:
         pieces = self.pieces(unit) if _PLAIN(unit) else ()
-        if len(pieces) == 1:
-            if unit.isascii() and "\n" not in unit:
-                shown = unit.replace(" ", "\u0120")
-            else:
-                shown = "".join([self.letters[b] for b in unit.encode()])
-            found = [token.id for token in self.merge(shown)]
-            ids = struct.pack(self.pack % len(found), *found)
-        elif pieces:
-            ids = b"".join([self[piece] for piece in pieces])
+        if len(pieces) > 1:
+            return self.encode(pieces[0]) + b"".join([self[piece] for piece in pieces[1:]])
+        if pieces:
+            return self.word(unit)
+        ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        return struct.pack(self.pack % len(ids), *ids)
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.encode(unit)
+        if len(self) >= self.most:
+            self.clear()
+        self[unit] = ids
+        return ids
+
+
+class UnitIds(dict):
+    """Unit after a space (the key is without it) to the ids of both.
+
+    Each of the two tables is emptied when it holds ``most`` units.
+    """
+
+    def __init__(self, path: str, most: int = 1_200_000):
+        super().__init__()
+        self.bare = _Bare(path, most // 4)
+        self.tokenizer, self.dtype, self.most = self.bare.tokenizer, self.bare.dtype, most
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit[-1:] in ",." and unit[:-1].isalpha() and _PLAIN(unit):
+            ids = self[unit[:-1]] + self.bare[unit[-1]]  # most bare words are known by then
+        elif unit.isalpha() and _PLAIN(unit):
+            ids = self.bare.word(" " + unit)
         else:
-            found = self.tokenizer.encode(unit, add_special_tokens=False).ids
-            ids = struct.pack(self.pack % len(found), *found)
+            ids = self.bare.encode(" " + unit)
         if len(self) >= self.most:
             self.clear()
         self[unit] = ids
         return ids
 
+    def _line(self, text: str) -> bytes:
+        first, *rest = _UNITS(text) if _ODD_SPACE(text) else text.split(" ")
+        return (self.bare[first] if first else b"") + b"".join(map(self.__getitem__, rest))
+
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of one whole text; none for a null or empty one."""
         if not text:
             return np.empty(0, self.dtype)
-        first, *rest = _UNITS(text) if _ODD_SPACE(text) else text.split(" ")
-        if not rest:
-            return np.frombuffer(self[first], self.dtype)
-        if not first:  # the text starts with a space
-            first, rest = " " + rest[0], rest[1:]
-        return np.frombuffer(self[first] + b"".join([self[" " + unit] for unit in rest]), self.dtype)
+        lines = [text] if _ODD_LINE(text) else text.split("\n")
+        return np.frombuffer(self.bare["\n"].join(map(self._line, lines)), self.dtype)
 
 
 @lru_cache(maxsize=2)
