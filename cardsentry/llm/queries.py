@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, language_id, packing, token_ids, toxicity
+from cardsentry.llm import chat_format, language_id, ngram_join, packing, token_ids, toxicity
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,35 @@ def op7_toxicity(spark, sf_dir):
     scored = toxicity.score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op6_ngram_join")
+def op6_ngram_join(spark, sf_dir):
+    """Near-duplicate components of all documents: five-word shingles, Jaccard 0.8 or more."""
+    return ngram_join.components(spark, _table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5
+    THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (SELECT g FROM shingles GROUP BY g HAVING count(*) > 1),
+kept AS MATERIALIZED (SELECT * FROM shingles WHERE g IN (SELECT g FROM shared)),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i
+  FROM kept a JOIN kept b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs WHERE 100 * i >= 80 * (na + nb - i)
+  UNION SELECT b, a FROM pairs WHERE 100 * i >= 80 * (na + nb - i)),
+reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT d AS doc_id, any_value(len(s)) AS n_shingles, min(r) AS component_id
+FROM reach JOIN sets ON d = doc_id GROUP BY d
+"""
