@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, language_id, ngram_join, packing, token_ids, toxicity
+from cardsentry.llm import chat_format, language_id, ngram_join, packing, spotsigs, token_ids, toxicity
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,9 @@ reach AS (
 SELECT d AS doc_id, any_value(len(s)) AS n_shingles, min(r) AS component_id
 FROM reach JOIN sets ON d = doc_id GROUP BY d
 """
+
+
+@_query("op8_spotsigs")
+def op8_spotsigs(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
