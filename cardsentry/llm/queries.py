@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, language_id, ngram_join, packing, spotsigs, token_ids, toxicity
+from cardsentry.llm import chat_format, html_text, language_id, ngram_join, packing, spotsigs, token_ids, toxicity
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,9 @@ FROM reach JOIN sets ON d = doc_id GROUP BY d
 def op8_spotsigs(spark, sf_dir):
     """Fingerprints of all documents and of their edited texts."""
     return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query("op2_html_text")
+def op2_html_text(spark, sf_dir):
+    """Main text of all pages."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
