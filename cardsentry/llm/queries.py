@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, html_text, language_id, ngram_join, packing, spotsigs, token_ids, toxicity
+from cardsentry.llm import (
+    chat_format, decontaminate, html_text, language_id, ngram_join, packing, spotsigs, token_ids,
+    toxicity)
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +159,10 @@ def op8_spotsigs(spark, sf_dir):
 def op2_html_text(spark, sf_dir):
     """Main text of all pages."""
     return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query("op3_decontaminate")
+def op3_decontaminate(spark, sf_dir):
+    """All verified leaks of benchmark items in all documents."""
+    return decontaminate.leaks(spark, _table(spark, sf_dir, "documents"),
+                               _table(spark, sf_dir, "benchmark"))
