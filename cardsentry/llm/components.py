@@ -7,7 +7,9 @@ log k rounds, and a hub only ever takes part in sums and joins, which Spark can
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.session import drop_folder, new_folder, written
@@ -51,3 +53,58 @@ def connected(links: DataFrame) -> DataFrame:
         large = _star(_both_ways(now), True)
         down = large.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
         now = _star(down, False)
+
+
+def link_lists(spark: SparkSession, lists: DataFrame,
+               narrow: Callable[[DataFrame, bool], DataFrame],
+               verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, label: components of ids that meet in a list and are verified to link.
+
+    ``lists`` has token, id and what ``narrow`` needs; two ids that link share a token. Lists
+    whose ids are all connected are done, so each list first links everything to one leader, a
+    few times over, and last the ids outside a list's largest component meet all the others.
+    ``narrow`` filters rows (id ... against b_id ...), told whether all meetings of a pair are
+    among them; ``verified`` keeps the pairs (a, b) that truly link. No link between two
+    components is left untested.
+    """
+    lists = written(lists, new_folder(spark, "lists"))
+    links = spark.createDataFrame([], "a long, b long")
+    labels = spark.createDataFrame([], "node long, label long")
+    entries, leader = lists.count(), 0
+    while True:
+        labelled = written(
+            lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+                *lists.columns, F.coalesce("label", "id").alias("label")), new_folder(spark, "lists"))
+        groups = labelled.groupBy("token", "label").agg(F.count("*").alias("n"))
+        state = written(
+            groups.groupBy("token").agg(
+                F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"),
+                F.count("*").alias("k"))
+            .filter("k > 1").select("token", F.col("main.label").alias("main"),
+                                    (F.col("n") * (F.col("n") - F.col("main.n"))).alias("pairs")),
+            new_folder(spark, "lists"))
+        left = state.agg(F.sum("pairs")).first()[0] or 0
+        if not left:
+            return labels
+        last = left <= 4 * entries or leader == 4
+        waiting = labelled.join(state, "token")
+        if last:
+            other = waiting.filter("label <> main").select(
+                *(F.col(c).alias(f"b_{c}") for c in labelled.columns), "main")
+            met = (labelled.join(other, F.col("token") == F.col("b_token"))
+                   .filter((F.col("label") != F.col("b_label"))
+                           & ((F.col("label") == F.col("main")) | (F.col("id") < F.col("b_id")))))
+        else:
+            order = F.xxhash64("id", F.lit(leader)) if leader else F.col("id")
+            chosen = waiting.groupBy("token").agg(
+                F.min(F.struct(order.alias("order"), *labelled.columns)).alias("b"))
+            chosen = chosen.select(*(F.col(f"b.{c}").alias(f"b_{c}") for c in labelled.columns))
+            met = (labelled.join(chosen, F.col("token") == F.col("b_token"))
+                   .filter(F.col("label") != F.col("b_label")))
+        pairs = narrow(met, last).select(F.greatest("id", "b_id").alias("a"),
+                                         F.least("id", "b_id").alias("b")).distinct()
+        links = written(links.unionByName(verified(pairs)), new_folder(spark, "links"))
+        labels = connected(links)
+        if last:
+            return labels
+        leader += 1

@@ -38,13 +38,17 @@ _ROWS = 512
 
 @lru_cache(maxsize=2)
 def _pieces(vocabulary: str) -> tuple[dict[str, int], int]:
-    """Lower-case letter pieces of a SentencePiece model by id, and the longest one's length."""
+    """Lower-case letter pieces of a SentencePiece model by number, and how many there are.
+
+    Beginnings of pieces that are no pieces themselves have the number -2.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
     names = (model.id_to_piece(k) for k in range(model.get_piece_size()))
     kept = [p for p in names if p.lstrip(MARK).isalpha() and p == p.lower()]
-    return {p: k for k, p in enumerate(kept)}, max(map(len, kept), default=1)
+    beginnings = {p[:n]: -2 for p in kept for n in range(1, len(p))}
+    return beginnings | {p: k for k, p in enumerate(kept)}, len(kept)
 
 
 @dataclass
@@ -59,16 +63,18 @@ class Lattice:
 
 
 def lattice(words: list[str], vocabulary: str) -> Lattice:
-    pieces, longest = _pieces(vocabulary)
+    pieces, _ = _pieces(vocabulary)
     edges = []
     for at, word in enumerate(words):
         marked = MARK + word
         n = len(marked)
         for start in range(n):
             single = False
-            for end in range(start + 1, min(n, start + longest) + 1):
+            for end in range(start + 1, n + 1):
                 piece = pieces.get(marked[start:end])
-                if piece is not None:
+                if piece is None:
+                    break
+                if piece >= 0:
                     edges.append((at, start, end, piece))
                     single |= end == start + 1
             if not single:
@@ -112,7 +118,7 @@ def word_scores(words: list[str], vocabulary: str, probabilities: np.ndarray) ->
 
 def fit(words: list[str], counts: np.ndarray, vocabulary: str, rounds: int = 5) -> np.ndarray:
     """Piece probabilities of one language from word counts."""
-    size = len(_pieces(vocabulary)[0])
+    size = _pieces(vocabulary)[1]
     probability = np.full((size, 1), 1 / size)
     if not words:
         return probability[:, 0]
@@ -179,7 +185,7 @@ def learn(docs: DataFrame, usable: Column, *, vocabulary: str, sample: int = 200
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(sizes)
     if not names:
-        return Model([], np.zeros((len(_pieces(vocabulary)[0]), 0)), vocabulary)
+        return Model([], np.zeros((_pieces(vocabulary)[1], 0)), vocabulary)
     share = F.create_map(*(F.lit(x) for lang in names
                            for x in (lang, int(1e6 * min(1.0, sample / sizes[lang])))))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
@@ -217,10 +223,21 @@ class _WordTable(dict):
         self.is_word = np.concatenate([self.is_word, spelled])
 
 
+_TABLES: dict[int, _WordTable] = {}  # a worker keeps the words of the model it uses
+
+
+def _word_table(model: Model) -> _WordTable:
+    key = hash((model.vocabulary, *model.names, model.probabilities.tobytes()))
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = _WordTable(model)
+    return _TABLES[key]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _WordTable(model)
+        table = _word_table(model)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(at, _ROWS)

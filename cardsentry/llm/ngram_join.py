@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm.components import connected
+from cardsentry.llm.components import link_lists
 from cardsentry.session import new_folder, written
 
 _BLOCK = 1 << 20  # shingles that a task combines before it passes them on
@@ -306,54 +306,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def linked(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
     """set_id, label: the components of the sets that link with another one."""
     total = sets.agg(F.sum("size")).first()[0] or 0
-    lists = written(prefixes(sets, percent, max(1, total // _BLOCK)), new_folder(spark, "lists"))
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, label long")
-    entries, leader = lists.count(), 0
-    while True:
-        labelled = lists.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            *lists.columns, F.coalesce("label", "set_id").alias("label"))
-        labelled = written(labelled, new_folder(spark, "lists"))
-        groups = labelled.groupBy("token", "label").agg(F.count("*").alias("n"))
-        state = (groups.groupBy("token").agg(
-            F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("k"))
-            .filter("k > 1").select("token", F.col("main.label").alias("main"),
-                                    (F.col("n") * (F.col("n") - F.col("main.n"))).alias("pairs")))
-        state = written(state, new_folder(spark, "lists"))
-        left = state.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            break
-        last = left <= 4 * entries or leader == 4
-        open_lists = labelled.join(state, "token")
-        other = open_lists.select(*(F.col(c).alias(f"b_{c}") for c in labelled.columns), "main")
-        if last:  # every set outside a list's main component meets all others of the list
-            pairs = (labelled.join(other.filter("b_label <> main"), F.col("token") == F.col("b_token"))
-                     .filter((F.col("label") != F.col("b_label"))
-                             & ((F.col("label") == F.col("main"))
-                                | (F.col("set_id") < F.col("b_set_id"))))
-                     .filter(_may_link(percent, F.least("size", "b_size")))
-                     .groupBy("set_id", "b_set_id", "size", "b_size")
-                     .agg(F.count("*").alias("met"), F.max("place").alias("place"),
-                          F.max("b_place").alias("b_place"))
-                     .filter(_may_link(percent, F.col("met") + _rest())))
-        else:  # all others of a list meet its leader
-            order = F.xxhash64("set_id", F.lit(leader)) if leader else F.col("set_id")
-            chosen = open_lists.groupBy("token").agg(F.min(F.struct(
-                order.alias("order"), "token", "set_id", "size", "place", "label")).alias("b"))
-            chosen = chosen.select(*(F.col(f"b.{c}").alias(f"b_{c}") for c in labelled.columns))
-            shared = F.least("place", "b_place") + 1 + _rest()
-            pairs = (labelled.join(chosen, F.col("token") == F.col("b_token"))
-                     .filter(F.col("label") != F.col("b_label"))
-                     .filter(_may_link(percent, shared)))
-        pairs = pairs.select(F.greatest("set_id", "b_set_id").alias("a"),
-                             F.least("set_id", "b_set_id").alias("b")).distinct()
-        links = written(links.unionByName(_verified(pairs, sets, percent)),
-                        new_folder(spark, "links"))
-        labels = connected(links)
-        if last:
-            break
-        leader += 1
-    return labels.select(F.col("node").alias("set_id"), "label")
+    lists = prefixes(sets, percent, max(1, total // _BLOCK)).withColumnRenamed("set_id", "id")
+
+    def narrow(met: DataFrame, full: bool) -> DataFrame:
+        if not full:
+            return met.filter(_may_link(percent, F.least("place", "b_place") + 1 + _rest()))
+        return (met.filter(_may_link(percent, F.least("size", "b_size")))
+                .groupBy("id", "b_id", "size", "b_size")
+                .agg(F.count("*").alias("met"), F.max("place").alias("place"),
+                     F.max("b_place").alias("b_place"))
+                .filter(_may_link(percent, F.col("met") + _rest())))
+
+    return link_lists(spark, lists, narrow, lambda pairs: _verified(pairs, sets, percent)).select(
+        F.col("node").alias("set_id"), "label")
 
 
 def components(spark: SparkSession, docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:

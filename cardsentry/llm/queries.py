@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import (
-    chat_format, decontaminate, html_text, language_id, ngram_join, packing, spotsigs, token_ids,
-    toxicity)
+    chat_format, decontaminate, html_text, language_id, line_dedup, ngram_join, packing, spotsigs,
+    token_ids, toxicity)
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,13 @@ def op7_toxicity(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@_query("op5_line_dedup")
+def op5_line_dedup(spark, sf_dir):
+    """Class of every line of all documents, within two edits, and whether it is kept."""
+    lines = line_dedup.judged(spark, _table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
+
+
 @_query("op6_ngram_join")
 def op6_ngram_join(spark, sf_dir):
     """Near-duplicate components of all documents: five-word shingles, Jaccard 0.8 or more."""
@@ -166,3 +173,11 @@ def op3_decontaminate(spark, sf_dir):
     """All verified leaks of benchmark items in all documents."""
     return decontaminate.leaks(spark, _table(spark, sf_dir, "documents"),
                                _table(spark, sf_dir, "benchmark"))
+
+
+@_query("pipeline")
+def pipeline(spark, sf_dir):
+    """The stages of the corpus pipeline, one after another."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
