@@ -36,19 +36,41 @@ _WORDS = re.compile(r"[^\W\d_]+").findall
 _ROWS = 512
 
 
-@lru_cache(maxsize=2)
-def _pieces(vocabulary: str) -> tuple[dict[str, int], int]:
-    """Lower-case letter pieces of a SentencePiece model by number, and how many there are.
+def _step(hashes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Hashes of strings that are one letter longer."""
+    hashes = (hashes ^ letters) * np.uint64(0x9E3779B97F4A7C15)
+    return hashes ^ hashes >> np.uint64(29)
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, a row each."""
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    return flat.reshape(len(words), -1).astype(np.uint64)
 
-    Beginnings of pieces that are no pieces themselves have the number -2.
-    """
+
+@lru_cache(maxsize=2)
+def _pieces(vocabulary: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the lower-case letter pieces of a SentencePiece model and of their beginnings,
+    sorted; the piece's number or -2 for a mere beginning; and how many pieces there are."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
     names = (model.id_to_piece(k) for k in range(model.get_piece_size()))
     kept = [p for p in names if p.lstrip(MARK).isalpha() and p == p.lower()]
-    beginnings = {p[:n]: -2 for p in kept for n in range(1, len(p))}
-    return beginnings | {p: k for k, p in enumerate(kept)}, len(kept)
+    known = {p[:n]: -2 for p in kept for n in range(1, len(p))} | {p: k for k, p in enumerate(kept)}
+    by_length: dict[int, list[str]] = {}
+    for name in known:
+        by_length.setdefault(len(name), []).append(name)
+    hashes, numbers = [], []
+    for length, group in by_length.items():
+        codes, found = _codes(group), np.zeros(len(group), np.uint64)
+        for k in range(length):
+            found = _step(found, codes[:, k])
+        hashes.append(found)
+        numbers.append(np.array([known[name] for name in group]))
+    flat, values = np.concatenate(hashes), np.concatenate(numbers)
+    order = np.argsort(flat)
+    return flat[order], values[order], len(kept)
 
 
 @dataclass
@@ -63,25 +85,34 @@ class Lattice:
 
 
 def lattice(words: list[str], vocabulary: str) -> Lattice:
-    pieces, _ = _pieces(vocabulary)
+    """All pieces of all words, found for words of one length at once."""
+    known, numbers, _ = _pieces(vocabulary)
+    lengths = np.array([len(w) + 1 for w in words], np.int64)
     edges = []
-    for at, word in enumerate(words):
-        marked = MARK + word
-        n = len(marked)
+    for n in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == n)
+        codes = _codes([MARK + words[k] for k in rows])
         for start in range(n):
-            single = False
+            alive, hashes = np.arange(len(rows)), np.zeros(len(rows), np.uint64)
             for end in range(start + 1, n + 1):
-                piece = pieces.get(marked[start:end])
-                if piece is None:
+                hashes = _step(hashes, codes[alive, end - 1])
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[place] == hashes
+                piece = np.where(hit, numbers[place], -3)
+                if end == start + 1:  # a letter without a piece of its own can stand alone
+                    piece = np.where(piece < 0, -1, piece)
+                    taken = np.ones(len(piece), bool)
+                else:
+                    taken = piece >= 0
+                count = int(taken.sum())
+                edges.append(np.stack([rows[alive[taken]], np.full(count, start),
+                                       np.full(count, end), piece[taken]]))
+                alive, hashes = alive[hit], hashes[hit]
+                if not len(alive):
                     break
-                if piece >= 0:
-                    edges.append((at, start, end, piece))
-                    single |= end == start + 1
-            if not single:
-                edges.append((at, start, start + 1, -1))
-    table = np.array(edges, np.int32).reshape(-1, 4)
-    table = table[np.lexsort((table[:, 1], table[:, 0], table[:, 2]))]
-    return Lattice(*table.T, np.array([len(w) + 1 for w in words], np.int32))
+    table = np.concatenate(edges, axis=1) if edges else np.zeros((4, 0), np.int64)
+    table = table[:, np.lexsort((table[1], table[0], table[2]))]
+    return Lattice(*table, lengths)
 
 
 def _weights(found: Lattice, probabilities: np.ndarray) -> np.ndarray:
@@ -118,7 +149,7 @@ def word_scores(words: list[str], vocabulary: str, probabilities: np.ndarray) ->
 
 def fit(words: list[str], counts: np.ndarray, vocabulary: str, rounds: int = 5) -> np.ndarray:
     """Piece probabilities of one language from word counts."""
-    size = _pieces(vocabulary)[1]
+    size = _pieces(vocabulary)[2]
     probability = np.full((size, 1), 1 / size)
     if not words:
         return probability[:, 0]
@@ -146,7 +177,7 @@ def fit(words: list[str], counts: np.ndarray, vocabulary: str, rounds: int = 5)
 def letters(text: str | None) -> list[str]:
     """Runs of letters, lower-cased, none longer than ``LONGEST``."""
     found = _WORDS(text.lower()) if text else []
-    if any(len(w) > LONGEST for w in found):
+    if found and max(map(len, found)) > LONGEST:
         found = [w[k:k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
     return found
 
@@ -185,7 +216,7 @@ def learn(docs: DataFrame, usable: Column, *, vocabulary: str, sample: int = 200
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(sizes)
     if not names:
-        return Model([], np.zeros((_pieces(vocabulary)[1], 0)), vocabulary)
+        return Model([], np.zeros((_pieces(vocabulary)[2], 0)), vocabulary)
     share = F.create_map(*(F.lit(x) for lang in names
                            for x in (lang, int(1e6 * min(1.0, sample / sizes[lang])))))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
@@ -204,7 +235,7 @@ def learn(docs: DataFrame, usable: Column, *, vocabulary: str, sample: int = 200
 class _WordTable(dict):
     """Scores of words seen by a worker, emptied when ``most`` are kept."""
 
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 800_000):
         super().__init__()
         self.model, self.most = model, most
         self.scores = np.zeros((0, len(model.names)), np.float32)
@@ -214,7 +245,7 @@ class _WordTable(dict):
         if len(self) >= self.most:
             self.clear()
             self.scores, self.is_word = self.scores[:0], self.is_word[:0]
-        new = list({w: None for words in texts for w in words if w not in self})
+        new = list(set().union(*texts).difference(self))
         spelled = np.array([any(map(str.isalpha, w)) for w in new], bool)
         scores = word_scores(new, self.model.vocabulary, self.model.probabilities)
         scores[~spelled] = 0
