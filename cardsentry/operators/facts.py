@@ -1,7 +1,7 @@
 """Per-card facts: what each transaction knows about its card at its event time.
 
 Every window starts with the same two columns (card, slice), so one exchange
-serves all of them, and nothing here grows faster than its input:
+serves all of them, and no window costs more than its rows and their sort:
 
 * running counts and sums instead of sliding frames; a trailing count is the rank
   of a row minus the rows at or before the start of its window;
@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from cardsentry.operators.rules import RuleSet
 from cardsentry.schema import CARD_TESTING, VELOCITY
 
-# A card with more rows than this is cut into slices.
+# A card with more rows than this is cut into slices by the jobs over whole histories.
 HOT_ROWS = 1_000_000
-# At most this many cards are cut, which bounds the broadcast of the hot cards.
-MAX_HOT_CARDS = 100_000
+
+# Sums of amounts: exact, in any order, and beyond what a bigint holds.
+TOTAL = "decimal(38,0)"
 
 # Kinds of rows in a window.
 MEMORY, CONTEXT, OWN = 0, 1, 2
@@ -40,36 +41,24 @@ def look_back_ms(rules: RuleSet) -> int:
                       rules[CARD_TESTING].whole("windowSeconds"))
 
 
-def hot_cards(rows: DataFrame, look_back: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """(card_id, slice_ms) of the cards to cut, or None when there are none.
-
-    One count over one column, of which the largest MAX_HOT_CARDS cards at most reach
-    the driver, however large the input. A card left out holds no more than
-    1 / MAX_HOT_CARDS of all rows; it is scored all the same, in one piece.
+def hot_cards(rows: DataFrame, look_back: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(card_id, slice_ms) of the cards to cut; a plan like any other, nothing is collected.
 
     A slice is as many look-backs long as keep its busiest stretch below ``hot_rows``,
     and at least one. Measuring the busiest look-back rather than the span from first to
     last keeps bursts, and single rows with a broken clock, from making slices too long.
     """
-    spark = rows.sparkSession
-    largest = (rows.groupBy("card_id").agg(F.count(F.lit(1)).alias("n"))
-               .filter(F.col("n") > hot_rows)
-               .orderBy(F.col("n").desc()).limit(MAX_HOT_CARDS).collect())
-    if not largest:
-        return None
-    hot = spark.createDataFrame([(r["card_id"],) for r in largest], "card_id string")
     stretch = F.floor(F.col("event_ms") / F.lit(look_back))
-    peaks = (rows.select("card_id", "event_ms").join(F.broadcast(hot), "card_id")
-             .groupBy("card_id", stretch.alias("_s")).agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("card_id").agg(F.max("n").alias("peak")).collect())
-    return spark.createDataFrame(
-        [(r["card_id"], look_back * max(1, hot_rows // r["peak"])) for r in peaks],
-        "card_id string, slice_ms bigint")
+    longest = F.greatest(F.lit(1), F.floor(F.lit(hot_rows) / F.col("peak"))).cast("bigint")
+    return (rows.groupBy("card_id", stretch.alias("_s")).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("card_id").agg(F.sum("n").alias("n"), F.max("n").alias("peak"))
+            .filter(F.col("n") > hot_rows)
+            .select("card_id", (F.lit(look_back) * longest).alias("slice_ms")))
 
 
 def _in_slices(rows: DataFrame, hot: DataFrame, look_back: int) -> DataFrame:
     """Rows of hot cards per slice, with the end of each slice repeated as context of the next."""
-    cut = rows.join(F.broadcast(hot), "card_id", "left")
+    cut = rows.join(hot, "card_id", "left")
     ms, length = F.col("event_ms"), F.col("slice_ms")
     number = F.floor(ms / length).cast("bigint")
     near_end = ms > (number + 1) * length - look_back
@@ -87,7 +76,7 @@ def _slice_memory(rows: DataFrame, hot: DataFrame) -> DataFrame:
     Slices are first reduced to one row each (combined before the shuffle); the
     window then runs over slices, not over transactions.
     """
-    cut = rows.filter(F.col("_kind") != CONTEXT).join(F.broadcast(hot), "card_id")
+    cut = rows.filter(F.col("_kind") != CONTEXT).join(hot, "card_id")
     first = F.lit(_BEGINNING)
     number = F.when(F.col("_kind") == MEMORY, first).otherwise(
         F.floor(F.col("event_ms") / F.col("slice_ms")).cast("bigint"))
@@ -117,19 +106,20 @@ def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
     rows have it, is_late.
     """
     own = rows.select("*", F.lit(OWN).alias("_kind"), F.lit(1).cast("bigint").alias("_n"),
-                      F.col("amount_minor").alias("_amount"))
+                      F.col("amount_minor").cast(TOTAL).alias("_amount"))
     if memory is None:
         return own
     remembered = memory.select(
         "card_id", F.col("kind").alias("_kind"), "transaction_id", "event_ms", "amount_minor",
         "country_code",
         F.when(F.col("kind") == MEMORY, F.col("seen")).otherwise(F.lit(0)).alias("_n"),
-        F.when(F.col("kind") == MEMORY, F.col("seen_total")).otherwise(F.lit(0)).alias("_amount"),
+        F.when(F.col("kind") == MEMORY, F.col("seen_total")).otherwise(F.lit(0)).cast(TOTAL)
+        .alias("_amount"),
         *[c for c in ("is_late",) if c in rows.columns])
     return own.unionByName(remembered, allowMissingColumns=True)
 
 
-def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = HOT_ROWS,
+def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
                memory: DataFrame | None = None) -> DataFrame:
     """``rows`` with the per-card facts of every rule, thresholds not yet applied.
 
@@ -139,7 +129,8 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = HOT_RO
     this row, when large, completes: array of first_ms, total_minor).
 
     Order within a card is (event_ms, transaction_id). Ids are expected to be unique.
-    ``hot_rows=None`` skips the look for hot cards. With a boolean column
+    Cards above ``hot_rows`` are cut into slices, which asks for a count per card first;
+    without it every card is scored in one piece. With a boolean column
     ``is_late`` in ``rows``, late rows take no part in card testing.
     """
     look_back = look_back_ms(rules)
@@ -151,8 +142,7 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = HOT_RO
         sliced = _in_slices(prepared, hot, look_back)
         if memory is not None:
             # The memory row of a hot card is folded into the rows of its slices.
-            sliced = sliced.join(F.broadcast(hot.select("card_id", F.lit(True).alias("_hot"))),
-                                 "card_id", "left")
+            sliced = sliced.join(hot.select("card_id", F.lit(True).alias("_hot")), "card_id", "left")
             sliced = sliced.filter((F.col("_kind") != MEMORY) | F.col("_hot").isNull()).drop("_hot")
         placed = sliced.unionByName(_slice_memory(prepared, hot), allowMissingColumns=True)
     return _windows(placed, rules, rows.columns, streaming=memory is not None)
@@ -189,7 +179,7 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         "*",
         f"count_if(_real) OVER ({upto}) AS _rank",
         f"sum(if(_kind = {CONTEXT}, 0, _n)) OVER ({past}) AS _prior_count",
-        f"sum(if(_kind = {CONTEXT}, 0, _amount)) OVER ({past}) AS _prior_total",
+        f"sum(if(_kind = {CONTEXT}, CAST(0 AS {TOTAL}), _amount)) OVER ({past}) AS _prior_total",
         f"lag(country_code) OVER ({line}) AS _lag_country",
         f"lag(event_ms) OVER ({line}) AS _lag_ms",
         f"count_if(_large) OVER ({past}) AS _group",
@@ -203,20 +193,21 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"count_if(_real) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
         f" AND {velocity_ms} PRECEDING) AS _outside")
 
-    # Card testing without a join. The rows between two large ones form a group. A row stands
-    # at its time, pushed on by two windows for each group before and by one more for a large
-    # row. A frame of one window, one window back, then holds for a large row just the rows of
-    # its own group inside the window, and for any other row at most the large row before it.
-    # Places rise in event-time order, so this sort finds its input sorted.
+    # Card testing without a join. The rows up to and with a large one form a group, whose
+    # complete runs stand at place 3g, whose large row stands at 3g + 1 and all else at 3g + 2.
+    # The frame is the place before one's own: the large row alone sees runs, each run is
+    # gathered once, and rows at one place share one frame.
     gathered = running.selectExpr(
         "*",
-        f"if(_real, event_ms + {testing_ms} * (2 * _group + int(_large)), {_BEGINNING}) AS _place",
         "if(_probe AND _first_ms IS NOT NULL,"
         " named_struct('first_ms', _first_ms, 'total_minor', _run_total), null) AS _run",
     ).selectExpr(
         "*",
-        f"collect_list(_run) OVER ({card} ORDER BY _place RANGE BETWEEN"
-        f" {2 * testing_ms - 1} PRECEDING AND {testing_ms} PRECEDING) AS _runs",
+        "3 * _group + CASE WHEN _large THEN 1 WHEN _run IS NOT NULL THEN 0 ELSE 2 END AS _place",
+    ).selectExpr(
+        "*",
+        f"collect_list(_run) OVER ({card} ORDER BY _place"
+        " RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS _runs",
     ).filter(F.col("_kind") == OWN)
 
     prev_ms, prev_country = "_lag_ms", "_lag_country"
@@ -229,7 +220,7 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         *columns,
         "_rank - _outside AS velocity_count",
         "coalesce(_prior_count, 0L) AS prior_count",
-        "coalesce(_prior_total, 0L) AS prior_total",
+        f"coalesce(_prior_total, CAST(0 AS {TOTAL})) AS prior_total",
         f"{prev_country} AS prev_country",
         f"{prev_ms} AS prev_ms",
         f"if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms > event_ms - {testing_ms})),"

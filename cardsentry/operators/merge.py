@@ -11,30 +11,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 _HIT_KEY = ["transaction_id", "rule_id", "weight", "rule_version"]
+_EXTRA = ("array<struct<rule_id:string,rule_version:bigint,weight:int,times:bigint,"
+          "evidence:variant>>")
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:
-    """(transaction_id, extra_score, extra_hits): the hits of a transaction, counted."""
-    counted = hits.groupBy(*_HIT_KEY).agg(F.count(F.lit(1)).alias("times"))
-    per_hit = F.struct("rule_id", "rule_version", "weight", "times")
+    """(transaction_id, extra_score, extra_hits): the hits of a transaction, counted.
+
+    The evidence of the first of equal hits stands for all of them.
+    """
+    evidence = F.col("evidence") if "evidence" in hits.columns else F.parse_json(F.lit("{}"))
+    counted = hits.withColumn("evidence", evidence).groupBy(*_HIT_KEY).agg(
+        F.count(F.lit(1)).alias("times"), F.first("evidence", True).alias("evidence"))
+    per_hit = F.struct("rule_id", "rule_version", "weight", "times", "evidence")
+    key = lambda h: F.struct(h["rule_id"], h["rule_version"], h["weight"])
+    ordered = F.array_sort(F.collect_list(per_hit), lambda a, b: (
+        F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)))
     return counted.groupBy("transaction_id").agg(
         F.sum(F.col("weight") * F.col("times")).cast("bigint").alias("extra_score"),
-        F.sort_array(F.collect_list(per_hit)).alias("extra_hits"))
+        ordered.alias("extra_hits"))
 
 
 def merge_scores(scored: DataFrame, hits: DataFrame) -> DataFrame:
-    """Scored rows with the weights of all outside hits added; others pass through.
+    """Scored rows with all outside hits appended and their weights added; others pass through.
 
-    The outside hits stay a table of their own (one row per hit, with evidence);
-    ``extra_hits`` says how often each rule version fired.
+    A hit that came several times stands in ``hits`` as often. ``extra_hits`` says how often
+    each rule version fired.
     """
     merged = scored.join(hit_counts(hits), "transaction_id", "left")
+    extra = F.coalesce("extra_hits", F.array().cast(_EXTRA))
+    copies = F.flatten(F.transform(extra, lambda h: F.array_repeat(
+        F.struct(h["rule_id"].alias("rule_id"), h["weight"].alias("weight"),
+                 h["rule_version"].alias("rule_version"), h["evidence"].alias("evidence")),
+        h["times"].cast("int"))))
     total = F.col("score") + F.coalesce("extra_score", F.lit(0))
-    none = F.array().cast("array<struct<rule_id:string,rule_version:bigint,weight:int,times:bigint>>")
     return merged.select(
-        *[c for c in scored.columns if c != "score"],
-        total.cast("int").alias("score"),
-        F.coalesce("extra_hits", none).alias("extra_hits"))
+        *[c for c in scored.columns if c not in ("score", "hits")],
+        total.cast("int").alias("score"), F.concat("hits", copies).alias("hits"),
+        extra.alias("extra_hits"))
 
 
 def orphan_hits(hits: DataFrame, scored: DataFrame) -> DataFrame:

@@ -6,24 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from cardsentry.operators.facts import TOTAL
 from cardsentry.schema import ALERT_THRESHOLD
 
 
 def daily_card_agg(scored: DataFrame, threshold: int = ALERT_THRESHOLD) -> DataFrame:
     """One row per UTC day and card; max_score is null on a day without an alert.
 
-    All aggregates combine before the shuffle, the distinct ones on (day, card,
-    value), so the size of a card does not matter.
+    Rows are first summed up by (day, card, merchant, country), which combines before the
+    shuffle; the distinct counts then run over those few rows, so the size of a card does not
+    matter and no row is repeated. The total is a decimal, which no sum of bigints exceeds.
     """
     alert = F.col("score") >= threshold
     day = F.date_from_unix_date(F.floor(F.col("event_ms") / F.lit(86_400_000)).cast("int"))
-    return (scored.groupBy(day.alias("agg_date"), "card_id")
-            .agg(F.count(F.lit(1)).alias("txn_count"),
-                 F.count(F.when(alert, 1)).alias("alert_count"),
-                 F.sum("amount_minor").alias("total_amount_minor"),
+    parts = (scored.groupBy(day.alias("agg_date"), "card_id", "merchant_id", "country_code")
+             .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(alert, 1)).alias("alerts"),
+                  F.sum(F.col("amount_minor").cast(TOTAL)).alias("total"),
+                  F.max(F.when(alert, F.col("score"))).alias("max_score")))
+    return (parts.groupBy("agg_date", "card_id")
+            .agg(F.sum("n").alias("txn_count"), F.sum("alerts").alias("alert_count"),
+                 F.sum("total").alias("total_amount_minor"),
                  F.countDistinct("merchant_id").cast("int").alias("distinct_merchants"),
                  F.countDistinct("country_code").cast("int").alias("distinct_countries"),
-                 F.max(F.when(alert, F.col("score"))).alias("max_score")))
+                 F.max("max_score").alias("max_score")))
 
 
 def delay_percentiles(scored: DataFrame, points: Sequence[float] = (0.5, 0.9, 0.99),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardsentry.functions.geo import km_per_hour
 from cardsentry.functions.numbers import round_to_long, whole_seconds
 from cardsentry.functions.risk import Model, logistic_risk
-from cardsentry.operators.facts import FACT_COLUMNS, HOT_ROWS, card_facts
+from cardsentry.operators.facts import FACT_COLUMNS, card_facts
 from cardsentry.operators.rules import Rule, RuleSet
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, HIT, MODEL_SCORE, VELOCITY)
@@ -109,7 +109,7 @@ def with_measures(facts: DataFrame, model: Model = logistic_risk) -> DataFrame:
     return located.select(
         *columns,
         F.when(F.col("prior_count") > 0,
-               F.col("prior_total") / F.col("prior_count")).alias("prior_mean"),
+               F.col("prior_total").cast("double") / F.col("prior_count")).alias("prior_mean"),
         (F.col("event_ms") - F.col("prev_ms")).alias("gap_ms"),
         "travel_km",
         km_per_hour(F.col("travel_km"), F.col("event_ms") - F.col("prev_ms")).alias("travel_kmh"),
@@ -166,7 +166,7 @@ def with_verdict(measures: DataFrame, rules: RuleSet, *, dedupe_hits: bool = Fal
 
 
 def score_transactions(transactions: DataFrame, rules: RuleSet, *, model: Model = logistic_risk,
-                       hot_rows: int | None = HOT_ROWS, memory: DataFrame | None = None,
+                       hot_rows: int | None = None, memory: DataFrame | None = None,
                        dedupe_hits: bool = False,
                        row_rules: Sequence[RowRule] = ROW_RULES) -> DataFrame:
     """One scored row per transaction: its columns, score, hits and scored_at.

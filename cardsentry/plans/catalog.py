@@ -118,7 +118,8 @@ def _facts(spark: SparkSession, sf_dir: str, burst: bool, rules: R.RuleSet,
     facts = with_measures(card_facts(sample_transactions(spark, sf_dir, burst), rules,
                                      hot_rows=hot_rows))
     return facts.select(
-        "transaction_id", "velocity_count", "prior_count", "prior_total", "prev_country", "gap_ms",
+        "transaction_id", "velocity_count", "prior_count",
+        F.col("prior_total").cast("bigint").alias("prior_total"), "prev_country", "gap_ms",
         F.size("probe_runs").alias("n_runs"), F.round("travel_km", 4).alias("travel_km"))
 
 

@@ -21,6 +21,7 @@ from cardsentry.operators.rules import (
     Rule, RuleConfigError, RuleSet, load_rules, require_valid, rules_frame)
 from cardsentry.operators.verdict import score_transactions, scored_only
 from cardsentry.schema import RULE_CONFIG, RULE_SOURCES, TRANSACTION_COLUMNS
+from cardsentry.session import drop_folder, new_folder, written
 from cardsentry.sources.parse import dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.tables import append_rows, overwrite_days, read_table
 
@@ -68,9 +69,30 @@ def score_all(spark: SparkSession, root: str, *, model: Model = logistic_risk,
                    f"{root}/scored", "event_date", "card_id", "event_ms")
     scored = read_table(spark, f"{root}/scored")
     quality.require_clean(quality.scored_checks(scored))
-    alerts = flat_alerts(scored).withColumn("inserted_at", F.current_timestamp())
-    overwrite_days(alerts.withColumn("event_date", _day(F.unix_millis("event_time"))),
-                   f"{root}/alerts", "event_date", "card_id", "event_time")
+    _replace_alerts(spark, flat_alerts(scored), f"{root}/alerts")
+
+
+def _replace_alerts(spark: SparkSession, alerts: DataFrame, path: str) -> None:
+    """The alert table becomes ``alerts``: what no longer alerts goes, days without an alert
+    included; an alert that was there before keeps the time of its first insert."""
+    fresh = alerts.withColumn("inserted_at", F.current_timestamp())
+    try:
+        before = read_table(spark, path).select(
+            "transaction_id", F.col("inserted_at").alias("first_inserted_at"))
+    except AnalysisException:
+        before = None
+    if before is not None:
+        fresh = (fresh.join(before, "transaction_id", "left")
+                 .withColumn("inserted_at", F.coalesce("first_inserted_at", "inserted_at"))
+                 .drop("first_inserted_at"))
+    # Written beside the table first, because the table is read here.
+    fresh = fresh.withColumn("event_date", _day(F.unix_millis("event_time")))
+    held = new_folder(spark, "alerts")
+    staged = written(fresh, held)
+    (staged.hint("rebalance", "event_date")
+     .sortWithinPartitions("event_date", "card_id", "event_time")
+     .write.mode("overwrite").partitionBy("event_date").parquet(path))
+    drop_folder(spark, held)
 
 
 def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime.date) -> None:
@@ -78,6 +100,8 @@ def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime
     days = read_table(spark, f"{root}/scored").filter(
         F.col("event_date").between(F.lit(first), F.lit(last)))
     rollup = daily_card_agg(days).withColumn("computed_at", F.current_timestamp())
+    for k in range((last - first).days + 1):  # a day that lost its rows must not keep its rollup
+        drop_folder(spark, f"{root}/daily_card_agg/agg_date={first + datetime.timedelta(k)}")
     overwrite_days(rollup, f"{root}/daily_card_agg", "agg_date", "card_id")
     quality.require_clean(quality.rollup_checks(read_table(spark, f"{root}/daily_card_agg").filter(
         F.col("agg_date").between(F.lit(first), F.lit(last)))))

@@ -326,7 +326,7 @@ FROM stamped s LEFT JOIN valid v ON v.rule_id = s.rule_id AND v.version = s.vers
 _add("daily_card_agg", _scored(), """
 SELECT CAST(epoch_ms(event_ms) AS DATE) AS agg_date, card_id, count(*) AS txn_count,
   count(*) FILTER (score >= 40) AS alert_count,
-  CAST(sum(amount_minor) AS BIGINT) AS total_amount_minor,
+  CAST(sum(amount_minor) AS DECIMAL(38,0)) AS total_amount_minor,
   CAST(count(DISTINCT merchant_id) AS INTEGER) AS distinct_merchants,
   CAST(count(DISTINCT country_code) AS INTEGER) AS distinct_countries,
   max(score) FILTER (score >= 40) AS max_score FROM scored GROUP BY 1, 2""")

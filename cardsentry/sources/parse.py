@@ -1,7 +1,8 @@
 """Strict parse of wire JSON, with a dead-letter side for everything it refuses.
 
 A record is refused for text that is not a JSON object of the right types, for a
-missing required field and for a negative amount. Unknown fields are ignored.
+missing required field, for a negative amount and for a time outside the years 1 to 9999,
+which no later operator could hold. Unknown fields are ignored.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from cardsentry.schema import TRANSACTION, TRANSACTION_COLUMNS, TRANSACTION_WIRE
 PARSE_ERROR = "Failed to parse Transaction"
 PAYLOAD_CHARS = 1024
 
+# Event times from the start of year 1 to the end of year 9999: what dates and timestamps hold.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
 _CORRUPT = "_corrupt"
 _WIRE = T.StructType(
     [T.StructField(TRANSACTION_WIRE[f.name], f.dataType, True) for f in TRANSACTION.fields]
@@ -28,7 +32,9 @@ def _reason() -> Column:
     for name in _REQUIRED:
         wire = TRANSACTION_WIRE[name]
         checks = checks.when(F.col(wire).isNull(), F.lit(f"missing {wire}"))
-    return checks.when(F.col(TRANSACTION_WIRE["amount_minor"]) < 0, F.lit("negative amountMinor"))
+    checks = checks.when(F.col(TRANSACTION_WIRE["amount_minor"]) < 0, F.lit("negative amountMinor"))
+    in_span = F.col(TRANSACTION_WIRE["event_ms"]).between(FIRST_MS, LAST_MS)
+    return checks.when(~in_span, F.lit("eventTime out of range"))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -11,14 +11,17 @@ MAX_FILES_PER_TRIGGER = 1000
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str = "transactions",
-                group: str = "fraud-scorer", max_offsets: int = MAX_OFFSETS_PER_TRIGGER, **options: str) -> DataFrame:
-    """One binary ``value`` per record, untouched, from the earliest offset on."""
+                max_offsets: int = MAX_OFFSETS_PER_TRIGGER, **options: str) -> DataFrame:
+    """One binary ``value`` per record, untouched, from the earliest offset on.
+
+    Each query gets a consumer group of its own, so that two queries never share the records.
+    Written against Spark's connector, which is not on this machine: never run here.
+    """
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
             .option("maxOffsetsPerTrigger", str(max_offsets))
-            .option("kafka.group.id", group)
             .options(**options)
             .load()
             .select("value"))

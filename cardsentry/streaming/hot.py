@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardsentry.operators.facts import CONTEXT, MEMORY
+from cardsentry.operators.facts import CONTEXT, MEMORY, TOTAL
 from cardsentry.sources.parse import unique_transactions
 from cardsentry.streaming.sinks import Progress, Tables
 
-_MEMORY = "card_id string, seen bigint, seen_total bigint, last struct<event_ms:bigint," \
+_MEMORY = "card_id string, seen bigint, seen_total decimal(38,0), last struct<event_ms:bigint," \
           "transaction_id:string,country_code:string>"
 
 
@@ -75,18 +75,18 @@ class HotCards:
         context = recent.select(
             "card_id", F.lit(CONTEXT).alias("kind"), "transaction_id", "event_ms", "amount_minor",
             "country_code", F.lit(None).cast("bigint").alias("seen"),
-            F.lit(None).cast("bigint").alias("seen_total"), "is_late")
+            F.lit(None).cast(TOTAL).alias("seen_total"), "is_late")
         return memory.unionByName(context)
 
     def remember(self, remembered: DataFrame, scored: DataFrame, batch_id: int) -> None:
         """Writes what is known after this batch: a row per hot card ever seen."""
         both = remembered.unionByName(_summed(scored.filter(self.match())))
         self.tables.write(both.groupBy("card_id").agg(
-            F.sum("seen").alias("seen"), F.sum("seen_total").alias("seen_total"),
+            F.sum("seen").alias("seen"), F.sum("seen_total").cast(TOTAL).alias("seen_total"),
             F.max("last").alias("last")), "hot_memory", batch_id)
 
 
 def _summed(scored: DataFrame) -> DataFrame:
     return scored.groupBy("card_id").agg(
-        F.count(F.lit(1)).alias("seen"), F.sum("amount_minor").alias("seen_total"),
+        F.count(F.lit(1)).alias("seen"), F.sum(F.col("amount_minor").cast(TOTAL)).cast(TOTAL).alias("seen_total"),
         F.max(F.struct("event_ms", "transaction_id", "country_code")).alias("last"))

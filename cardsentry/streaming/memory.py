@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from decimal import Decimal
 
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
@@ -35,7 +36,7 @@ _RECENT = T.StructType([
     T.StructField("is_late", T.BooleanType())])
 # One record per card: every access is a round trip between the task and its worker.
 _CARD = T.StructType([
-    T.StructField("seen", T.LongType()), T.StructField("seen_total", T.LongType()),
+    T.StructField("seen", T.LongType()), T.StructField("seen_total", T.DecimalType(38, 0)),
     T.StructField("last_ms", T.LongType()), T.StructField("last_id", T.StringType()),
     T.StructField("last_country", T.StringType()),
     T.StructField("recent", T.ArrayType(_RECENT))])
@@ -43,7 +44,7 @@ _CARD = T.StructType([
 REMEMBERED = T.StructType(
     [T.StructField(f.name, f.dataType, True) for f in TRANSACTION.fields]
     + [T.StructField("is_late", T.BooleanType()), T.StructField("kind", T.IntegerType()),
-       T.StructField("seen", T.LongType()), T.StructField("seen_total", T.LongType())])
+       T.StructField("seen", T.LongType()), T.StructField("seen_total", T.DecimalType(38, 0))])
 _Out = Row(*REMEMBERED.fieldNames())
 
 
@@ -103,7 +104,7 @@ class CardMemory(StatefulProcessor):
         if known is not None:
             last = max(last, (known[2], known[3], known[4]))
         self.card.update((len(fresh) + (known[0] if known else 0),
-                          total + (known[1] if known else 0), *last,
+                          Decimal(total) + (known[1] if known else 0), *last,
                           [r for r in recent + fresh if r[0] > last[0] - self.keep_ms]))
 
     def _passed(self, row, late_before: int) -> Row:

@@ -82,6 +82,12 @@ def test_outside_hits_merge_and_orphans(spark, scored):
     assert merged["a1"]["score"] == 40 + 35 and merged["b0"]["score"] == 10
     assert merged["a2"]["score"] == 40 and merged["a2"]["extra_hits"] == []
     assert [(h["rule_id"], h["times"]) for h in merged["a1"]["extra_hits"]] == [("x", 3), ("y", 1)]
+    whole = merge.merge_scores(scored, hits)
+    assert quality.scored_checks(whole).filter(
+        "check = 'scored.score is the sum of weights' AND violations = 0").count() == 1
+    alerts = {r["transaction_id"]: r for r in A.flat_alerts(whole).collect()}
+    assert alerts["a1"]["score"] == 75
+    assert alerts["a1"]["rule_ids"] == ["geo_impossible", "x", "x", "x", "y"]
     orphans = merge.orphan_hits(merge.unite_hits(hits, hits), scored)
     assert [r["transaction_id"] for r in orphans.collect()] == ["gone", "gone"]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def test_all_rows_of_a_card_at_one_moment(spark):
 
 def test_hot_cards_are_found_and_bounded(spark):
     rows = frame(spark, _random_rows(3))
-    assert hot_cards(rows, 300_000, 1_000) is None
+    assert hot_cards(rows, 300_000, 1_000).count() == 0
     found = hot_cards(rows, 300_000, 300).collect()
     assert [r["card_id"] for r in found] == ["hot"]
     assert all(r["slice_ms"] >= 300_000 and r["slice_ms"] % 300_000 == 0 for r in found)
@@ -180,3 +181,37 @@ def test_broken_clocks_disturb_nothing(spark):
     for hot_rows in (None, 20):
         got = collected_facts(card_facts(frame(spark, rows), default_rules(), hot_rows=hot_rows))
         assert got == simulator.facts(as_dicts(rows))
+
+
+def _busy_card(spark, n, amount, span_ms):
+    """One card of n rows inside ``span_ms``."""
+    return spark.range(n).select(
+        F.format_string("t%08d", "id").alias("transaction_id"), F.lit("busy").alias("card_id"),
+        F.lit(amount).cast("bigint").alias("amount_minor"), F.lit("USD").alias("currency"),
+        F.lit("m").alias("merchant_id"), F.lit("5411").alias("merchant_category"),
+        F.lit("US").alias("country_code"), F.lit("d").alias("device_fingerprint"),
+        (F.lit(T0) + F.floor(F.col("id") * span_ms / n)).cast("bigint").alias("event_ms"))
+
+
+@pytest.mark.parametrize("amount", [100, 1000])
+def test_a_busy_card_costs_as_much_as_a_quiet_one(spark, amount):
+    """80,000 rows in 15 minutes: all probes, or none of them; no frame grows with the card."""
+    def seconds(span_ms):
+        start = time.perf_counter()
+        card_facts(_busy_card(spark, 80_000, amount, span_ms), default_rules()).write.format(
+            "noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(900_000)
+    spread = min(seconds(80_000 * 600_000) for _ in range(2))
+    assert min(seconds(900_000) for _ in range(2)) < 3 * spread + 0.5
+
+
+def test_amounts_near_the_limit_add_up(spark):
+    rows = [transaction(f"t{i}", T0 + i * 1000, amount_minor=9 * 10 ** 18) for i in range(4)]
+    for hot_rows in (None, 2):
+        got = card_facts(frame(spark, rows), default_rules(), hot_rows=hot_rows).orderBy(
+            "transaction_id").collect()
+        assert [int(r["prior_total"]) for r in got] == [k * 9 * 10 ** 18 for k in range(4)]
+        scored = score_transactions(frame(spark, rows), default_rules(), hot_rows=hot_rows)
+        assert scored.count() == 4

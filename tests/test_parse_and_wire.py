@@ -9,6 +9,7 @@ from cardsentry.operators.alerts import flat_alerts
 from cardsentry.operators.rules import (
     default_rules, load_rules, parse_rule_configs, rules_frame, valid_configs)
 from cardsentry.operators.verdict import score_transactions
+from cardsentry.schema import event_time
 from cardsentry.sources.parse import (
     accepted, dead_letter_json, dead_letters, parse_lines, unique_transactions)
 from cardsentry.sources.raw import batch_lines
@@ -112,3 +113,12 @@ def test_rule_configs_travel_as_json(spark):
     assert rules["geo_impossible"].number("maxKmPerHour") == 900.0
     broken = parse_rule_configs(spark.createDataFrame([("{oops",)], "value string"))
     assert valid_configs(broken).count() == 0
+
+
+def test_times_no_operator_can_hold_are_refused(spark):
+    times = [10 ** 17, -(10 ** 17), 9_223_372_036_854_775_807, 253_402_300_799_999]
+    lines = [GOOD.replace("1767225600123", str(t)) % "" for t in times]
+    parsed = parse_lines(_lines(spark, lines))
+    assert [r["reason"] for r in parsed.select("reason").collect()] == [
+        "eventTime out of range"] * 3 + [None]
+    assert accepted(parsed).select(event_time()).count() == 1
