@@ -105,7 +105,7 @@ def train(rows: list[np.ndarray], positive: np.ndarray, size: int, prior: float,
     # reach into the bulk of them.
     scores = bias + np.array([weights[row].sum() for at, row in enumerate(rows) if not positive[at]])
     if len(scores):
-        bias -= max(np.quantile(scores, 1 - 0.95 * prior), 0.4 * min(0, np.median(scores)))
+        bias -= max(np.quantile(scores, 1 - 0.95 * prior), 0.4 * min(0, np.median(scores))) - 1e-6
     return weights, float(bias)
 
 
