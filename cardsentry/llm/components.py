@@ -34,25 +34,28 @@ def _star(pairs: DataFrame, onto_larger: bool) -> DataFrame:
     return made.filter("a <> b").distinct()
 
 
+def _is_settled(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that one has none."""
+    sides = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = sides.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """node, label (its component's smallest node) for every node of the links (a, b)."""
     spark = links.sparkSession
     turned = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, seen, before = turned.distinct(), None, None
-    while True:
-        folder = new_folder(spark, "components")
-        now = written(now, folder)
-        if before is not None:
-            drop_folder(spark, before)
-        before = folder
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
-        seen = state
+    folder = new_folder(spark, "components")
+    now = written(turned.distinct(), folder)
+    while not _is_settled(now):
         large = _star(_both_ways(now), True)
         down = large.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
-        now = _star(down, False)
+        before, folder = folder, new_folder(spark, "components")
+        now = written(_star(down, False), folder)
+        drop_folder(spark, before)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
 def link_lists(spark: SparkSession, lists: DataFrame,
@@ -68,7 +71,6 @@ def link_lists(spark: SparkSession, lists: DataFrame,
     components is left untested.
     """
     lists = written(lists, new_folder(spark, "lists"))
-    links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
     entries, leader = lists.count(), 0
     while True:
@@ -86,7 +88,7 @@ def link_lists(spark: SparkSession, lists: DataFrame,
         left = state.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             return labels
-        last = left <= 4 * entries or leader == 4
+        last = leader > 1 and left <= 40 * entries or leader == 4
         waiting = labelled.join(state, "token")
         if last:
             other = waiting.filter("label <> main").select(
@@ -103,8 +105,8 @@ def link_lists(spark: SparkSession, lists: DataFrame,
                    .filter(F.col("label") != F.col("b_label")))
         pairs = narrow(met, last).select(F.greatest("id", "b_id").alias("a"),
                                          F.least("id", "b_id").alias("b")).distinct()
-        links = written(links.unionByName(verified(pairs)), new_folder(spark, "links"))
-        labels = connected(links)
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = connected(known.unionByName(verified(pairs)))
         if last:
             return labels
         leader += 1

@@ -309,10 +309,15 @@ def linked(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
     lists = prefixes(sets, percent, max(1, total // _BLOCK)).withColumnRenamed("set_id", "id")
 
     def narrow(met: DataFrame, full: bool) -> DataFrame:
+        # One place where two sets meet bounds what they share before and behind it.
+        met = met.filter(_may_link(percent, F.least("place", "b_place") + 1 + _rest()))
         if not full:
-            return met.filter(_may_link(percent, F.least("place", "b_place") + 1 + _rest()))
-        return (met.filter(_may_link(percent, F.least("size", "b_size")))
-                .groupBy("id", "b_id", "size", "b_size")
+            return met
+        # Sets that link share one of the (1 - 2t / (1 + t)) n + 1 rarest of the smaller set.
+        small = F.least(F.struct("size", "id", "place"), F.struct(
+            F.col("b_size").alias("size"), F.col("b_id").alias("id"), F.col("b_place").alias("place")))
+        met = met.filter((100 + percent) * small["place"] <= (100 - percent) * small["size"])
+        return (met.groupBy("id", "b_id", "size", "b_size")
                 .agg(F.count("*").alias("met"), F.max("place").alias("place"),
                      F.max("b_place").alias("b_place"))
                 .filter(_may_link(percent, F.col("met") + _rest())))

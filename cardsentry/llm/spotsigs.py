@@ -7,8 +7,8 @@ running text decides. A text without an anchor has the hash of its words as its
 
 Likeness is the Jaccard value of two sets. A comparison with a threshold is pruned by length: if
 the smaller set is less than threshold times the larger one, no value can reach it. ``near`` joins
-a whole table that way: sets are dealt to length bands, one band reaches no further than the
-next, and inside the reach the rare-first prefix join of ``ngram_join`` compares them.
+a whole table that way: sets meet in the lists of the rare signatures they share, only those of
+lengths that can reach the threshold are paired, and the lists are those of ``ngram_join``.
 
 Null and empty texts have the empty fingerprint; two empty ones are alike (1). Only ``doc_id``
 and ``text`` are read.
@@ -138,14 +138,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                         .alias("cuts")).first()["cuts"] or []
     bounds = np.unique(np.array(cuts, np.int64))  # fewer than partitions
 
-    @F.pandas_udf("long")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        found = np.searchsorted(bounds, ids.fillna(0).astype("int64")) + 1
-        return pd.Series(np.where(ids.isna(), 0, found))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            found = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False)) + 1
+            found[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            yield batch.append_column("bucket", pa.array(found, pa.int64()))
 
-    dealt = texts.withColumn("bucket", bucket_of("doc_id"))
+    dealt = texts.mapInArrow(deal, "doc_id long, text string, bucket long")
     firsts = [(r["bucket"], r["first"]) for r in
-              texts.select("doc_id").withColumn("bucket", bucket_of("doc_id")).groupBy("bucket")
+              texts.select("doc_id").mapInArrow(deal, "doc_id long, bucket long").groupBy("bucket")
               .agg(F.max("doc_id").alias("first")).orderBy("bucket").collect()]
     visits = spark.createDataFrame(
         [(first, firsts[(k + 1) % len(firsts)][0]) for k, (_, first) in enumerate(firsts)],
