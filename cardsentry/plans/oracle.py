@@ -291,8 +291,8 @@ def _problem_list() -> str:
                       f"THEN 'unknown param bogus (allowed: [{allowed}])' END")
     probe, large = "params['probeMaxAmountMinor']", "params['largeAmountMinor']"
     checks.append(f"CASE WHEN rule_id = '{CARD_TESTING}' AND {probe} >= {large} THEN "
-                  f"'probeMaxAmountMinor (50000.0) must be < largeAmountMinor (50000.0), "
-                  f"otherwise the pattern cannot match' END")
+                  f"'probeMaxAmountMinor (50000.0) must be < largeAmountMinor (50000.0) "
+                  f"for a run to end in a large amount' END")
     return "[" + ", ".join(checks) + "]"
 
 
