@@ -67,8 +67,8 @@ def link_lists(spark: SparkSession, lists: DataFrame,
     whose ids are all connected are done, so each list first links everything to one leader, a
     few times over, and last the ids outside a list's largest component meet all the others.
     ``narrow`` filters rows (id ... against b_id ...), told whether all meetings of a pair are
-    among them; ``verified`` keeps the pairs (a, b) that truly link. No link between two
-    components is left untested.
+    among them, then with the smaller id first; ``verified`` keeps the pairs (a, b) that truly
+    link. No link between two components is left untested.
     """
     lists = written(lists, new_folder(spark, "lists"))
     labels = spark.createDataFrame([], "node long, label long")
@@ -96,6 +96,11 @@ def link_lists(spark: SparkSession, lists: DataFrame,
             met = (labelled.join(other, F.col("token") == F.col("b_token"))
                    .filter((F.col("label") != F.col("b_label"))
                            & ((F.col("label") == F.col("main")) | (F.col("id") < F.col("b_id")))))
+            # The main component differs from list to list: all meetings of a pair in one order.
+            turned = F.col("b_id") < F.col("id")
+            met = met.select(*(F.when(turned, F.col(one)).otherwise(F.col(other)).alias(name)
+                               for c in labelled.columns
+                               for name, one, other in ((c, f"b_{c}", c), (f"b_{c}", c, f"b_{c}"))))
         else:
             order = F.xxhash64("id", F.lit(leader)) if leader else F.col("id")
             chosen = waiting.groupBy("token").agg(
