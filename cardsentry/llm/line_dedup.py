@@ -10,9 +10,10 @@ distance, unless they are connected already (``components.link_lists``).
 Only hashes move in the search: each task combines equal lines and sends 64-bit keys in packed
 blocks, and the texts of the few lines that meet are fetched afterwards.
 
-Lines are separated by line feeds and compared without white space at their ends. Lines of fewer
-than ``least`` words take no part (a heading or a list mark is no copy). A class is a set of lines
-connected by such likeness; its first occurrence, in the order (doc_id, text hash, line number),
+Lines are separated by line feeds and compared without white space at their ends. Edits are looked
+for between lines of ``least`` words or of five times as many characters (scripts without blanks);
+with ``short``, all other lines that are not empty are copies if they are equal. A class is a set
+of lines connected by such likeness; its first occurrence, in the order (doc_id, text hash, line number),
 is kept, the others go. Rows that repeat both doc_id and text count as one document. Null ids
 come first, null and empty texts have no line. Only ``doc_id`` and ``text`` are read here;
 ``dedup`` keeps all other columns.
@@ -115,7 +116,8 @@ def within(a: str, b: str, edits: int) -> bool:
 def lines_of(text: str | None, least: int) -> list[tuple[int, str]]:
     """(number, line) of the lines of a text that take part."""
     stripped = enumerate(x.strip() for x in text.split("\n")) if text else ()
-    return [(k, x) for k, x in stripped if len(x.split(None, least)) >= least]
+    return [(k, x) for k, x in stripped
+            if x and (len(x) >= 5 * least or len(x.split(None, least)) >= least)]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -235,14 +237,17 @@ def _place() -> Column:
     return F.struct("doc_id", "key", "line_no")
 
 
-def judged(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int = 5) -> DataFrame:
-    """Every line that takes part: doc_id, key, line_no, its class (the place of the class's first
-    line: class_doc_id, class_line_no), and whether the line is kept.
+def judged(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int = 5,
+           short: bool = False) -> DataFrame:
+    """Every line that takes part (with ``short`` all that are not empty): doc_id, key, line_no, its
+    class (the place of the class's first line: class_doc_id, class_line_no), and whether the line
+    is kept.
 
     A line that stands in a third of all documents is summed up before it moves, and the join
     back is an ordinary one, which Spark splits where it is skewed.
     """
-    all_lines = written(occurrences(docs, least), new_folder(spark, "occurrences"))
+    all_lines = written(occurrences(docs, 0 if short else least),
+                        new_folder(spark, "occurrences"))
     labels = classes(spark, docs, edits=edits, least=least)
     first = all_lines.groupBy("line").agg(F.min(_place()).alias("first"))
     named = first.join(labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
@@ -253,12 +258,13 @@ def judged(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int =
         F.col("kept.line_no").alias("class_line_no"), _place().eqNullSafe(F.col("kept")).alias("kept"))
 
 
-def dedup(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int = 5) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int = 5,
+          short: bool = True) -> DataFrame:
     """The documents without their repeated lines, all columns kept.
 
     Documents that lose a line and have no text left are dropped; those that had none stay.
     """
-    gone = (judged(spark, docs, edits=edits, least=least).filter("not kept")
+    gone = (judged(spark, docs, edits=edits, least=least, short=short).filter("not kept")
             .groupBy(F.col("key").alias(_KEY)).agg(F.collect_set("line_no").alias(_GONE)))
     text = F.col("text").cast("string")
     joined = docs.join(gone, F.xxhash64(F.col("doc_id").cast("long"), text) == F.col(_KEY), "left")

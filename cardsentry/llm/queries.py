@@ -120,7 +120,7 @@ def op7_toxicity(spark, sf_dir):
 @_query("op5_line_dedup")
 def op5_line_dedup(spark, sf_dir):
     """Class of every line of all documents, within two edits, and whether it is kept."""
-    lines = line_dedup.judged(spark, _table(spark, sf_dir, "documents"))
+    lines = line_dedup.judged(spark, _table(spark, sf_dir, "documents"), short=True)
     return lines.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
 
 
