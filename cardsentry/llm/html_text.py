@@ -3,8 +3,9 @@
 A page's text blocks are aggregated by their tag path from the root: characters and punctuation
 marks per block of the path. Both ratios are smoothed over neighbouring blocks in page order and
 fused by their geometric mean; paths whose mean reaches half the mean of the page's text are
-content. Blocks inside a region that its tag or its class names declare as furniture (menu,
-footer, advert, form, comments ...) count as nothing. The regions that hold the content (the
+content. Blocks inside a region that its tag declares as furniture (menu, footer, form ...) or that
+is hidden (the attribute, or a style without display) count as nothing. Class names, ids and
+roles (advert, comments ...) take a share of the ratio, and what is then too thin goes. The regions that hold the content (the
 articles of the page, else the closest common ancestor of content blocks, body at most) then give
 all their blocks but furniture and lists of links, so a short heading or paragraph stays with its
 article.
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!?(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>"""
                   r"""|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I).findall
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none""", re.I).search
+_ATTRIBUTES = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""").findall
+_MAY_HIDE = re.compile("hidden|display", re.I).search
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I).search
 _MARKS = re.compile(r"[.,;:!?…。，、！？]").findall
 
 # HTML elements by what they do to text.
@@ -50,6 +53,7 @@ navbar|navigation|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|masthead|cookies?|co
 alert|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social\w*|related|recommended|
 comments?|commentlist|respond|replies|disqus|discussion|login|signup|search\w*|toolbar|pagination|pager|
 widgets?|copyright|legal|disclaimer|contentinfo|complementary)(?=$|[\s_-])""".replace("\n", ""), re.I).search
+_NAME_COSTS = 0.6, 0.4  # the share of its ratio that a path loses by such a name, in an article
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header|topbar|top-bar)(?=$|[\s_-])", re.I).search
 
 
@@ -60,14 +64,28 @@ class Block:
     tags: str  # their names, the tag path
     linked: int  # characters inside links
     heading: bool
+    named: int  # the innermost element that its names declare as furniture
 
 
 class _Element:
-    __slots__ = ("name", "number", "furniture", "article", "link")
+    __slots__ = ("name", "number", "furniture", "article", "link", "named")
 
-    def __init__(self, name, number, furniture, article, link):
+    def __init__(self, name, number, furniture, article, link, named):
         self.name, self.number, self.furniture = name, number, furniture
-        self.article, self.link = article, link
+        self.article, self.link, self.named = article, link, named
+
+
+def hidden(attributes: str) -> bool:
+    """Whether an element has the attribute hidden, or a style that takes it off the page."""
+    if not _MAY_HIDE(attributes):
+        return False
+    for name, *values in _ATTRIBUTES(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" and value.strip().lower() != "false":
+            return True
+        if name == "style" and _NO_DISPLAY(entities.unescape(value)):
+            return True
+    return False
 
 
 _ENDS_PARAGRAPH = frozenset("""address article aside blockquote center details dir div dl fieldset
@@ -78,7 +96,7 @@ _ENDS_SAME = frozenset("li dt dd tr td th option".split())
 
 def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
     """Text blocks outside furniture in page order, and the articles that hold each of them."""
-    stack = [_Element("", 0, False, 0, False)]
+    stack = [_Element("", 0, False, 0, False, 0)]
     found: list[Block] = []
     articles: dict[int, int] = {}
     parts: list[str] = []
@@ -93,8 +111,10 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
                 if stack[-1].article:
                     articles[len(found)] = stack[-1].article
                 found.append(Block(text, tuple(e.number for e in elements),
-                                   "/".join(e.name for e in elements), linked,
-                                   elements[-1].name[:1] == "h" and elements[-1].name[1:].isdigit()))
+                                   "/".join(e.name + "!" * (e.named == e.number > 0)
+                                            for e in elements), linked,
+                                   elements[-1].name[:1] == "h" and elements[-1].name[1:].isdigit(),
+                                   stack[-1].named))
             parts.clear()
         linked = 0
 
@@ -172,13 +192,13 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
         made += 1
         furniture = (above.furniture or name in FURNITURE
                      or (name == "header" and not above.article)
-                     or (name not in ("html", "body", "article", "main") and bool(
-                         names and (_FURNITURE_NAME(names)
-                                    or (not above.article and _HEADER_NAME(names)))))
-                     or bool(attributes.strip() and _HIDDEN(attributes)))
+                     or hidden(attributes))
+        named = made if name not in ("html", "body", "article", "main") and names and (
+            _FURNITURE_NAME(names) or (not above.article and _HEADER_NAME(names))) else above.named
         article = made if name in ARTICLE and not furniture and not above.article else above.article
         if not attributes.rstrip().endswith("/") or name not in INLINE:
-            stack.append(_Element(name, made, furniture, article, above.link or name == "a"))
+            stack.append(_Element(name, made, furniture, article, above.link or name == "a",
+                                  named))
     flush()
     return found, articles
 
@@ -200,9 +220,43 @@ def ratios(blocks: list[Block]) -> dict[str, float]:
     return {path: value / count[path] for path, value in total.items()}
 
 
+def _mean(blocks: list[Block], scores: dict[str, float]) -> float:
+    """The mean ratio of the text that no name declares as furniture, of all if there is none."""
+    plain = [b for b in blocks if not b.named] or blocks
+    return sum(scores[b.tags] * len(b.text) for b in plain) / sum(len(b.text) for b in plain)
+
+
+def declared(blocks: list[Block], articles: dict[int, int]) -> set[int]:
+    """The elements that are furniture by their names, and not dense enough to be content.
+
+    A name takes a share of the ratio of a path; text without punctuation has none then.
+    """
+    scores = ratios(blocks)
+    least = 0.5 * _mean(blocks, scores)
+    sums: dict[str, list[int]] = {}
+    for b in blocks:
+        if b.named:
+            total = sums.setdefault(b.tags, [0, 0, 0])
+            for k, value in enumerate((len(b.text) - b.linked, len(_MARKS(b.text)), 1)):
+                total[k] += value
+    dense: dict[int, int] = defaultdict(int)
+    for at, b in enumerate(blocks):
+        if b.named:
+            chars, marks, count = sums[b.tags]
+            own = math.sqrt(max(0, chars) * marks) / count
+            good = min(scores[b.tags], own) * (1 - _NAME_COSTS[at in articles]) >= least and own > 0
+            dense[b.named] += len(b.text) if good else -len(b.text)
+    return {element for element, value in dense.items() if value < 0}
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line."""
     blocks, articles = blocks_of(page) if page else ([], {})
+    if blocks:
+        out = declared(blocks, articles) if any(b.named for b in blocks) else ()
+        held = [k for k, b in enumerate(blocks) if b.named not in out]
+        articles = {at: articles[k] for at, k in enumerate(held) if k in articles}
+        blocks = [blocks[k] for k in held]
     if not blocks:
         return ""
     if articles:
