@@ -6,9 +6,9 @@ fused by their geometric mean; paths whose mean reaches half the mean of the pag
 content. Blocks inside a region that its tag declares as furniture (menu, footer, form ...) or that
 is hidden (the attribute, or a style without display) count as nothing. Class names, ids and
 roles (advert, comments ...) take a share of the ratio, and what is then too thin goes. The regions that hold the content (the
-articles of the page, else the closest common ancestor of content blocks, body at most) then give
-all their blocks but furniture and lists of links, so a short heading or paragraph stays with its
-article.
+articles of the page if a third of the content's text is in them, else the siblings of content
+blocks and the elements around them that are mostly content) then give all their blocks but
+furniture and lists of links, so a short heading or paragraph stays with its article.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined by a line feed. A line break element is white space. Markup may be cut off or unbalanced;
@@ -249,6 +249,18 @@ def declared(blocks: list[Block], articles: dict[int, int]) -> set[int]:
     return {element for element, value in dense.items() if value < 0}
 
 
+def _around(blocks: list[Block], content: set[int]) -> list[Block]:
+    """Content with its siblings, and whole elements around it that are mostly content."""
+    near = {number for k in content for number in blocks[k].path[-2:]}
+    sums = {number: [0, 0] for number in near}
+    for k, b in enumerate(blocks):
+        for number, name in zip(b.path, b.tags.split("/")):
+            if number in near and name not in ("", "html", "body"):
+                sums[number][k in content] += len(b.text)
+    whole = {number for number, (other, own) in sums.items() if own and own >= other}
+    return [b for b in blocks if not near.isdisjoint(b.path[-2:]) or not whole.isdisjoint(b.path)]
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line."""
     blocks, articles = blocks_of(page) if page else ([], {})
@@ -259,20 +271,17 @@ def main_text(page: str | None) -> str:
         blocks = [blocks[k] for k in held]
     if not blocks:
         return ""
-    if articles:
+    scores = ratios(blocks)
+    least = 0.5 * _mean(blocks, scores)
+    content = [k for k, b in enumerate(blocks) if scores[b.tags] >= least]
+    weight = [0.0, 0.0]  # of content outside articles, and in them
+    for k in content:
+        cost = _NAME_COSTS[k in articles] if blocks[k].named else 0
+        weight[k in articles] += (1 - cost) * len(blocks[k].text)
+    if articles and 2 * weight[1] >= weight[0]:
         inside = [b for k, b in enumerate(blocks) if k in articles]
     else:
-        scores = ratios(blocks)
-        weight = sum(len(b.text) for b in blocks)
-        mean = sum(scores[b.tags] * len(b.text) for b in blocks) / weight
-        content = [b for b in blocks if scores[b.tags] >= 0.5 * mean]
-        root = content[0].path
-        for block in content:
-            shared = 0
-            while shared < min(len(root), len(block.path)) and root[shared] == block.path[shared]:
-                shared += 1
-            root = root[:shared]
-        inside = [b for b in blocks if b.path[:len(root)] == root]
+        inside = _around(blocks, set(content))
     scores = ratios(inside)
     mean = sum(scores[b.tags] * len(b.text) for b in inside) / sum(len(b.text) for b in inside)
     return "\n".join(
