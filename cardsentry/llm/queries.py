@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import (
-    chat_format, decontaminate, html_text, language_id, line_dedup, ngram_join, packing, spotsigs,
-    token_ids, toxicity)
+    bpe_chunks, chat_format, decontaminate, html_text, language_id, line_dedup, merkle, ngram_join,
+    packing, phrases, spotsigs, token_ids, toxicity)
 from cardsentry.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _query(name: str):
@@ -175,6 +176,142 @@ def op3_decontaminate(spark, sf_dir):
                                _table(spark, sf_dir, "benchmark"))
 
 
+@_query("op11_merkle_manifest")
+def op11_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of all documents; a seventh of them are presented with an altered length."""
+    altered = F.col("n_chars").cast("decimal(20,0)") + 1
+    made = merkle.manifest(spark, _table(spark, sf_dir, "documents"),
+                           changed={"n_chars": altered}, where=_fold(7) == 0)
+    return made.verified().select(
+        "doc_id", F.col("hash").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
+        "verified")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", n_chars, "text"]
+    return "sha256(" + " || ".join(_field(x) for x in fields) + ")"
+
+
+# A tree is the list of its nodes, level by level; DuckDB has no crc32, so a table of the 256
+# remainders is worked out from the polynomial and folded over the digits of doc_id.
+ORACLE_SQL["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE shifts(b, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM shifts WHERE k < 8),
+remainders AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM shifts WHERE k = 8),
+rows AS MATERIALIZED (
+  SELECT *, {_leaf_sql("CAST(n_chars AS VARCHAR)")} AS leaf,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                     lambda d: CAST(ascii(d) AS BIGINT)),
+             lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1]), 4294967295), 4294967295)
+           % 7 = 0 AS altered
+  FROM documents, remainders),
+leaves AS MATERIALIZED (
+  SELECT doc_id, lang, leaf, CASE WHEN altered THEN {_leaf_sql("CAST(n_chars + 1 AS VARCHAR)")}
+         ELSE leaf END AS presented,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM rows),
+trees(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY idx) FROM leaves GROUP BY lang
+  UNION ALL SELECT lang, level + 1, list_transform(range(1, len(nodes) + 1, 2),
+    lambda k: sha256(nodes[k] || coalesce(nodes[k + 1], ''))) FROM trees WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, level AS height,
+         row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM trees WHERE len(nodes) = 1),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM subroots
+  UNION ALL SELECT level + 1, list_transform(range(1, len(nodes) + 1, 2),
+    lambda k: sha256(nodes[k] || coalesce(nodes[k + 1], ''))) FROM top WHERE len(nodes) > 1),
+-- each leaf's steps: side and sibling, levels of its tree first
+steps AS MATERIALIZED (
+  SELECT l.lang, l.idx, t.level, (l.idx >> t.level) & 1 AS side,
+         coalesce(t.nodes[xor(l.idx >> t.level, 1) + 1], '') AS sibling
+  FROM leaves l JOIN trees t ON l.lang IS NOT DISTINCT FROM t.lang WHERE len(t.nodes) > 1
+  UNION ALL
+  SELECT l.lang, l.idx, s.height + p.level, (s.place >> p.level) & 1,
+         coalesce(p.nodes[xor(s.place >> p.level, 1) + 1], '')
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, top p WHERE len(p.nodes) > 1),
+proofs AS MATERIALIZED (
+  SELECT l.lang, l.idx, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256,
+         list({{'side': side, 'sibling': sibling}} ORDER BY level) FILTER (level IS NOT NULL) AS path
+  FROM leaves l LEFT JOIN steps s ON l.lang IS NOT DISTINCT FROM s.lang AND l.idx = s.idx GROUP BY ALL),
+folds(lang, idx, k, h, path) AS (
+  SELECT l.lang, l.idx, 1, presented, coalesce(path, [])
+  FROM leaves l JOIN proofs p ON l.lang IS NOT DISTINCT FROM p.lang AND l.idx = p.idx
+  UNION ALL
+  SELECT lang, idx, k + 1, CASE WHEN path[k].side = 1 THEN sha256(path[k].sibling || h)
+                                ELSE sha256(h || path[k].sibling) END, path
+  FROM folds WHERE k <= len(path))
+SELECT l.doc_id, l.leaf, subroot, root, proof_sha256, h AS folded_root, h = root AS verified
+FROM leaves l
+JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+JOIN proofs p ON l.lang IS NOT DISTINCT FROM p.lang AND l.idx = p.idx
+JOIN folds f ON l.lang IS NOT DISTINCT FROM f.lang AND l.idx = f.idx AND k = len(f.path) + 1,
+(SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
+"""
+
+
+@_query("op12_phrases")
+def op12_phrases(spark, sf_dir):
+    """The 2000 strongest phrases of two and three words of each language, over all documents."""
+    index = phrases.build(spark, _table(spark, sf_dir, "documents"))
+    return phrases.collocations(spark, index, least=10, share=50, top=2000)
+
+
+ORACLE_SQL["op12_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase, k > 1 AS before,
+         k + size <= len(w) AS behind
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM words, (SELECT unnest([1, 2, 3]) AS size))),
+counts AS MATERIALIZED (
+  SELECT lang, phrase, size, count(*) AS f, count(*) FILTER (before) AS n_before,
+         count(*) FILTER (behind) AS n_behind FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w, n_before, n_behind FROM counts
+  WHERE size > 1 AND f >= 10),
+splits AS (
+  SELECT c.*, k, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+cut AS (
+  SELECT * FROM splits QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longest FROM (
+    SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT cut.* FROM cut LEFT JOIN inside USING (lang, phrase)
+  WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score, n_before, n_behind FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@_query("op13_bpe_chunks")
+def op13_bpe_chunks(spark, sf_dir):
+    """Ids of all documents, encoded by chunks, and the texts that they decode to."""
+    encoded = bpe_chunks.encode(_table(spark, sf_dir, "documents"), vocabulary=WORD_BPE)
+    return bpe_chunks.decode(encoded, vocabulary=WORD_BPE, keep_text=False)
+
+
 @_query("pipeline")
 def pipeline(spark, sf_dir):
     """The stages of the corpus pipeline, one after another."""
