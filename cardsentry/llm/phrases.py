@@ -11,8 +11,9 @@ extended at once: the symbols in a phrase's backward interval are the words that
 counts are the sizes of the longer phrases, and the two new intervals come from the smaller symbols
 (forward) and from the first place of the symbol (backward). So each shard gives phrases with
 their counts, and with how many occurrences have a word before and behind; shards are summed. A
-phrase of three words is extended only where both of its pairs are frequent in the whole language;
-which ones are is a bitmap of fixed size, and a pair that it takes in by mistake only costs time.
+phrase is spelled out, and extended to three words, only where its parts may be frequent in the
+whole language; a bitmap of fixed size says so from sums over hashes, and what it takes in by
+mistake only costs time.
 
 A null language is ``und``; null and empty texts have no words. Rows that repeat a doc_id count
 each for themselves, and doc_id is not read; other columns may have any name. Ties in the ranking
@@ -21,21 +22,22 @@ go to the larger count, then to the smaller phrase in UTF-8 bytes. An empty tabl
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.session import new_folder, written
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
 DEPTH = 3
 FILTER_BITS = 26
 _ROWS = 1 << 16  # phrases in a batch
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _PACK = 21  # bits of a place, a symbol and a rank in one sort key
 
 _BREAKS = bytes.maketrans(b".,;:!?\n\v\f\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -151,6 +153,7 @@ class Shard:
         self.backward = np.frombuffer(row["backward"], "<u4").astype(np.int64)
         counts = np.bincount(self.forward, minlength=len(self.words) + 1)
         self.starts = np.cumsum(counts) - counts
+        self.word_hashes = None
         self.counts = counts
         self.before = np.append(0, np.cumsum(self.forward != 0))
         self.behind = np.append(0, np.cumsum(self.backward != 0))
@@ -179,6 +182,18 @@ class Shard:
                          phrases.forward[owner] + smaller, self.step[place[at]], size)
         return made.chosen(symbol != 0)
 
+    def hashes(self, lang: str, phrases: Intervals) -> np.ndarray:
+        """64 bits for each phrase that are the same in every shard of the language."""
+        if self.word_hashes is None:
+            salt = xxhash.xxh3_64_intdigest(lang)
+            self.word_hashes = np.array([xxhash.xxh3_64_intdigest(w, salt) for w in
+                                         self.words.to_pylist()], np.uint64)
+        mixed = np.full(len(phrases.size), len(phrases.words), np.uint64)
+        for w in phrases.words:
+            mixed = (mixed ^ self.word_hashes[w - 1]) * _MIX
+            mixed ^= mixed >> np.uint64(32)
+        return mixed * _MIX
+
     def texts(self, phrases: Intervals) -> pa.Array:
         parts = [self.words.take(pa.array(w - 1)) for w in phrases.words]
         return pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
@@ -199,16 +214,18 @@ class Shard:
 _COUNTS = "lang string, size int, phrase string, n long, n_before long, n_behind long"
 
 
-def _summed(rows: DataFrame, least: int) -> DataFrame:
-    return rows.groupBy("lang", "phrase", "size").agg(
-        *(F.sum(c).alias(c) for c in ("n", "n_before", "n_behind"))).filter(F.col("n") >= least)
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            yield row["lang"], Shard(row)
 
 
-def _filter(pairs: DataFrame) -> bytes:
-    """A bitmap of 2 ** FILTER_BITS bits over the hashes of phrases, whatever their number."""
-    place = F.crc32(F.col("phrase").cast("binary")) % (1 << FILTER_BITS) + 1
-    rows = pairs.select(F.bitmap_bucket_number(place).alias("bucket"),
-                        F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(
+def _filter(hashes: DataFrame) -> bytes:
+    """A bitmap of 2 ** FILTER_BITS bits over the upper bits of hashes, whatever their number."""
+    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS) + 1
+    rows = hashes.select(F.bitmap_bucket_number(place).alias("bucket"),
+                         F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(
         F.bitmap_construct_agg("bit").alias("bits")).collect()  # 4096 bytes each, 2048 rows at most
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for row in rows:
@@ -219,35 +236,46 @@ def _filter(pairs: DataFrame) -> bytes:
 
 def counts(spark: SparkSession, index: DataFrame, *, least: int) -> DataFrame:
     """lang, phrase, size, n, n_before, n_behind of all phrases of one to three words that occur
-    ``least`` times in their language, written."""
-    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                opened = Shard(row)
-                words = opened.single()
-                yield from opened.rows(row["lang"], words)
-                yield from opened.rows(row["lang"], opened.extended(words))
+    ``least`` times in their language, written.
 
-    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Most words and pairs occur a few times in all, so first their hashes alone are summed; then
+    the phrases whose hash may be frequent are summed as what they are.
+    """
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, opened in _opened(batches):
+            words = opened.single()
+            for phrases in (words, opened.extended(words)):
+                found = opened.hashes(lang, phrases).view(np.int64)
+                for at in range(0, len(found), _ROWS):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found[at:at + _ROWS]), pa.array(phrases.size[at:at + _ROWS])],
+                        ["hash", "n"])
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(seen.value, np.uint8)
-        for batch in batches:
-            for row in batch.to_pylist():
-                opened = Shard(row)
-                pairs = opened.extended(opened.single())
-                hashes = [zlib.crc32(x) for x in opened.texts(pairs).cast(pa.binary()).to_pylist()]
-                place = np.array(hashes, np.int64) & ((1 << FILTER_BITS) - 1)
-                pairs = pairs.chosen((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) == 1)
-                known = (pairs.words[0] << 32) | pairs.words[1]  # ascending
+
+        def frequent(lang: str, opened: Shard, phrases: Intervals) -> Intervals:
+            place = (opened.hashes(lang, phrases) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            return phrases.chosen((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) == 1)
+
+        for lang, opened in _opened(batches):
+            words = opened.single()
+            yield from opened.rows(lang, frequent(lang, opened, words))
+            pairs = frequent(lang, opened, opened.extended(words))
+            if len(pairs.size):
+                yield from opened.rows(lang, pairs)
                 three = opened.extended(pairs)
+                known = (pairs.words[0] << 32) | pairs.words[1]  # ascending
                 asked = (three.words[1] << 32) | three.words[2]
-                found = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
-                if len(known):
-                    yield from opened.rows(row["lang"], three.chosen(known[found] == asked))
-
-    few = written(_summed(index.mapInArrow(short, _COUNTS), least), new_folder(spark, "phrases"))
-    seen = spark.sparkContext.broadcast(_filter(few.filter("size = 2")))  # its size is fixed
-    more = written(_summed(index.mapInArrow(long, _COUNTS), least), new_folder(spark, "phrases"))
-    return few.unionByName(more)
+                found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                yield from opened.rows(lang, three.chosen(known[found] == asked))
+
+    likely = index.mapInArrow(hashed, "hash long, n long").groupBy("hash").agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= least)
+    seen = spark.sparkContext.broadcast(_filter(likely))  # its size is fixed
+    summed = index.mapInArrow(spelled, _COUNTS).groupBy("lang", "phrase", "size").agg(
+        *(F.sum(c).alias(c) for c in ("n", "n_before", "n_behind"))).filter(F.col("n") >= least)
+    return written(summed, new_folder(spark, "phrases"))
 
 
 def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: int,
