@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.session import new_folder, written
 
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 DEPTH = 3
 FILTER_BITS = 26
 _ROWS = 1 << 16  # phrases in a batch
