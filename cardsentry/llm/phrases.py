@@ -22,7 +22,7 @@ go to the larger count, then to the smaller phrase in UTF-8 bytes. An empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +112,7 @@ def build(spark: SparkSession, docs: DataFrame, *, depth: int = DEPTH) -> DataFr
         sizes: dict[str, int] = {}
 
         def out(lang: str) -> pa.RecordBatch:
+            pa.default_memory_pool().release_unused()
             sizes.pop(lang)
             return pa.RecordBatch.from_pylist([shard(lang, held.pop(lang), depth)], _INDEX)
 
@@ -149,16 +150,16 @@ class Shard:
 
     def __init__(self, row: dict):
         self.words = pa.array(row["words"], pa.string())
-        self.forward = np.frombuffer(row["forward"], "<u4").astype(np.int64)
-        self.backward = np.frombuffer(row["backward"], "<u4").astype(np.int64)
+        self.forward = np.frombuffer(row["forward"], "<i4")
+        self.backward = np.frombuffer(row["backward"], "<i4")
         counts = np.bincount(self.forward, minlength=len(self.words) + 1)
         self.starts = np.cumsum(counts) - counts
         self.word_hashes = None
         self.counts = counts
-        self.before = np.append(0, np.cumsum(self.forward != 0))
-        self.behind = np.append(0, np.cumsum(self.backward != 0))
+        self.before = np.append(0, np.cumsum(self.forward != 0)).astype(np.int32)
+        self.behind = np.append(0, np.cumsum(self.backward != 0)).astype(np.int32)
         order = _sorted_by(self.backward, np.zeros_like(self.backward))
-        self.step = np.empty(len(order), np.int64)  # place of a symbol's occurrence one word on
+        self.step = np.empty(len(order), np.int32)  # place of a symbol's occurrence one word on
         self.step[order] = np.arange(len(order))
 
     def single(self) -> Intervals:
@@ -179,11 +180,11 @@ class Shard:
         owner, symbol = owner[at], symbol[at]
         smaller = at - (ends - phrases.size)[owner]
         made = Intervals((*(w[owner] for w in phrases.words), symbol),
-                         phrases.forward[owner] + smaller, self.step[place[at]], size)
+                         phrases.forward[owner] + smaller, self.step[place[at]].astype(np.int64), size)
         return made.chosen(symbol != 0)
 
     def hashes(self, lang: str, phrases: Intervals) -> np.ndarray:
-        """64 bits for each phrase that are the same in every shard of the language."""
+        """32 bits for each phrase that are the same in every shard of the language."""
         if self.word_hashes is None:
             salt = xxhash.xxh3_64_intdigest(lang)
             self.word_hashes = np.array([xxhash.xxh3_64_intdigest(w, salt) for w in
@@ -192,12 +193,16 @@ class Shard:
         for w in phrases.words:
             mixed = (mixed ^ self.word_hashes[w - 1]) * _MIX
             mixed ^= mixed >> np.uint64(32)
-        return mixed * _MIX
+        return (mixed * _MIX >> np.uint64(32)).astype(np.uint32)
 
     def texts(self, phrases: Intervals) -> pa.Array:
         parts = [self.words.take(pa.array(w - 1)) for w in phrases.words]
         return pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
 
+    @staticmethod
+    def _within(sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+        return pa.array((sums[start + size] - sums[start]).astype(np.int64))
+
     def rows(self, lang: str, phrases: Intervals) -> Iterator[pa.RecordBatch]:
         """Phrases with their counts and how many occurrences have a word before and behind."""
         for at in range(0, len(phrases.size), _ROWS):
@@ -206,8 +211,8 @@ class Shard:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * n, pa.string()), pa.array(np.full(n, len(part.words), np.int32)),
                  self.texts(part), pa.array(part.size),
-                 pa.array(self.before[part.forward + part.size] - self.before[part.forward]),
-                 pa.array(self.behind[part.backward + part.size] - self.behind[part.backward])],
+                 self._within(self.before, part.forward, part.size),
+                 self._within(self.behind, part.backward, part.size)],
                 ["lang", "size", "phrase", "n", "n_before", "n_behind"])
 
 
@@ -219,11 +224,12 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1).to_pylist()[0]
             yield row["lang"], Shard(row)
+            pa.default_memory_pool().release_unused()
 
 
 def _filter(hashes: DataFrame) -> bytes:
     """A bitmap of 2 ** FILTER_BITS bits over the upper bits of hashes, whatever their number."""
-    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS) + 1
+    place = F.shiftrightunsigned("hash", 32 - FILTER_BITS).cast("long") + 1
     rows = hashes.select(F.bitmap_bucket_number(place).alias("bucket"),
                          F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(
         F.bitmap_construct_agg("bit").alias("bits")).collect()  # 4096 bytes each, 2048 rows at most
@@ -238,41 +244,50 @@ def counts(spark: SparkSession, index: DataFrame, *, least: int) -> DataFrame:
     """lang, phrase, size, n, n_before, n_behind of all phrases of one to three words that occur
     ``least`` times in their language, written.
 
-    Most words and pairs occur a few times in all, so first their hashes alone are summed; then
-    the phrases whose hash may be frequent are summed as what they are.
+    Most phrases occur a few times in all, so first their hashes alone are summed, those of three
+    words where both pairs may be frequent; then what may be frequent is summed as what it is.
     """
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, opened in _opened(batches):
-            words = opened.single()
-            for phrases in (words, opened.extended(words)):
-                found = opened.hashes(lang, phrases).view(np.int64)
-                for at in range(0, len(found), _ROWS):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[at:at + _ROWS]), pa.array(phrases.size[at:at + _ROWS])],
-                        ["hash", "n"])
+    def hashed(found: Callable[[str, Shard], list[Intervals]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for lang, opened in _opened(batches):
+                for phrases in found(lang, opened):
+                    hashes = opened.hashes(lang, phrases).view(np.int32)
+                    for at in range(0, len(hashes), _ROWS):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(hashes[at:at + _ROWS]),
+                             pa.array(phrases.size[at:at + _ROWS].astype(np.int32))], ["hash", "n"])
+        sums = index.mapInArrow(run, "hash int, n int").groupBy("hash").agg(F.sum("n").alias("n"))
+        return spark.sparkContext.broadcast(_filter(sums.filter(F.col("n") >= least)))
+
+    def frequent(bits, lang: str, opened: Shard, phrases: Intervals) -> Intervals:
+        bits = np.frombuffer(bits.value, np.uint8)
+        place = (opened.hashes(lang, phrases) >> np.uint32(32 - FILTER_BITS)).astype(np.int64)
+        return phrases.chosen((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) == 1)
+
+    def short(lang: str, opened: Shard) -> list[Intervals]:
+        words = opened.single()
+        return [words, opened.extended(words)]
+
+    few = hashed(short)  # a bitmap, its size is fixed
+
+    def long(lang: str, opened: Shard) -> list[Intervals]:
+        pairs = frequent(few, lang, opened, opened.extended(opened.single()))
+        if not len(pairs.size):
+            return []
+        three = opened.extended(pairs)
+        known = (pairs.words[0] << 32) | pairs.words[1]  # ascending
+        asked = (three.words[1] << 32) | three.words[2]
+        found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        return [three.chosen(known[found] == asked)]
+
+    more = hashed(long)
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(seen.value, np.uint8)
-
-        def frequent(lang: str, opened: Shard, phrases: Intervals) -> Intervals:
-            place = (opened.hashes(lang, phrases) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            return phrases.chosen((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) == 1)
-
         for lang, opened in _opened(batches):
-            words = opened.single()
-            yield from opened.rows(lang, frequent(lang, opened, words))
-            pairs = frequent(lang, opened, opened.extended(words))
-            if len(pairs.size):
-                yield from opened.rows(lang, pairs)
-                three = opened.extended(pairs)
-                known = (pairs.words[0] << 32) | pairs.words[1]  # ascending
-                asked = (three.words[1] << 32) | three.words[2]
-                found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                yield from opened.rows(lang, three.chosen(known[found] == asked))
-
-    likely = index.mapInArrow(hashed, "hash long, n long").groupBy("hash").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= least)
-    seen = spark.sparkContext.broadcast(_filter(likely))  # its size is fixed
+            for bits, found in ((few, short), (more, long)):
+                for phrases in found(lang, opened):
+                    yield from opened.rows(lang, frequent(bits, lang, opened, phrases))
+
     summed = index.mapInArrow(spelled, _COUNTS).groupBy("lang", "phrase", "size").agg(
         *(F.sum(c).alias(c) for c in ("n", "n_before", "n_behind"))).filter(F.col("n") >= least)
     return written(summed, new_folder(spark, "phrases"))
