@@ -172,7 +172,7 @@ class Shard:
         ends = np.cumsum(phrases.size)
         owner = np.repeat(np.arange(len(phrases.size)), phrases.size)
         place = np.arange(n) + (phrases.backward - (ends - phrases.size))[owner]
-        symbol = self.backward[place]
+        symbol = self.backward[place].astype(np.int64)
         order = _sorted_by(owner, symbol)
         owner, symbol, place = owner[order], symbol[order], place[order]
         at = _firsts(owner, symbol)
