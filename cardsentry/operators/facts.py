@@ -1,36 +1,31 @@
 """Per-card facts: what each transaction knows about its card at its event time.
 
-Every window starts with the same two columns (card, slice), so one exchange
-serves all of them, and no window costs more than its rows and their sort:
-
-* running counts and sums instead of sliding frames; a trailing count is the rank
-  of a row minus the rows at or before the start of its window;
-* a card with too many rows for one task is cut into slices of event time. What a
-  slice must know of the past comes as one *memory* row (count, sum, last place of
-  all earlier slices) and as *context* rows (copies of the rows of the last
-  look-back). A row is copied at most once, because a slice is never shorter than
-  the look-back.
-
-The same two kinds of rows carry the state of a stream into a micro-batch.
+Every window starts with the card, so one exchange serves all of them, and no window costs
+more than its rows and their sort: running counts and sums stand for sliding frames; a
+trailing count is the rank of a row minus the rows at or before the start of its window.
+
+Cards with too many rows for one task take another way, prefix sums of two levels (see
+``crowded``), so neither a card nor its busiest hour has to fit into one task.
+
+A card that stays away for longer than ``stateTtlSeconds`` is forgotten and starts anew.
+
+What a stream knows from earlier micro-batches comes as rows too: a *memory* row per card
+(count, sum, last place) and *context* rows (copies of the rows of the last look-back).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from cardsentry.operators.crowded import BEGINNING, MEMORY, OWN, TOTAL, crowded_facts
 from cardsentry.operators.rules import RuleSet
-from cardsentry.schema import CARD_TESTING, VELOCITY
+from cardsentry.schema import AMOUNT_ANOMALY, CARD_TESTING, VELOCITY
 
-# A card with more rows than this is cut into slices by the jobs over whole histories.
+# Cards with more rows than this take the way of ``crowded`` in the jobs over whole histories.
 HOT_ROWS = 1_000_000
 
-# Sums of amounts: exact, in any order, and beyond what a bigint holds.
-TOTAL = "decimal(38,0)"
-
-# Kinds of rows in a window.
-MEMORY, CONTEXT, OWN = 0, 1, 2
-# Sorts memory rows before everything else, with room for the frame arithmetic.
-_BEGINNING = -(1 << 60)
+# Kinds of rows in a window; memory and own ones are named in ``crowded``.
+CONTEXT = 1
 
 FACT_COLUMNS = ["velocity_count", "prior_count", "prior_total", "prev_country", "prev_ms",
                 "probe_runs"]
@@ -41,69 +36,23 @@ def look_back_ms(rules: RuleSet) -> int:
                       rules[CARD_TESTING].whole("windowSeconds"))
 
 
-def hot_cards(rows: DataFrame, look_back: int, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(card_id, slice_ms) of the cards to cut; a plan like any other, nothing is collected.
+def forget_ms(rules: RuleSet) -> int:
+    """How long a card may stay away before it is forgotten."""
+    return 1000 * rules[AMOUNT_ANOMALY].whole("stateTtlSeconds")
 
-    A slice is as many look-backs long as keep its busiest stretch below ``hot_rows``,
-    and at least one. Measuring the busiest look-back rather than the span from first to
-    last keeps bursts, and single rows with a broken clock, from making slices too long.
-    """
-    stretch = F.floor(F.col("event_ms") / F.lit(look_back))
-    longest = F.greatest(F.lit(1), F.floor(F.lit(hot_rows) / F.col("peak"))).cast("bigint")
-    return (rows.groupBy("card_id", stretch.alias("_s")).agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("card_id").agg(F.sum("n").alias("n"), F.max("n").alias("peak"))
-            .filter(F.col("n") > hot_rows)
-            .select("card_id", (F.lit(look_back) * longest).alias("slice_ms")))
-
-
-def _in_slices(rows: DataFrame, hot: DataFrame, look_back: int) -> DataFrame:
-    """Rows of hot cards per slice, with the end of each slice repeated as context of the next."""
-    cut = rows.join(hot, "card_id", "left")
-    ms, length = F.col("event_ms"), F.col("slice_ms")
-    number = F.floor(ms / length).cast("bigint")
-    near_end = ms > (number + 1) * length - look_back
-    home = F.struct(F.coalesce(number, F.lit(0)).alias("_slice"), F.col("_kind"))
-    copy = F.struct((number + 1).alias("_slice"), F.lit(CONTEXT).alias("_kind"))
-    places = (F.when(F.col("_kind") == MEMORY, F.array(home))
-              .when(near_end, F.array(home, copy)).otherwise(F.array(home)))
-    others = [c for c in rows.columns if c != "_kind"]
-    return cut.select(*others, F.explode(places).alias("_p")).select(*others, "_p.*")
-
-
-def _slice_memory(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """One memory row per slice of a hot card: everything before the slice.
-
-    Slices are first reduced to one row each (combined before the shuffle); the
-    window then runs over slices, not over transactions.
-    """
-    cut = rows.filter(F.col("_kind") != CONTEXT).join(hot, "card_id")
-    first = F.lit(_BEGINNING)
-    number = F.when(F.col("_kind") == MEMORY, first).otherwise(
-        F.floor(F.col("event_ms") / F.col("slice_ms")).cast("bigint"))
-    last = F.max(F.struct("event_ms", "transaction_id", "country_code"))
-    per_slice = (cut.withColumn("_slice", number).groupBy("card_id", "_slice")
-                 .agg(F.sum("_n").alias("_n"), F.sum("_amount").alias("_amount"),
-                      last.alias("_last")))
-    before = (W.partitionBy("card_id").orderBy("_slice")
-              .rowsBetween(W.unboundedPreceding, -1))
-    return (per_slice
-            .select("card_id", "_slice",
-                    F.sum("_n").over(before).alias("_n"),
-                    F.sum("_amount").over(before).alias("_amount"),
-                    F.max("_last").over(before).alias("_last"))
-            .filter(F.col("_last").isNotNull() & (F.col("_slice") != first))
-            .select("card_id", "_slice", "_n", "_amount",
-                    F.col("_last.event_ms").alias("event_ms"),
-                    F.col("_last.country_code").alias("country_code"),
-                    F.lit("").alias("transaction_id"), F.lit(MEMORY).alias("_kind")))
+
+def hot_cards(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """card_id of the cards with more rows than ``hot_rows``; a plan, nothing is collected."""
+    return (rows.groupBy("card_id").agg(F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") > hot_rows).select("card_id"))
 
 
 def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
     """Input rows and, for a stream, the remembered ones, in one shape.
 
     ``memory`` has card_id, kind (MEMORY or CONTEXT), transaction_id, event_ms,
-    amount_minor, country_code, seen (transactions so far), seen_total and, where the
-    rows have it, is_late.
+    amount_minor, country_code, seen (transactions since the card was last forgotten),
+    seen_total and, where the rows have it, is_late. Its context rows belong to that time too.
     """
     own = rows.select("*", F.lit(OWN).alias("_kind"), F.lit(1).cast("bigint").alias("_n"),
                       F.col("amount_minor").cast(TOTAL).alias("_amount"))
@@ -129,32 +78,44 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
     this row, when large, completes: array of first_ms, total_minor).
 
     Order within a card is (event_ms, transaction_id). Ids are expected to be unique.
-    Cards above ``hot_rows`` are cut into slices, which asks for a count per card first;
-    without it every card is scored in one piece. With a boolean column
-    ``is_late`` in ``rows``, late rows take no part in card testing.
+    With ``hot_rows`` rows are counted per card first, and cards above it take the way of
+    ``crowded``; without it every card is scored in one piece. With a boolean column ``is_late``
+    in ``rows``, late rows take no part in card testing.
     """
-    look_back = look_back_ms(rules)
-    prepared = _prepared(rows, memory)
-    hot = hot_cards(rows, look_back, hot_rows) if hot_rows is not None else None
-    if hot is None:
-        placed = prepared.withColumn("_slice", F.lit(0).cast("bigint"))
-    else:
-        sliced = _in_slices(prepared, hot, look_back)
-        if memory is not None:
-            # The memory row of a hot card is folded into the rows of its slices.
-            sliced = sliced.join(hot.select("card_id", F.lit(True).alias("_hot")), "card_id", "left")
-            sliced = sliced.filter((F.col("_kind") != MEMORY) | F.col("_hot").isNull()).drop("_hot")
-        placed = sliced.unionByName(_slice_memory(prepared, hot), allowMissingColumns=True)
-    return _windows(placed, rules, rows.columns, streaming=memory is not None)
-
-
-def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: bool) -> DataFrame:
+    columns, streaming = rows.columns, memory is not None
+    marked = _marked(_prepared(rows, memory), rules, "is_late" in columns)
+    if hot_rows is None:
+        return _windows(marked, rules, columns, streaming)
+    hot = hot_cards(marked.filter("_real"), hot_rows).withColumn("_hot", F.lit(True))
+    told = marked.join(hot, "card_id", "left")
+    calm = _windows(told.filter("_hot IS NULL"), rules, columns, streaming)
+    testing = rules[CARD_TESTING]
+    return calm.unionByName(crowded_facts(
+        told.filter("_hot"), columns, look_back=look_back_ms(rules),
+        velocity_ms=rules[VELOCITY].whole("windowSeconds") * 1000,
+        testing_ms=testing.whole("windowSeconds") * 1000, probe_count=testing.whole("probeCount"),
+        forget_ms=forget_ms(rules)))
+
+
+def _marked(prepared: DataFrame, rules: RuleSet, knows_late: bool) -> DataFrame:
+    """Rows with their marks: real ones, small and large payments."""
+    testing = rules[CARD_TESTING]
+    on_time = "NOT coalesce(is_late, false)" if knows_late else "true"
+    return prepared.selectExpr(
+        "*",
+        f"_kind <> {MEMORY} AS _real",
+        f"_kind <> {MEMORY} AND {on_time}"
+        f" AND amount_minor <= {testing.whole('probeMaxAmountMinor')} AS _probe",
+        f"_kind <> {MEMORY} AND {on_time}"
+        f" AND amount_minor >= {testing.whole('largeAmountMinor')} AS _large")
+
+
+def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: bool) -> DataFrame:
     velocity, testing = rules[VELOCITY], rules[CARD_TESTING]
     velocity_ms = velocity.whole("windowSeconds") * 1000
     testing_ms = testing.whole("windowSeconds") * 1000
-    on_time = "NOT coalesce(is_late, false)" if "is_late" in columns else "true"
 
-    card = "PARTITION BY card_id, _slice"
+    card = "PARTITION BY card_id"
     line = f"{card} ORDER BY _at, transaction_id"
     past = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     upto = f"{line} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -165,17 +126,9 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"lag(if(_probe, amount_minor, null), {i}) IGNORE NULLS OVER ({line})"
         for i in range(1, before_last + 1))
 
-    marked = placed.selectExpr(
-        "*",
-        f"_kind <> {MEMORY} AS _real",
-        f"if(_kind = {MEMORY}, {_BEGINNING}, event_ms) AS _at",
-        f"_kind <> {MEMORY} AND {on_time}"
-        f" AND amount_minor <= {testing.whole('probeMaxAmountMinor')} AS _probe",
-        f"_kind <> {MEMORY} AND {on_time}"
-        f" AND amount_minor >= {testing.whole('largeAmountMinor')} AS _large")
-
     # Running facts in event-time order; one sort serves them and the two windows after.
-    running = marked.selectExpr(
+    timed = marked.selectExpr("*", f"if(_kind = {MEMORY}, {BEGINNING}, event_ms) AS _at")
+    running = timed.selectExpr(
         "*",
         f"count_if(_real) OVER ({upto}) AS _rank",
         f"sum(if(_kind = {CONTEXT}, 0, _n)) OVER ({past}) AS _prior_count",
@@ -193,35 +146,48 @@ def _windows(placed: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"count_if(_real) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
         f" AND {velocity_ms} PRECEDING) AS _outside")
 
+    # A card that was away for too long: what came before its return no longer counts.
+    prev_ms, prev_country = "_lag_ms", "_lag_country"
+    if streaming:
+        # A row that came late must not become the last known place.
+        newer = f"_mem_ms > coalesce(_lag_ms, {BEGINNING})"
+        prev_ms = f"if({newer}, _mem_ms, _lag_ms)"
+        prev_country = f"if({newer}, _mem_country, _lag_country)"
+    returned = running.selectExpr(
+        "*", f"{prev_ms} AS _prev_ms", f"{prev_country} AS _prev_country",
+        f"coalesce(_kind = {OWN} AND event_ms - ({prev_ms}) > {forget_ms(rules)}, false) AS _back",
+    ).selectExpr(
+        "*",
+        f"coalesce(max(if(_back, event_ms, null)) OVER ({upto}), {BEGINNING}) AS _since",
+        f"coalesce(max(if(_back, _rank - 1, null)) OVER ({upto}), 0) AS _rank_before",
+        f"coalesce(last(if(_back, _prior_count, null), true) OVER ({upto}), 0) AS _count_before",
+        f"coalesce(last(if(_back, _prior_total, null), true) OVER ({upto}), 0) AS _total_before")
+
     # Card testing without a join. The rows up to and with a large one form a group, whose
     # complete runs stand at place 3g, whose large row stands at 3g + 1 and all else at 3g + 2.
-    # The frame is the place before one's own: the large row alone sees runs, each run is
-    # gathered once, and rows at one place share one frame.
-    gathered = running.selectExpr(
-        "*",
-        "if(_probe AND _first_ms IS NOT NULL,"
-        " named_struct('first_ms', _first_ms, 'total_minor', _run_total), null) AS _run",
+    # A run learns from the place after its own when its group ends, and is left out if it is too
+    # old then. The frame is the place before one's own: the large row alone sees runs, each run
+    # is gathered once, and rows at one place share one frame.
+    by_place = f"{card} ORDER BY _place RANGE BETWEEN"
+    gathered = returned.selectExpr(
+        "*", "_probe AND _first_ms >= _since AS _run_here",
+    ).selectExpr(
+        "*", "3 * _group + CASE WHEN _large THEN 1 WHEN _run_here THEN 0 ELSE 2 END AS _place",
     ).selectExpr(
         "*",
-        "3 * _group + CASE WHEN _large THEN 1 WHEN _run IS NOT NULL THEN 0 ELSE 2 END AS _place",
+        f"max(if(_large, event_ms, null)) OVER ({by_place} 1 FOLLOWING AND 1 FOLLOWING) AS _end_ms",
     ).selectExpr(
         "*",
-        f"collect_list(_run) OVER ({card} ORDER BY _place"
-        " RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS _runs",
+        f"if(_run_here AND _first_ms > _end_ms - {testing_ms},"
+        " named_struct('first_ms', _first_ms, 'total_minor', _run_total), null) AS _run",
+    ).selectExpr(
+        "*", f"collect_list(_run) OVER ({by_place} 1 PRECEDING AND 1 PRECEDING) AS _runs",
     ).filter(F.col("_kind") == OWN)
-
-    prev_ms, prev_country = "_lag_ms", "_lag_country"
-    if streaming:
-        # A row that came late must not become the last known place.
-        newer = f"_mem_ms > coalesce(_lag_ms, {_BEGINNING})"
-        prev_ms = f"if({newer}, _mem_ms, _lag_ms)"
-        prev_country = f"if({newer}, _mem_country, _lag_country)"
     return gathered.selectExpr(
         *columns,
-        "_rank - _outside AS velocity_count",
-        "coalesce(_prior_count, 0L) AS prior_count",
-        f"coalesce(_prior_total, CAST(0 AS {TOTAL})) AS prior_total",
-        f"{prev_country} AS prev_country",
-        f"{prev_ms} AS prev_ms",
-        f"if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms > event_ms - {testing_ms})),"
-        " _runs) AS probe_runs")
+        "_rank - greatest(_outside, _rank_before) AS velocity_count",
+        "coalesce(_prior_count, 0L) - _count_before AS prior_count",
+        f"CAST(coalesce(_prior_total, 0) - _total_before AS {TOTAL}) AS prior_total",
+        "if(_back, null, _prev_country) AS prev_country",
+        "if(_back, null, _prev_ms) AS prev_ms",
+        "if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms >= _since)), _runs) AS probe_runs")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections import defaultdict
 
 
-def facts(rows, velocity_s=60, probes=3, probe_max=500, large_min=50000, testing_s=300):
+def facts(rows, velocity_s=60, probes=3, probe_max=500, large_min=50000, testing_s=300,
+          forget_s=604800):
     """rows: dicts with transaction_id, card_id, event_ms, amount_minor, country_code.
 
     Returns transaction_id -> (velocity_count, prior_count, prior_total, prev_country,
@@ -21,6 +22,8 @@ def facts(rows, velocity_s=60, probes=3, probe_max=500, large_min=50000, testing
         small, waiting = [], []
         for r in card_rows:
             ms, amount = r["event_ms"], r["amount_minor"]
+            if place_ms is not None and ms - place_ms > forget_s * 1000:
+                times, count, total, place, place_ms, small, waiting = [], 0, 0, None, None, [], []
             times = [t for t in times if t > ms - velocity_s * 1000] + [ms]
             matches = []
             if amount >= large_min:

@@ -8,10 +8,11 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from cardsentry.operators import crowded
 from cardsentry.operators.facts import card_facts, hot_cards
 from cardsentry.operators.rules import default_rules
 from cardsentry.operators.verdict import score_transactions
-from cardsentry.schema import CARD_TESTING, VELOCITY
+from cardsentry.schema import AMOUNT_ANOMALY, CARD_TESTING, VELOCITY
 from tests import simulator
 from tests.helpers import as_dicts, collected_facts, frame, transaction
 
@@ -62,14 +63,35 @@ def test_all_rows_of_a_card_at_one_moment(spark):
     assert got == simulator.facts(as_dicts(rows))
 
 
-def test_hot_cards_are_found_and_bounded(spark):
+def test_hot_cards_are_found(spark):
     rows = frame(spark, _random_rows(3))
-    assert hot_cards(rows, 300_000, 1_000).count() == 0
-    found = hot_cards(rows, 300_000, 300).collect()
-    assert [r["card_id"] for r in found] == ["hot"]
-    assert all(r["slice_ms"] >= 300_000 and r["slice_ms"] % 300_000 == 0 for r in found)
-    broken = rows.unionByName(frame(spark, [transaction("z", 0, card_id="hot")]))
-    assert hot_cards(broken, 300_000, 300).collect() == found
+    assert hot_cards(rows, 1_000).count() == 0
+    assert [r["card_id"] for r in hot_cards(rows, 300).collect()] == ["hot"]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 100, 3])
+@pytest.mark.parametrize("forget_s", [60, 400])
+def test_a_card_that_stays_away_is_forgotten(spark, hot_rows, forget_s):
+    rules = default_rules()
+    rules[AMOUNT_ANOMALY] = rules[AMOUNT_ANOMALY].with_params(stateTtlSeconds=float(forget_s))
+    rules[VELOCITY] = rules[VELOCITY].with_params(windowSeconds=120.0)
+    rows = _random_rows(13, n=600, span_ms=40_000_000)
+    for i in range(40):  # runs and large payments on both sides of a gap
+        start = T0 + i * 1_000_000
+        rows += [transaction(f"g{i:02d}{k}", start + at, card_id="gaps", amount_minor=amount) for k, (at, amount)
+                 in enumerate([(0, 100), (10, 100), (20, 100), (forget_s * 1000 + 20 + i % 3, 60000),
+                               (forget_s * 1000 + 40, 100), (forget_s * 1000 + 40, 100)])]
+    got = collected_facts(card_facts(frame(spark, rows), rules, hot_rows=hot_rows))
+    assert got == simulator.facts(as_dicts(rows), velocity_s=120, forget_s=forget_s)
+
+
+def test_runs_across_buckets_of_numbers(spark, monkeypatch):
+    monkeypatch.setattr(crowded, "RUN_BUCKET", 7)
+    rules = default_rules()
+    rules[CARD_TESTING] = rules[CARD_TESTING].with_params(probeCount=5)
+    rows = _random_rows(14, n=400, hot_share=0.9, span_ms=900_000)
+    got = collected_facts(card_facts(frame(spark, rows), rules, hot_rows=10))
+    assert got == simulator.facts(as_dicts(rows), probes=5)
 
 
 def _scores(spark, rows, **options):
