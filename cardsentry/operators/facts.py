@@ -87,7 +87,9 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
     if hot_rows is None:
         return _windows(marked, rules, columns, streaming)
     hot = hot_cards(marked.filter("_real"), hot_rows).withColumn("_hot", F.lit(True))
-    told = marked.join(hot, "card_id", "left")
+    # There are at most rows / hot_rows such ids, so they go to the rows: a shuffle by card would
+    # bring a hot card into one task before it is known as one.
+    told = marked.join(F.broadcast(hot), "card_id", "left")
     calm = _windows(told.filter("_hot IS NULL"), rules, columns, streaming)
     testing = rules[CARD_TESTING]
     return calm.unionByName(crowded_facts(
