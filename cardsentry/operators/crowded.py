@@ -162,4 +162,5 @@ def crowded_facts(marked: DataFrame, columns: list[str], *, look_back: int, velo
             .select(*columns, "velocity_count", "prior_count", "prior_total",
                     F.col("_prev.country_code").alias("prev_country"),
                     F.col("_prev.event_ms").alias("prev_ms"),
-                    F.coalesce("_found", nothing).alias("probe_runs")))
+                    F.coalesce("_found", nothing).alias("probe_runs"),
+                    F.when(F.col("_session") > BEGINNING, F.col("_session")).alias("since_ms")))

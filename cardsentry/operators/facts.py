@@ -28,7 +28,13 @@ HOT_ROWS = 1_000_000
 CONTEXT = 1
 
 FACT_COLUMNS = ["velocity_count", "prior_count", "prior_total", "prev_country", "prev_ms",
-                "probe_runs"]
+                "probe_runs", "since_ms"]
+
+
+def memory_facts() -> list[str]:
+    """Facts of a row from which the memory of its card after it follows."""
+    return ["prior_count", "prior_total", "since_ms"]
+
 
 
 def look_back_ms(rules: RuleSet) -> int:
@@ -74,8 +80,9 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
 
     Adds velocity_count (this row and the earlier ones inside the velocity window),
     prior_count and prior_total (earlier rows of the card), prev_country and prev_ms
-    (the place it was last seen) and probe_runs (the runs of small amounts which
-    this row, when large, completes: array of first_ms, total_minor).
+    (the place it was last seen), probe_runs (the runs of small amounts which
+    this row, when large, completes: array of first_ms, total_minor) and since_ms (when the card
+    came back among these rows after it had been forgotten, else null).
 
     Order within a card is (event_ms, transaction_id). Ids are expected to be unique.
     With ``hot_rows`` rows are counted per card first, and cards above it take the way of
@@ -192,4 +199,5 @@ def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"CAST(coalesce(_prior_total, 0) - _total_before AS {TOTAL}) AS prior_total",
         "if(_back, null, _prev_country) AS prev_country",
         "if(_back, null, _prev_ms) AS prev_ms",
-        "if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms >= _since)), _runs) AS probe_runs")
+        "if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms >= _since)), _runs) AS probe_runs",
+        f"nullif(_since, {BEGINNING}) AS since_ms")

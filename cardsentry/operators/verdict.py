@@ -182,8 +182,9 @@ def score_transactions(transactions: DataFrame, rules: RuleSet, *, model: Model
     return verdict
 
 
-def scored_only(verdict: DataFrame) -> DataFrame:
-    return verdict.drop(*FACT_COLUMNS, *MEASURE_COLUMNS)
+def scored_only(verdict: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Scored rows without their facts, but for those to ``keep``."""
+    return verdict.drop(*[c for c in (*FACT_COLUMNS, *MEASURE_COLUMNS) if c not in keep])
 
 
 def hit_rows(scored: DataFrame) -> DataFrame:

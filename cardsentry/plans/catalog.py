@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +16,7 @@ from cardsentry.operators.facts import HOT_ROWS, card_facts
 from cardsentry.operators.verdict import (
     hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
-    AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, VELOCITY)
+    AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, RULE_IDS, VELOCITY)
 from cardsentry.session import new_folder
 from cardsentry.sources.centroids import country_distances
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
@@ -33,6 +35,10 @@ SPLIT_ROWS = 100
 TARGET_FPR = 0.02
 # 2024-01-16, the middle of the sample.
 _HALF_WAY_MS = 1_705_363_200_000
+# 2024-01-11 and 2024-01-21.
+_THIRDS_MS = (1_704_931_200_000, 1_705_795_200_000)
+DISABLED = (VELOCITY, GEO_IMPOSSIBLE, CARD_TESTING)
+
 
 def _query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -135,6 +141,14 @@ def all_facts_split(spark, sf_dir):
     return _facts(spark, sf_dir, True, R.default_rules(), SPLIT_ROWS)
 
 
+@_query("card_facts_ttl")
+def all_facts_ttl(spark, sf_dir):
+    """Facts when a card that stays away for a day is forgotten."""
+    rules = R.default_rules()
+    rules[AMOUNT_ANOMALY] = rules[AMOUNT_ANOMALY].with_params(stateTtlSeconds=86400.0)
+    return _facts(spark, sf_dir, False, rules, SPLIT_ROWS)
+
+
 @_query("card_facts_hourly")
 def all_facts_hourly(spark, sf_dir):
     """Facts with an hour's velocity window over unsqueezed days."""
@@ -224,6 +238,14 @@ def score_merged_split(spark, sf_dir):
     return _verdict_view(_scored(spark, sf_dir, hot_rows=SPLIT_ROWS))
 
 
+@_query("score_disabled_rules")
+def score_disabled_rules(spark, sf_dir):
+    """Verdicts while three of the rules are switched off."""
+    rules = {k: dataclasses.replace(r, enabled=k not in DISABLED) for k, r in R.default_rules().items()}
+    rows = sample_transactions(spark, sf_dir)
+    return _verdict_view(scored_only(score_transactions(rows, rules)))
+
+
 @_query("score_deduped_hits")
 def score_deduped_hits(spark, sf_dir):
     return _verdict_view(_scored(spark, sf_dir, dedupe_hits=True))
@@ -390,23 +412,34 @@ def _work_folder(spark: SparkSession) -> str:
     return new_folder(spark, "stream")
 
 
-def _stream_in_parts(spark: SparkSession, sf_dir: str, root: str, start) -> None:
-    """Streams the whole sample in two parts, earlier days first.
+def _stream_parts(spark: SparkSession, root: str, parts: list[DataFrame], start) -> None:
+    """Streams parts of the lines, one micro-batch each.
 
-    The second part arrives after the query has stopped, so it starts from its checkpoint.
+    A part arrives after the query has stopped, so it starts from its checkpoint.
     """
+    for number, lines in enumerate(parts):
+        lines.select("value").write.text(f"{root}/lines/part={number}")
+        start(file_lines(spark, f"{root}/lines/part=*", max_files=1 << 20), root).awaitTermination()
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The whole sample in two parts, earlier days first."""
     lines = sample_lines(spark, sf_dir, keep=("event_ms",))
     earlier = F.col("event_ms") < _HALF_WAY_MS
-    for part, wanted in enumerate((earlier, ~earlier)):
-        lines.filter(wanted).select("value").write.text(f"{root}/lines/part={part}")
-        start(file_lines(spark, f"{root}/lines/part=*"), root).awaitTermination()
+    return lines.filter(earlier), lines.filter(~earlier)
+
+
+def _with_replays(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The second part brings every other line of the first one again, up to two weeks old."""
+    first, second = _halves(spark, sf_dir)
+    return [first, second.unionByName(first.filter(F.col("event_id") % 2 == 0))]
 
 
 @_query("stream_scored")
 def stream_scored(spark, sf_dir):
     """Verdicts of the stream, which must equal those of the batch on the same lines."""
     root = _work_folder(spark)
-    _stream_in_parts(spark, sf_dir, root, score_stream)
+    _stream_parts(spark, root, list(_halves(spark, sf_dir)), score_stream)
     return _verdict_view(Tables(root).read(spark, "scored"))
 
 
@@ -414,16 +447,64 @@ def stream_scored(spark, sf_dir):
 def stream_alerts(spark, sf_dir):
     """The alert table of the stream."""
     root = _work_folder(spark)
-    _stream_in_parts(spark, sf_dir, root, score_stream)
+    _stream_parts(spark, root, list(_halves(spark, sf_dir)), score_stream)
     return Tables(root).alerts(spark).select(
         "transaction_id", "card_id", "score", F.size("hits").alias("n_hits"),
         F.concat_ws(",", "rule_ids").alias("rule_ids"))
 
 
+@_query("stream_replayed")
+def stream_replayed(spark, sf_dir):
+    """Verdicts of the stream when half of the first part comes again days later."""
+    root = _work_folder(spark)
+    _stream_parts(spark, root, _with_replays(spark, sf_dir), score_stream)
+    return _verdict_view(Tables(root).read(spark, "scored"))
+
+
+@_query("stream_counters")
+def stream_counters(spark, sf_dir):
+    """What the micro-batches of the same stream counted, summed up."""
+    root = _work_folder(spark)
+    _stream_parts(spark, root, _with_replays(spark, sf_dir), score_stream)
+    names = ["parsed", "rejected", "replayed", "scored", "late", "alerts",
+             *(f"hits_{r}" for r in RULE_IDS)]
+    totals = Tables(root).read(spark, "progress").agg(*(F.sum(n).alias(n) for n in names))
+    return totals.unpivot([], names, "counter", "n")
+
+
+@_query("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """Which rows count as late when some arrive a third of the sample after their time."""
+    lines = sample_lines(spark, sf_dir, keep=("event_ms",))
+    third = F.when(F.col("event_ms") < _THIRDS_MS[0], 0).when(F.col("event_ms") < _THIRDS_MS[1], 1).otherwise(2)
+    arrives = F.least(F.lit(2), third + F.when(F.col("event_id") % 40 == 7, 1).otherwise(0))
+    root = _work_folder(spark)
+    _stream_parts(spark, root, [lines.filter(arrives == k) for k in range(3)], score_stream)
+    return Tables(root).read(spark, "scored").select(
+        "transaction_id", F.col("batch_id").cast("long").alias("batch_id"), "is_late")
+
+
+@_query("stream_rule_change")
+def stream_rule_change(spark, sf_dir):
+    """Velocity hits when a stricter version of the rule is pushed between two micro-batches."""
+    root, rules = _work_folder(spark), f"{_work_folder(spark)}/rules"
+    R.rules_frame(spark, R.default_rules().values()).write.parquet(rules)
+    first, second = _halves(spark, sf_dir)
+    start = functools.partial(score_stream, rules_path=rules)
+    _stream_parts(spark, root, [first], start)
+    stricter = R.default_rules()[VELOCITY].with_params(maxCount=2.0)
+    R.rules_frame(spark, [dataclasses.replace(stricter, version=2)]).write.mode("append").parquet(rules)
+    second.select("value").write.text(f"{root}/lines/part=1")
+    start(file_lines(spark, f"{root}/lines/part=*", max_files=1 << 20), root).awaitTermination()
+    hits = hit_rows(Tables(root).read(spark, "scored")).filter(F.col("rule_id") == VELOCITY)
+    return hits.select("transaction_id", "rule_version",
+                       F.variant_get("evidence", "$.count", "bigint").alias("n"))
+
+
 @_query("stream_dlq")
 def stream_dlq(spark, sf_dir):
     root = _work_folder(spark)
-    _stream_in_parts(spark, sf_dir, root, dead_letter_stream)
+    _stream_parts(spark, root, list(_halves(spark, sf_dir)), dead_letter_stream)
     record = F.from_json("value", "error string, payload string")
     return (spark.read.text(f"{root}/dead_letters").select(record.alias("r"))
             .select("r.error", "r.payload"))

@@ -10,10 +10,14 @@ from __future__ import annotations
 from cardsentry.functions.risk import UNUSUAL_CATEGORIES
 from cardsentry.operators.feedback import GRID, TUNED
 from cardsentry.operators.rules import SPECS, bound_text, default_rules
-from cardsentry.schema import CARD_TESTING, RULE_IDS, VELOCITY
+from cardsentry.schema import CARD_TESTING, GEO_IMPOSSIBLE, RULE_IDS, VELOCITY
 from cardsentry.sources.centroids import CENTROIDS
 
 _RULES = default_rules()
+# Parameters of the registered queries: 2024-01-16, 2024-01-11 and 2024-01-21, rules switched off.
+HALF_WAY_MS = 1_705_363_200_000
+THIRDS_MS = (1_704_931_200_000, 1_705_795_200_000)
+DISABLED = (VELOCITY, GEO_IMPOSSIBLE, CARD_TESTING)
 ORACLE_SQL: dict[str, str] = {}
 
 
@@ -108,8 +112,11 @@ hits AS (
   UNION ALL SELECT transaction_id, card_id, event_ms, 'card_testing', 45 FROM testing)"""
 
 
-def _scored(distinct_testing: bool = False, where: str = "true") -> str:
+def _scored(distinct_testing: bool = False, where: str = "true", without: tuple[str, ...] = ()) -> str:
     source = "(SELECT DISTINCT * FROM hits)" if distinct_testing else "hits"
+    if without:
+        listed = ", ".join(f"'{r}'" for r in without)
+        source = f"(SELECT * FROM hits WHERE rule_id NOT IN ({listed}))"
     return f"""{_hits(where=where)},
 per_tx AS (SELECT transaction_id, CAST(sum(weight) AS INTEGER) AS score,
     CAST(count(*) AS INTEGER) AS n_hits, string_agg(rule_id, ',' ORDER BY rule_id) AS rule_ids
@@ -173,6 +180,14 @@ SELECT transaction_id, n_recent AS velocity_count, n_prior AS prior_count,
 _add("card_facts", _facts(), _FACT_VIEW)
 _add("card_facts_split", _facts(), _FACT_VIEW)
 _add("card_facts_hourly", _facts(False, 3600), _FACT_VIEW)
+# A card that was away for more than a day is another card from then on.
+_add("card_facts_ttl", _facts(False).replace("tx AS (", "raw AS (", 1).replace(
+    ", places(", """,
+visits AS (SELECT *, CAST(coalesce(event_ms - lag(event_ms) OVER w > 86400000, false) AS INTEGER) AS back
+  FROM raw WINDOW w AS (PARTITION BY card_id ORDER BY event_ms, transaction_id)),
+tx AS (SELECT * REPLACE (card_id || '/' || sum(back) OVER (PARTITION BY card_id
+    ORDER BY event_ms, transaction_id) AS card_id) FROM visits),
+places(""", 1), _FACT_VIEW)
 _add("risk_probability", _facts(False), "SELECT transaction_id, round(risk, 6) AS risk FROM facts")
 
 # Rules.
@@ -209,6 +224,30 @@ _add("score_merged_split", _scored(), _VERDICT)
 _add("score_deduped_hits", _scored(distinct_testing=True), _VERDICT)
 _PARSED = f"event_id % 100 NOT IN {_BAD}"
 _add("stream_scored", _scored(where=_PARSED), _VERDICT)
+_add("stream_replayed", _scored(where=_PARSED), _VERDICT)
+_add("score_disabled_rules", _scored(without=DISABLED), _VERDICT)
+_add("stream_rule_change", _facts(where=_PARSED), f"""
+SELECT transaction_id, CASE WHEN event_ms < {HALF_WAY_MS} THEN 1 ELSE 2 END::BIGINT AS rule_version,
+  n_recent AS n FROM facts WHERE n_recent > CASE WHEN event_ms < {HALF_WAY_MS} THEN 5 ELSE 2 END""")
+_add("stream_late_rows", _tx(where=_PARSED) + f""",
+arrived AS (SELECT *, least(2, CASE WHEN event_ms < {THIRDS_MS[0]} THEN 0
+    WHEN event_ms < {THIRDS_MS[1]} THEN 1 ELSE 2 END + CAST(event_id % 40 = 7 AS INTEGER)) AS part FROM tx),
+newest AS (SELECT part, max(max(event_ms)) OVER (ORDER BY part
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS mark FROM arrived GROUP BY part)""", """
+SELECT transaction_id, part::BIGINT AS batch_id, coalesce(event_ms < mark, false) AS is_late
+FROM arrived JOIN newest USING (part)""")
+_counted = " UNION ALL ".join(
+    f"SELECT 'hits_{r}' AS counter, count(*) AS n FROM hits WHERE rule_id = '{r}'" for r in RULE_IDS)
+_add("stream_counters", _scored(where=_PARSED) + f""",
+every AS (SELECT event_id, event_id % 100 NOT IN {_BAD} AS fine,
+    (epoch_us(ts) // 1000 // 86400000) * 86400000 < {HALF_WAY_MS} AND event_id % 2 = 0 AS again
+  FROM events)""", f"""
+SELECT 'parsed' AS counter, count(*) + count(*) FILTER (again) AS n FROM every WHERE fine
+UNION ALL SELECT 'rejected', count(*) + count(*) FILTER (again) FROM every WHERE NOT fine
+UNION ALL SELECT 'replayed', count(*) FROM every WHERE fine AND again
+UNION ALL SELECT 'scored', count(*) FROM scored
+UNION ALL SELECT 'late', 0 UNION ALL SELECT 'alerts', count(*) FROM scored WHERE score >= 40
+UNION ALL {_counted}""")
 _add("stream_alerts", _scored(where=_PARSED), f"{_VERDICT} WHERE score >= 40")
 _OUTSIDE = """base AS (SELECT CASE WHEN event_id % 10 = 9 THEN 'gone-' ELSE 'tx-' END
     || (event_id // 6 * 6) AS transaction_id,

@@ -75,3 +75,9 @@ def event_time(ms: Column | str = "event_ms") -> Column:
 
 def event_time_millis(ts: Column | str = "event_time") -> Column:
     return F.unix_millis(F.col(ts) if isinstance(ts, str) else ts)
+
+
+def event_date(ms: Column | str = "event_ms") -> Column:
+    """The UTC day of an event."""
+    at = F.col(ms) if isinstance(ms, str) else ms
+    return F.date_from_unix_date(F.floor(at / F.lit(86_400_000)).cast("int"))

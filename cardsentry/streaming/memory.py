@@ -1,139 +1,115 @@
-"""What a stream remembers of a card between micro-batches.
+"""What a stream remembers of its cards between micro-batches, as tables.
 
-The processor applies no rule. For each card of a micro-batch it passes the new rows
-on and adds what was known before: one memory row (count, sum, last place) and the
-rows inside the look-back as context. The window operators of the batch side then see the
-same rows as if the whole history were there, and a changed threshold needs neither a
-restart nor a rewrite of state.
+``cards`` has a row per card that a micro-batch touched: how many rows it has had since it was last
+forgotten, their sum, when that time began, and its last place. A micro-batch writes the rows of
+its own cards only; every ``MERGE_EVERY`` of them all are merged into one base. The newest row of
+a card counts, so a lookup is one aggregate over the base and the few tables after it, for the
+cards of the micro-batch. The rows of the last look-back come from the scored tables.
 
-State per card is one record: the memory and an hour of rows without their wide columns.
-One micro-batch brings at most what the source admits per trigger; cards too busy for
-that are named to the job and go round this operator (see ``hot``).
+No Python runs per row, and no card stays in one task: what is read goes to the window operators
+as memory and context rows, which cut up cards with too many rows.
+
+``ids`` has the transaction ids by the day of their event, so a replayed record is found however
+old it is, and only the days that a micro-batch brings are read.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from decimal import Decimal
-
-from pyspark import TaskContext, cloudpickle
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-from cardsentry.operators.facts import CONTEXT, MEMORY, OWN
-from cardsentry.operators.rules import LONGEST_WINDOW_SECONDS
-from cardsentry.schema import TRANSACTION_COLUMNS, TRANSACTION
-
-# Local property of the job that runs a micro-batch: rows before this time are late.
-LATE_BEFORE = "cardsentry.late.before.ms"
-# Local property of the same job: how far back the rules in force look.
-LOOK_BACK = "cardsentry.look.back.ms"
-
-_RECENT = T.StructType([
-    T.StructField("event_ms", T.LongType()), T.StructField("transaction_id", T.StringType()),
-    T.StructField("amount_minor", T.LongType()), T.StructField("country_code", T.StringType()),
-    T.StructField("is_late", T.BooleanType())])
-# One record per card: every access is a round trip between the task and its worker.
-_CARD = T.StructType([
-    T.StructField("seen", T.LongType()), T.StructField("seen_total", T.DecimalType(38, 0)),
-    T.StructField("last_ms", T.LongType()), T.StructField("last_id", T.StringType()),
-    T.StructField("last_country", T.StringType()),
-    T.StructField("recent", T.ArrayType(_RECENT))])
-
-REMEMBERED = T.StructType(
-    [T.StructField(f.name, f.dataType, True) for f in TRANSACTION.fields]
-    + [T.StructField("is_late", T.BooleanType()), T.StructField("kind", T.IntegerType()),
-       T.StructField("seen", T.LongType()), T.StructField("seen_total", T.DecimalType(38, 0))])
-_Out = Row(*REMEMBERED.fieldNames())
-
-
-# Rows of a card named as hot are spread over this many keys, none of which has state.
-LANES = 256
-
-# The processor travels with the query, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class CardMemory(StatefulProcessor):
-    """Keeps a card's facts; emits new rows together with what was known before them."""
-
-    def __init__(self, keep_ms: int, forget_ms: int, expire: bool) -> None:
-        self.keep_ms, self.forget_ms, self.expire = keep_ms, forget_ms, expire
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.card = handle.getValueState("card", _CARD, self.forget_ms if self.expire else None)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        card, lane = key
-        late_before = int(TaskContext.get().getLocalProperty(LATE_BEFORE) or -(1 << 62))
-        if lane:
-            for row in rows:
-                yield self._passed(row, late_before)
-            return
-        known = self.card.get()
-        recent = [tuple(r) for r in known[5]] if known is not None else []
-        look_back = int(TaskContext.get().getLocalProperty(LOOK_BACK) or self.keep_ms)
-
-        ids = {r[1] for r in recent}
-        fresh: list[tuple] = []
-        total, earliest, last = 0, None, None
-        for row in rows:
-            if row["transaction_id"] in ids:
-                continue  # a replayed record
-            ids.add(row["transaction_id"])
-            yield self._passed(row, late_before)
-            ms = row["event_ms"]
-            total += row["amount_minor"]
-            earliest = ms if earliest is None else min(earliest, ms)
-            place = (ms, row["transaction_id"], row["country_code"])
-            last = place if last is None or place > last else last
-            fresh.append((ms, row["transaction_id"], row["amount_minor"], row["country_code"],
-                          ms < late_before))
-        if not fresh:
-            return
-
-        if known is not None and earliest - known[2] > self.forget_ms:
-            known, recent = None, []
-        if known is not None:
-            yield self._out(card, known[2], known[3], None, known[4], False, MEMORY, known[0], known[1])
-        for ms, tx, amount, country, late in recent:
-            if ms > earliest - look_back:
-                yield self._out(card, ms, tx, amount, country, late, CONTEXT, None, None)
-
-        if known is not None:
-            last = max(last, (known[2], known[3], known[4]))
-        self.card.update((len(fresh) + (known[0] if known else 0),
-                          Decimal(total) + (known[1] if known else 0), *last,
-                          [r for r in recent + fresh if r[0] > last[0] - self.keep_ms]))
-
-    def _passed(self, row, late_before: int) -> Row:
-        return _Out(*[row[c] for c in TRANSACTION_COLUMNS], row["event_ms"] < late_before, OWN,
-                    None, None)
-
-    def _out(self, card, ms, tx, amount, country, late, kind, seen, seen_total) -> Row:
-        return _Out(tx, card, amount, None, None, None, country, None, ms, late, kind, seen, seen_total)
-
-    def close(self) -> None:
-        pass
-
-
-def remember(transactions: DataFrame, forget_seconds: int, time_mode: str = "None",
-             hot: Column | None = None) -> DataFrame:
-    """New transactions and, per card, what was known before them (columns of REMEMBERED).
-
-    Rows that meet ``hot`` only pass, over many keys; the plan is the same with and without
-    such rows, so the condition may change from one start to the next.
-
-    ``time_mode`` "None" ends when the input ends and forgets a card when it comes back
-    after ``forget_seconds`` of event time. "ProcessingTime" also drops the state of cards
-    that never come back, and is meant for a query that runs on.
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cardsentry.operators.facts import CONTEXT, MEMORY, TOTAL
+from cardsentry.streaming.sinks import Progress, Tables
+
+MERGE_EVERY = 16
+# With more days than this in a micro-batch, the whole index is read.
+MOST_DAYS = 400
+
+_CARD = ("card_id string, seen bigint, seen_total decimal(38,0), since_ms bigint, "
+         "last struct<event_ms:bigint,transaction_id:string,country_code:string>, as_of bigint")
+
+
+def new_rows(spark: SparkSession, tables: Tables, rows: DataFrame, days: list[str],
+             batch_id: int) -> DataFrame:
+    """Rows whose id no earlier micro-batch has scored for the same day."""
+    if len(days) > MOST_DAYS:
+        paths = [tables.of("ids")] if tables.exists(spark, tables.of("ids")) else []
+    else:
+        paths = [p for p in (f"{tables.of('ids')}/event_date={d}" for d in days)
+                 if tables.exists(spark, p)]
+    if not paths:
+        return rows
+    known = (spark.read.option("basePath", tables.of("ids"))
+             .schema("transaction_id string, event_date date, batch_id bigint").parquet(*paths)
+             .filter(F.col("batch_id") < batch_id).select("transaction_id", "event_date"))
+    return rows.join(known, ["transaction_id", "event_date"], "left_anti").select(*rows.columns)
+
+
+def index_ids(scored: DataFrame, tables: Tables, batch_id: int) -> None:
+    """Adds the ids of a micro-batch; one that runs again replaces what it wrote."""
+    (scored.select("transaction_id", "event_date", F.lit(batch_id).alias("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date", "batch_id").parquet(tables.of("ids")))
+
+
+def known_cards(spark: SparkSession, tables: Tables, before: Progress, cards: DataFrame) -> DataFrame:
+    """The newest row of each of ``cards`` (card_id) that was seen before."""
+    if not before.cards:
+        return spark.createDataFrame([], _CARD).drop("as_of")
+    rows = spark.read.schema(_CARD).parquet(*[f"{tables.of('cards')}/{name}" for name in before.cards])
+    newest = F.max_by(F.struct("seen", "seen_total", "since_ms", "last"), "as_of").alias("_row")
+    return (rows.join(cards, "card_id", "left_semi").groupBy("card_id").agg(newest)
+            .select("card_id", "_row.*"))
+
+
+def as_rows(spark: SparkSession, tables: Tables, before: Progress, known: DataFrame,
+            cards: DataFrame, first_ms: int, look_back: int) -> DataFrame:
+    """Memory and context rows of ``cards`` as the window operators take them.
+
+    Context rows reach ``look_back`` behind the first row of the micro-batch, as far as an hour
+    behind the newest row of the stream, and never behind the time at which a card was forgotten.
     """
-    processor = CardMemory(LONGEST_WINDOW_SECONDS * 1000, forget_seconds * 1000,
-                           expire=time_mode == "ProcessingTime")
-    lane = F.pmod(F.xxhash64("transaction_id"), F.lit(LANES)).cast("int") + 1
-    # Never null, with or without hot cards: the state store compares key schemas.
-    laned = transactions.withColumn("lane", F.lit(0) if hot is None else F.coalesce(
-        F.when(hot, lane), F.lit(0)))
-    return laned.groupBy("card_id", "lane").transformWithState(
-        processor, outputStructType=REMEMBERED, outputMode="append", timeMode=time_mode)
+    memory = known.select(
+        "card_id", F.lit(MEMORY).alias("kind"),
+        F.lit("").alias("transaction_id"), F.col("last.event_ms").alias("event_ms"),
+        F.lit(None).cast("bigint").alias("amount_minor"),
+        F.col("last.country_code").alias("country_code"), "seen", "seen_total",
+        F.lit(False).alias("is_late"))
+    since = first_ms - look_back
+    folders = [tables.of("scored", b) for b, newest in before.recent if newest > since]
+    if not folders:
+        return memory
+    recent = (spark.read.parquet(*folders).filter(F.col("event_ms") > since)
+              .join(cards, "card_id", "left_semi")
+              .join(known.select("card_id", F.col("since_ms").alias("_since")), "card_id", "left")
+              .filter(F.col("_since").isNull() | (F.col("event_ms") >= F.col("_since"))))
+    return memory.unionByName(recent.select(
+        "card_id", F.lit(CONTEXT).alias("kind"), "transaction_id", "event_ms", "amount_minor",
+        "country_code", F.lit(None).cast("bigint").alias("seen"),
+        F.lit(None).cast(TOTAL).alias("seen_total"), "is_late"))
+
+
+def remember(spark: SparkSession, tables: Tables, before: Progress, scored: DataFrame,
+             known: DataFrame, batch_id: int) -> list[str]:
+    """Writes what is known of the cards of ``scored`` after it; gives the tables to read next."""
+    place = F.struct("event_ms", "transaction_id", "country_code")
+    after = F.struct((F.col("prior_count") + 1).alias("seen"),
+                     (F.col("prior_total") + F.col("amount_minor")).cast(TOTAL).alias("seen_total"),
+                     "since_ms")
+    touched = scored.groupBy("card_id").agg(
+        F.max_by(after, F.struct("event_ms", "transaction_id")).alias("_after"),
+        F.max(place).alias("_last"))
+    earlier = known.select("card_id", F.col("since_ms").alias("_since"), F.col("last").alias("_before"))
+    name = f"batch={batch_id}"
+    (touched.join(earlier, "card_id", "left").select(
+        "card_id", "_after.seen", "_after.seen_total",
+        F.coalesce("_after.since_ms", "_since").alias("since_ms"),
+        F.greatest("_last", "_before").alias("last"), F.lit(batch_id).cast("bigint").alias("as_of"))
+     .write.mode("overwrite").parquet(f"{tables.of('cards')}/{name}"))
+    names = [*before.cards, name]
+    if len(names) <= MERGE_EVERY:
+        return names
+    merged = spark.read.schema(_CARD).parquet(*[f"{tables.of('cards')}/{n}" for n in names])
+    row = F.struct("seen", "seen_total", "since_ms", "last", "as_of")
+    (merged.groupBy("card_id").agg(F.max_by(row, "as_of").alias("_row")).select("card_id", "_row.*")
+     .write.mode("overwrite").parquet(f"{tables.of('cards')}/base={batch_id}"))
+    return [f"base={batch_id}"]

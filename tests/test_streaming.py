@@ -14,9 +14,9 @@ from cardsentry.operators.rules import RULE_CONFIG, default_rules, rules_frame
 from cardsentry.operators.verdict import score_transactions
 from cardsentry.schema import VELOCITY
 from cardsentry.sources.raw import file_lines
-from cardsentry.streaming import job
+from cardsentry.streaming import memory
 from cardsentry.streaming.job import dead_letter_stream, score_stream
-from cardsentry.streaming.sinks import Tables
+from cardsentry.streaming.sinks import CounterListener, LostProgress, Tables
 from tests.helpers import frame, transaction
 
 T0 = 1_700_000_000_000
@@ -67,17 +67,17 @@ def _view(df):
         "transaction_id", "score", F.to_json("hits").alias("h")).collect())
 
 
-@pytest.mark.parametrize("hot_rows,hot_cards", [
-    (1_000_000, ((), ())), (20, ((), ())), (20, (("hot",), ("hot",))), (20, ((), ("hot", "a")))])
-def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows, hot_cards):
+@pytest.mark.parametrize("hot_rows,merge_every", [(1_000_000, 16), (20, 1)])
+def test_stream_equals_batch_across_restarts(spark, tmp_path, monkeypatch, hot_rows, merge_every):
+    monkeypatch.setattr(memory, "MERGE_EVERY", merge_every)
     rows = _traffic(1)
     feed = Feed(spark, tmp_path)
     feed.put(rows[:120])
     feed.put(rows[120:130])
-    feed.run(hot_rows=hot_rows, hot_cards=hot_cards[0])
+    feed.run(hot_rows=hot_rows)
     feed.put(rows[130:300])
     feed.put(rows[300:])
-    feed.run(hot_rows=hot_rows, hot_cards=hot_cards[1])  # from the checkpoint
+    feed.run(hot_rows=hot_rows)  # from the checkpoint
     batch = score_transactions(frame(spark, rows), default_rules())
     assert _view(feed.tables.read(spark, "scored")) == _view(batch)
     alerts = feed.tables.alerts(spark)
@@ -85,13 +85,12 @@ def test_stream_equals_batch_across_restarts(spark, tmp_path, hot_rows, hot_card
     assert alerts.count() == alerts.select("transaction_id").distinct().count() == expected > 0
 
 
-@pytest.mark.parametrize("hot_cards", [(), ("hot",)])
 def test_a_batch_that_failed_half_way_is_run_again_without_a_trace(
-        spark, tmp_path, monkeypatch, hot_cards):
+        spark, tmp_path, monkeypatch):
     rows = _traffic(6, n=200)
     feed = Feed(spark, tmp_path)
     feed.put(rows[:100])
-    feed.run(hot_cards=hot_cards)
+    feed.run()
     feed.put(rows[100:])
 
     def broken(*args, **kwargs):
@@ -99,30 +98,61 @@ def test_a_batch_that_failed_half_way_is_run_again_without_a_trace(
 
     # Scored rows, alerts and memory of the batch are written; its progress is not.
     with monkeypatch.context() as patch:
-        patch.setattr(job, "counters", broken)
+        patch.setattr(Tables, "write_progress", broken)
         with pytest.raises(StreamingQueryException):
-            feed.run(hot_cards=hot_cards)
-    feed.run(hot_cards=hot_cards)
+            feed.run()
+    feed.run()
     batch = score_transactions(frame(spark, rows), default_rules())
     assert _view(feed.tables.read(spark, "scored")) == _view(batch)
     alerts = feed.tables.read(spark, "alerts")
     assert alerts.count() == batch.filter("score >= 40").count()
 
 
-@pytest.mark.parametrize("hot_cards", [(), ("hot", "b")])
-def test_replayed_records_change_nothing(spark, tmp_path, hot_cards):
+def test_replayed_records_change_nothing(spark, tmp_path):
     rows = _traffic(2, n=120)
     feed = Feed(spark, tmp_path)
     feed.put(rows[:80] + rows[70:75])
     feed.put(rows[60:])  # twenty records again
     feed.put(rows[100:])
-    feed.run(hot_cards=hot_cards)
+    feed.run()
     batch = score_transactions(frame(spark, rows), default_rules())
     assert _view(feed.tables.read(spark, "scored")) == _view(batch)
 
 
-@pytest.mark.parametrize("hot_cards", [(), ("g", "s")])
-def test_late_rows_are_scored_but_leave_no_trace_in_geo_or_sequences(spark, tmp_path, hot_cards):
+def test_a_replay_of_any_age_changes_nothing(spark, tmp_path):
+    day = 86_400_000
+    rows = [transaction(f"t{k}", T0 + k * day, card_id="ab"[k % 2]) for k in range(12)]
+    feed = Feed(spark, tmp_path)
+    feed.put(rows[:6])
+    feed.put(rows[6:] + rows[:2])
+    feed.put(rows[:9])
+    feed.run()
+    batch = score_transactions(frame(spark, rows), default_rules())
+    assert _view(feed.tables.read(spark, "scored")) == _view(batch)
+    assert [p["replayed"] for p in feed.progress()] == [0, 2, 9]
+
+
+def test_lost_progress_is_an_error(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.put(_traffic(4, n=20))
+    feed.run()
+    with pytest.raises(LostProgress):
+        feed.tables.progress_before(spark, 7)
+
+
+def test_a_card_without_a_name_may_hold_a_third_of_the_rows(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [transaction(f"t{k:04d}", T0 + k * 700, card_id="x" if k % 3 == 0 else f"c{k}",
+                        amount_minor=rng.choice([100, 300, 60000])) for k in range(600)]
+    feed = Feed(spark, tmp_path)
+    feed.put(rows[:300])
+    feed.put(rows[300:])
+    feed.run(hot_rows=30)
+    assert _view(feed.tables.read(spark, "scored")) == _view(
+        score_transactions(frame(spark, rows), default_rules()))
+
+
+def test_late_rows_are_scored_but_leave_no_trace_in_geo_or_sequences(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.put([transaction("n0", T0, card_id="g", country_code="NL"),
               transaction("n1", T0 + 600_000, card_id="g", country_code="NL"),
@@ -132,7 +162,7 @@ def test_late_rows_are_scored_but_leave_no_trace_in_geo_or_sequences(spark, tmp_
               transaction("late-probe", T0 + 500_050, card_id="s", amount_minor=100)])
     feed.put([transaction("next-geo", T0 + 660_000, card_id="g", country_code="NL"),
               transaction("large", T0 + 620_000, card_id="s", amount_minor=60000)])
-    scores = feed.run(hot_cards=hot_cards).scores()
+    scores = feed.run().scores()
     assert len(scores) == 8  # nothing is dropped
     assert scores["late-geo"] == 0  # a negative gap is not judged
     assert scores["next-geo"] == 0  # and the late country is not the last place
@@ -175,6 +205,10 @@ def test_a_card_that_returns_after_the_time_to_live_starts_afresh(spark, tmp_pat
               transaction("b-out", T0 + week + 10, card_id="b", amount_minor=9000)])
     scores = feed.run().scores()
     assert scores["a-in"] == 25 and scores["b-out"] == 0
+    feed.put([transaction("b-more", T0 + week + 20, card_id="b", amount_minor=9000)])
+    feed.run()
+    seen = {r["transaction_id"]: r["prior_count"] for r in feed.tables.read(spark, "scored").collect()}
+    assert (seen["a-in"], seen["b-out"], seen["b-more"]) == (5, 0, 1)
 
 
 def test_a_query_that_runs_on_scores_what_arrives(spark, tmp_path):
@@ -199,7 +233,16 @@ def test_counters_and_dead_letters(spark, tmp_path):
     feed.put(rows)
     spark.createDataFrame([("{bad",), ("[]",)], "value string").coalesce(1).write.text(
         f"{feed.folder}/in/part=9")
-    feed.run()
+    listener = CounterListener()
+    spark.streams.addListener(listener)
+    try:
+        feed.run()
+        deadline = time.time() + 30
+        while time.time() < deadline and listener.totals.get("rejected", 0) < 2:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert (listener.totals["parsed"], listener.totals["rejected"]) == (60, 2)
     lines = file_lines(spark, f"{feed.folder}/in/part=*")
     query = dead_letter_stream(lines, feed.tables.root)
     assert query.awaitTermination(120)
