@@ -1,68 +1,62 @@
 """Which rule version was in force at a time.
 
-An as-of join with few keys and many rows on both sides: neither one task per rule
-nor all pairs per rule would do. Time is cut into hours and the questions of an hour are
-dealt to several salts; each (rule, hour, salt) sorts its questions among all pushes of
-the hour, and starts from one row that holds the best version of all hours before.
-The questions are read once; what is read again is the table of pushes.
+An as-of join with few keys and many rows on both sides: neither one task per rule nor all
+pairs per rule would do. Both sides are first reduced to one row per rule and millisecond, which
+combines before the shuffle. Time is cut into slices of an hour; a slice that somebody asks
+about starts from one carry row, the best version of all slices before, which comes from a
+scan over slices. So a task never holds more than an hour of a rule, a row per millisecond, and
+the answers meet the questions in an equi join on rule and time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_HOUR_MS = 3_600_000
-# Shares of a busy hour. Pushes are repeated that often, questions are not.
-SALTS = 16
+from cardsentry.operators.crowded import BEGINNING
+
+_SLICE_MS = 3_600_000
 
 
 def rules_in_force(questions: DataFrame, versions: DataFrame, at: str = "event_ms",
-                   bucket_ms: int = _HOUR_MS, salts: int = SALTS) -> DataFrame:
+                   slice_ms: int = _SLICE_MS) -> DataFrame:
     """``questions`` (rule_id and a time) with the newest version pushed up to then.
 
-    ``versions`` holds valid configurations only. Adds version_in_force and
-    in_force_since; both null before the first push of a rule. "Newest" is the highest
-    version, not the last push, so a stale push changes nothing.
+    ``versions`` holds valid configurations only. Adds version_in_force and in_force_since;
+    both null before the first push of a rule, and for a question without a time. "Newest" is
+    the highest version, not the last push, so a stale push changes nothing. A push without a
+    time has been in force all along, since null.
     """
     columns = questions.columns
-    best = F.struct("version", (-F.col("_at")).alias("neg_ms"))
-    pushes = (versions.select("rule_id", "version", F.coalesce("updated_ms", F.lit(0)).alias("_at"))
-              .select("rule_id", "_at", _bucket(bucket_ms), best.alias("_best")))
-
-    # One row per rule and hour with a push, which the next two steps share.
-    pushed = pushes.groupBy("rule_id", "_bucket").agg(
-        F.max("_best").alias("_best"), F.max("_at").alias("_last_at"))
-    # One row per rule; after the last push of a rule the answer is the same for ever.
-    rule = pushed.groupBy("rule_id").agg(
-        F.max("_best").alias("_final"), F.max("_last_at").alias("_last_at"),
-        F.min("_bucket").alias("_lo"), F.max("_bucket").alias("_hi"))
-    # One row per rule and hour between its first and its last push.
-    hours = rule.select("rule_id", F.explode(F.sequence("_lo", "_hi")).alias("_bucket"))
-    earlier = (W.partitionBy("rule_id").orderBy("_bucket")
-               .rowsBetween(W.unboundedPreceding, -1))
-    start = (hours.join(pushed.drop("_last_at"), ["rule_id", "_bucket"], "left")
-             .select("rule_id", "_bucket", (F.col("_bucket") * bucket_ms).alias("_at"),
-                     F.max("_best").over(earlier).alias("_best"))
-             .filter(F.col("_best").isNotNull()))
-
-    # The salt hangs on the row alone, so a task that runs again deals the same way.
+    best = F.max(F.struct("version", (-F.col("_at")).alias("neg_ms"))).alias("_best")
+    pushes = (versions.filter(F.col("rule_id").isNotNull())
+              .select("rule_id", "version", F.coalesce("updated_ms", F.lit(BEGINNING)).alias("_at"))
+              .groupBy("rule_id", "_at").agg(best))
+    asked = (questions.select("rule_id", F.col(at).cast("bigint").alias("_at")).dropna()
+             .groupBy("rule_id", "_at").agg(F.lit(True).alias("_asked")))
+
+    at_slice = _slice(slice_ms)
+    both = pushes.select("rule_id", at_slice, "_best").unionByName(
+        asked.select("rule_id", at_slice), allowMissingColumns=True)
+    slices = both.groupBy("rule_id", "_slice").agg(F.max("_best").alias("_best"))
+    before = W.partitionBy("rule_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    carry = slices.select("rule_id", "_slice", F.lit(BEGINNING).cast("bigint").alias("_at"),
+                          F.max("_best").over(before).alias("_best")).filter("_best IS NOT NULL")
+
+    rows = (pushes.select("rule_id", at_slice, "_at", "_best").unionByName(carry)
+            .unionByName(asked.select("rule_id", at_slice, "_at", "_asked"), allowMissingColumns=True))
+    until = W.partitionBy("rule_id", "_slice").orderBy("_at").rangeBetween(
+        W.unboundedPreceding, W.currentRow)
+    answers = rows.withColumn("_best", F.max("_best").over(until)).filter("_asked").select(
+        "rule_id", "_at", F.col("_best.version").alias("version_in_force"),
+        F.nullif(-F.col("_best.neg_ms"), F.lit(BEGINNING)).alias("in_force_since"))
+
+    # A question without a time gets one that nothing answers, and that keeps such rows apart.
     spread = [c for c, kind in questions.dtypes if "map<" not in kind and "variant" not in kind]
-    asked = (questions.select("*", F.col(at).alias("_at"), F.lit(True).alias("_asked"),
-                              F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int").alias("_salt"))
-             .select("*", _bucket(bucket_ms))
-             .join(F.broadcast(rule.drop("_lo", "_hi")), "rule_id", "left"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    known = pushes.unionByName(start).select("*", every)
-    until = (W.partitionBy("rule_id", "_bucket", "_salt").orderBy("_at")
-             .rangeBetween(W.unboundedPreceding, W.currentRow))
-    answer = F.when(F.col("_at") >= F.col("_last_at"), F.col("_final")).otherwise(F.col("_best"))
-    return (asked.unionByName(known, allowMissingColumns=True)
-            .withColumn("_best", F.max("_best").over(until))
-            .filter(F.col("_asked"))
-            .withColumn("_best", answer)
-            .select(*columns, F.col("_best.version").alias("version_in_force"),
-                    (-F.col("_best.neg_ms")).alias("in_force_since")))
+    nowhere = 2 * BEGINNING - F.pmod(F.xxhash64(*spread), F.lit(1 << 20))
+    return (questions.withColumn("_at", F.coalesce(F.col(at).cast("bigint"), nowhere))
+            .join(answers, ["rule_id", "_at"], "left")
+            .select(*columns, "version_in_force", "in_force_since"))
 
 
-def _bucket(bucket_ms: int) -> Column:
-    return F.floor(F.col("_at") / F.lit(bucket_ms)).cast("bigint").alias("_bucket")
+def _slice(slice_ms: int) -> Column:
+    return F.floor(F.col("_at") / F.lit(slice_ms)).cast("bigint").alias("_slice")

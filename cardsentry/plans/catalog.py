@@ -17,7 +17,7 @@ from cardsentry.operators.verdict import (
     hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, RULE_IDS, VELOCITY)
-from cardsentry.session import new_folder
+from cardsentry.session import new_folder, written
 from cardsentry.sources.centroids import country_distances
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.raw import file_lines
@@ -35,6 +35,7 @@ SPLIT_ROWS = 100
 TARGET_FPR = 0.02
 # 2024-01-16, the middle of the sample.
 _HALF_WAY_MS = 1_705_363_200_000
+_FAR_MS = 253_402_300_799_999
 # 2024-01-11 and 2024-01-21.
 _THIRDS_MS = (1_704_931_200_000, 1_705_795_200_000)
 DISABLED = (VELOCITY, GEO_IMPOSSIBLE, CARD_TESTING)
@@ -340,10 +341,21 @@ def rule_latest_valid(spark, sf_dir):
         "rule_id", "version", "enabled", "weight", "updated_by", "updated_ms")
 
 
+def _staged_in_force(spark: SparkSession, hits: DataFrame, versions: DataFrame) -> DataFrame:
+    """The join reads both sides more than once, so they are written first, as tables would be."""
+    pushes = versions.select("rule_id", "version", "updated_ms")
+    return rules_in_force(written(hits, new_folder(spark, "hits")),
+                          written(pushes, new_folder(spark, "pushes")))
+
+
 @_query("rule_asof")
 def rule_asof(spark, sf_dir):
+    """Versions in force at each hit; some pushes have no time, some one at the end of year 9999."""
     hits = hit_rows(_scored(spark, sf_dir)).select("transaction_id", "rule_id", "event_ms", "weight")
-    return rules_in_force(hits, R.valid_configs(sample_rule_history(spark, sf_dir)))
+    pushed = F.when(F.col("event_id") % 97 == 5, None).when(F.col("event_id") % 89 == 3, _FAR_MS)
+    odd = sample_rule_history(spark, sf_dir).withColumn("updated_ms", F.when(
+        F.col("event_id") % 97 != 5, F.coalesce(pushed, "updated_ms")))
+    return _staged_in_force(spark, hits, R.valid_configs(odd))
 
 
 @_query("hit_rule_version")
@@ -351,7 +363,7 @@ def hit_rule_version(spark, sf_dir):
     """Each hit with the configuration it would have come from at its time."""
     versions = R.first_pushes(R.valid_configs(sample_rule_history(spark, sf_dir)))
     hits = hit_rows(_scored(spark, sf_dir)).select("transaction_id", "rule_id", "event_ms")
-    stamped = rules_in_force(hits, versions).withColumnRenamed("version_in_force", "rule_version")
+    stamped = _staged_in_force(spark, hits, versions).withColumnRenamed("version_in_force", "rule_version")
     return R.hit_versions(stamped, versions).select(
         "transaction_id", "rule_id", "rule_version", "enabled", "updated_by",
         F.map_values("params")[0].alias("first_param"))

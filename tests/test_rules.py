@@ -73,22 +73,26 @@ def test_last_good_version_stays(spark):
 def test_version_in_force_equals_a_row_by_row_search(spark):
     import random
     rng = random.Random(3)
-    pushes = [(rng.choice("ab"), rng.randrange(1, 30), rng.randrange(0, 50) * 1000) for _ in range(120)]
-    asked = [(i, rng.choice("abc"), rng.randrange(-5, 60) * 1000 + rng.choice((0, 1)))
+    pushes = [(rng.choice("ab"), rng.randrange(3, 30), rng.randrange(0, 50) * 1000) for _ in range(120)]
+    pushes += [("a", 2, None), ("d", 5, None), ("d", 4, 7_000), ("b", 90, 253_402_300_799_999), (None, 7, 0)]
+    asked = [(i, rng.choice("abcd"), rng.randrange(-5, 60) * 1000 + rng.choice((0, 1)))
              for i in range(300)]
+    asked += [(300, "a", None), (301, None, 5_000), (302, "b", 253_402_300_799_999), (303, "a", -(1 << 50))]
     versions = spark.createDataFrame(pushes, "rule_id string, version bigint, updated_ms bigint")
     questions = spark.createDataFrame(asked, "i int, rule_id string, event_ms bigint")
 
     def truth(rule_id, at):
-        seen = [(v, ms) for r, v, ms in pushes if r == rule_id and ms <= at]
+        seen = [(v, ms) for r, v, ms in pushes
+                if r == rule_id and None not in (r, at) and (ms is None or ms <= at)]
         if not seen:
             return None, None
         best = max(v for v, _ in seen)
-        return best, min(ms for v, ms in seen if v == best)
+        times = [ms for v, ms in seen if v == best]
+        return best, None if None in times else min(times)
 
-    for bucket_ms in (1_000, 7_000, 3_600_000):
+    for slice_ms in (1_000, 7_000, 3_600_000):
         got = {r["i"]: (r["version_in_force"], r["in_force_since"])
-               for r in rules_in_force(questions, versions, bucket_ms=bucket_ms).collect()}
+               for r in rules_in_force(questions, versions, slice_ms=slice_ms).collect()}
         assert got == {i: truth(r, at) for i, r, at in asked}
 
 
