@@ -18,7 +18,9 @@ from cardsentry.operators.verdict import (
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, RULE_IDS, VELOCITY)
 from cardsentry.session import new_folder, written
+from cardsentry.plans import jobs
 from cardsentry.sources.centroids import country_distances
+from cardsentry.sources.days import DayTable
 from cardsentry.sources.parse import accepted, dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.raw import file_lines
 from cardsentry.sources.sample import (
@@ -322,6 +324,25 @@ def alerts_upsert(spark, sf_dir):
         F.unix_millis("inserted_at").alias("inserted_ms"))
 
 
+@_query("alerts_rescored")
+def alerts_rescored(spark, sf_dir):
+    """The alert table by day after its second half was scored again with a heavier rule."""
+    def scored(rules, hours: int) -> DataFrame:
+        rows = sample_transactions(spark, sf_dir, keep=("event_id",)).withColumn(
+            "scored_at", _scored_at() + F.expr(f"INTERVAL {hours} HOURS"))
+        return scored_only(score_transactions(rows, rules))
+
+    table = DayTable(spark, new_folder(spark, "alerts"))
+    jobs.replace_alerts(table, scored(R.default_rules(), 0), F.col("scored_at"))
+    heavier = R.default_rules()
+    heavier[VELOCITY] = dataclasses.replace(heavier[VELOCITY], version=2, weight=41)
+    jobs.replace_alerts(table, scored(heavier, 1).filter(F.col("event_ms") >= _HALF_WAY_MS),
+                        F.col("scored_at"))
+    return table.read().select(
+        "transaction_id", "score", F.concat_ws(",", "rule_ids").alias("rule_ids"),
+        F.unix_millis("scored_at").alias("scored_ms"), F.unix_millis("inserted_at").alias("inserted_ms"))
+
+
 @_query("hits_per_rule")
 def rule_hits(spark, sf_dir):
     return hits_per_rule(_scored(spark, sf_dir))

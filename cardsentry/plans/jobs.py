@@ -7,6 +7,7 @@ executor costs at most the step it was in.
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,22 +21,22 @@ from cardsentry.operators.rollup import daily_card_agg
 from cardsentry.operators.rules import (
     Rule, RuleConfigError, RuleSet, load_rules, require_valid, rules_frame)
 from cardsentry.operators.verdict import score_transactions, scored_only
-from cardsentry.schema import RULE_CONFIG, RULE_SOURCES, TRANSACTION_COLUMNS
-from cardsentry.session import drop_folder, new_folder, written
+from cardsentry.schema import RULE_CONFIG, RULE_SOURCES, TRANSACTION_COLUMNS, event_date
+from cardsentry.sources.days import DayTable, days_between, days_in
 from cardsentry.sources.parse import dead_letters, parse_lines, unique_transactions
 from cardsentry.sources.tables import append_rows, overwrite_days, read_table
 
 
-def _day(ms: Column) -> Column:
-    return F.date_from_unix_date(F.floor(ms / F.lit(86_400_000)).cast("int"))
+def land(lines: DataFrame, root: str, load: str | None = None) -> None:
+    """Parses raw lines once and adds them to ``parsed``, accepted and refused ones side by side.
 
-
-def land(lines: DataFrame, root: str) -> None:
-    """Parses raw lines once into ``parsed``, accepted and refused ones side by side."""
+    A load that is given its name again replaces what it brought before.
+    """
+    name = load or uuid.uuid4().hex
     (parse_lines(lines)
      .withColumn("payload", F.when(F.col("reason").isNotNull(), F.col("payload")))
      .withColumn("refused", F.col("reason").isNotNull().cast("int"))
-     .write.mode("overwrite").partitionBy("refused").parquet(f"{root}/parsed"))
+     .write.mode("overwrite").partitionBy("refused").parquet(f"{root}/parsed/load={name}"))
 
 
 def landed_transactions(spark: SparkSession, root: str) -> DataFrame:
@@ -65,34 +66,34 @@ def score_all(spark: SparkSession, root: str, *, model: Model = logistic_risk,
     verdict = scored_only(score_transactions(
         read_table(spark, f"{root}/transactions"), current_rules(spark, root),
         model=model, hot_rows=hot_rows))
-    overwrite_days(verdict.withColumn("event_date", _day(F.col("event_ms"))),
+    overwrite_days(verdict.withColumn("event_date", event_date()),
                    f"{root}/scored", "event_date", "card_id", "event_ms")
     scored = read_table(spark, f"{root}/scored")
     quality.require_clean(quality.scored_checks(scored))
-    _replace_alerts(spark, flat_alerts(scored), f"{root}/alerts")
+    replace_alerts(alert_table(spark, root), scored)
 
 
-def _replace_alerts(spark: SparkSession, alerts: DataFrame, path: str) -> None:
-    """The alert table becomes ``alerts``: what no longer alerts goes, days without an alert
-    included; an alert that was there before keeps the time of its first insert."""
-    fresh = alerts.withColumn("inserted_at", F.current_timestamp())
-    try:
-        before = read_table(spark, path).select(
-            "transaction_id", F.col("inserted_at").alias("first_inserted_at"))
-    except AnalysisException:
-        before = None
-    if before is not None:
-        fresh = (fresh.join(before, "transaction_id", "left")
-                 .withColumn("inserted_at", F.coalesce("first_inserted_at", "inserted_at"))
-                 .drop("first_inserted_at"))
-    # Written beside the table first, because the table is read here.
-    fresh = fresh.withColumn("event_date", _day(F.unix_millis("event_time")))
-    held = new_folder(spark, "alerts")
-    staged = written(fresh, held)
-    (staged.hint("rebalance", "event_date")
-     .sortWithinPartitions("event_date", "card_id", "event_time")
-     .write.mode("overwrite").partitionBy("event_date").parquet(path))
-    drop_folder(spark, held)
+def alert_table(spark: SparkSession, root: str) -> DayTable:
+    return DayTable(spark, f"{root}/alerts")
+
+
+def replace_alerts(table: DayTable, scored: DataFrame, inserted_at: Column | None = None) -> None:
+    """For the days of ``scored`` the alert table becomes what alerts there; other days stay.
+
+    What no longer alerts goes; an alert that was there before keeps the time of its first insert.
+    """
+    def merged(before: DataFrame | None) -> DataFrame:
+        fresh = flat_alerts(scored).withColumn("event_date", event_date(F.unix_millis("event_time")))
+        now = F.current_timestamp() if inserted_at is None else inserted_at
+        fresh = fresh.withColumn("inserted_at", now)
+        if before is None:
+            return fresh
+        first = before.select("transaction_id", F.col("inserted_at").alias("_first"))
+        return (fresh.join(first, "transaction_id", "left")
+                .withColumn("inserted_at", F.coalesce("_first", "inserted_at")).drop("_first"))
+
+    days = days_in(scored.select(event_date().alias("event_date")))
+    table.replace(days, merged, "card_id", "event_time")
 
 
 def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime.date) -> None:
@@ -100,11 +101,11 @@ def roll_up(spark: SparkSession, root: str, first: datetime.date, last: datetime
     days = read_table(spark, f"{root}/scored").filter(
         F.col("event_date").between(F.lit(first), F.lit(last)))
     rollup = daily_card_agg(days).withColumn("computed_at", F.current_timestamp())
-    for k in range((last - first).days + 1):  # a day that lost its rows must not keep its rollup
-        drop_folder(spark, f"{root}/daily_card_agg/agg_date={first + datetime.timedelta(k)}")
-    overwrite_days(rollup, f"{root}/daily_card_agg", "agg_date", "card_id")
-    quality.require_clean(quality.rollup_checks(read_table(spark, f"{root}/daily_card_agg").filter(
-        F.col("agg_date").between(F.lit(first), F.lit(last)))))
+    table = DayTable(spark, f"{root}/daily_card_agg", "agg_date")
+    table.replace(days_between(first, last), lambda before: rollup, "card_id")
+    fresh = table.read(days_between(first, last))
+    if fresh is not None:
+        quality.require_clean(quality.rollup_checks(fresh))
 
 
 def push_rule(spark: SparkSession, root: str, rule: Rule, source: str) -> None:

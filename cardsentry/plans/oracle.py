@@ -249,6 +249,16 @@ UNION ALL SELECT 'scored', count(*) FROM scored
 UNION ALL SELECT 'late', 0 UNION ALL SELECT 'alerts', count(*) FROM scored WHERE score >= 40
 UNION ALL {_counted}""")
 _add("stream_alerts", _scored(where=_PARSED), f"{_VERDICT} WHERE score >= 40")
+_add("alerts_rescored", _scored() + f""",
+again AS (SELECT s.* REPLACE (score + 11 * (SELECT count(*) FROM hits h
+      WHERE h.transaction_id = s.transaction_id AND rule_id = 'velocity') AS score) FROM scored s
+  WHERE event_ms >= {HALF_WAY_MS})""", f"""
+SELECT transaction_id, score, rule_ids, scored_ms, scored_ms AS inserted_ms FROM scored
+WHERE score >= 40 AND event_ms < {HALF_WAY_MS}
+UNION ALL
+SELECT a.transaction_id, CAST(a.score AS INTEGER), a.rule_ids, a.scored_ms + 3600000,
+  CASE WHEN s.score >= 40 THEN s.scored_ms ELSE s.scored_ms + 3600000 END
+FROM again a JOIN scored s USING (transaction_id) WHERE a.score >= 40""")
 _OUTSIDE = """base AS (SELECT CASE WHEN event_id % 10 = 9 THEN 'gone-' ELSE 'tx-' END
     || (event_id // 6 * 6) AS transaction_id,
   CASE WHEN event_type = 'click' THEN 'outside_a' ELSE 'outside_b' END AS rule_id,
