@@ -32,7 +32,7 @@ _SUMS = ("n", "own_n", "own_amount", "probes", "probe_amount", "larges")
 _PLACE = "struct<event_ms:bigint,transaction_id:string,country_code:string>"
 
 
-def _moments(rows: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, own_facts: list[str]) -> DataFrame:
     """One row per card and millisecond."""
     own = f"_kind = {OWN}"
     amount = F.col("amount_minor").cast(TOTAL)
@@ -43,6 +43,7 @@ def _moments(rows: DataFrame) -> DataFrame:
         F.count_if("_probe").alias("probes"),
         F.coalesce(F.sum(F.when(F.col("_probe"), amount)), F.lit(0)).cast(TOTAL).alias("probe_amount"),
         F.count_if("_large").alias("larges"),
+        *(F.sum(f"_v_{f}").alias(f"f_{f}") for f in own_facts),
         F.max(F.struct("event_ms", "transaction_id", "country_code")).alias("last"))
 
 
@@ -69,9 +70,11 @@ def _in_sessions(moments: DataFrame, memory: DataFrame, forget_ms: int) -> DataF
     return moments.withColumn("_bucket", bucket).join(sessions, ["card_id", "_bucket"]).drop("_bucket")
 
 
-def _scanned(moments: DataFrame, memory: DataFrame, look_back: int, velocity_ms: int) -> DataFrame:
+def _scanned(moments: DataFrame, memory: DataFrame, look_back: int, velocity_ms: int,
+             own: list[tuple[str, int]]) -> DataFrame:
     """Moments with the sums of all before them, the rows older than the velocity window, and
     the last place before."""
+    sums_of = (*_SUMS, *(f"f_{name}" for name, _ in own))
     stretch = F.floor(F.col("event_ms") / F.lit(look_back)).cast("bigint")
     placed = moments.withColumn("_stretch", stretch)
     known = memory.select(
@@ -80,12 +83,12 @@ def _scanned(moments: DataFrame, memory: DataFrame, look_back: int, velocity_ms:
         F.col("_amount").alias("own_amount"),
         F.struct("event_ms", F.lit("").alias("transaction_id"), "country_code").alias("last"))
     sums = placed.groupBy("card_id", "_session", "_stretch").agg(
-        *(F.sum(c).alias(c) for c in _SUMS), F.max("last").alias("last"))
+        *(F.sum(c).alias(c) for c in sums_of), F.max("last").alias("last"))
     earlier = W.partitionBy("card_id", "_session").orderBy("_stretch").rangeBetween(
         W.unboundedPreceding, -2)
     start = sums.unionByName(known, allowMissingColumns=True).select(
         "card_id", "_session", "_stretch", F.lit(BEGINNING).cast("bigint").alias("event_ms"),
-        *(F.sum(c).over(earlier).alias(c) for c in _SUMS), F.max("last").over(earlier).alias("last"),
+        *(F.sum(c).over(earlier).alias(c) for c in sums_of), F.max("last").over(earlier).alias("last"),
         F.lit(False).alias("_is_own"))
     # A moment also stands in the stretch after its own, whose windows reach back to it.
     copies = placed.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_next"))
@@ -95,9 +98,10 @@ def _scanned(moments: DataFrame, memory: DataFrame, look_back: int, velocity_ms:
     past = stretch_line.rowsBetween(W.unboundedPreceding, -1)
     return copies.unionByName(start).select(
         "card_id", "event_ms", "_session", "_is_own",
-        *(F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"_b_{c}") for c in _SUMS),
-        F.coalesce(F.sum("n").over(stretch_line.rangeBetween(W.unboundedPreceding, -velocity_ms)),
-                   F.lit(0)).alias("_outside"),
+        *(F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"_b_{c}") for c in sums_of),
+        *(F.coalesce(F.sum(c).over(stretch_line.rangeBetween(W.unboundedPreceding, -window)),
+                     F.lit(0)).alias(name) for c, window, name in
+          [("n", velocity_ms, "_outside"), *((f"f_{f}", ms, f"_x_{f}") for f, ms in own)]),
         F.max("last").over(past).alias("_place")).filter("_is_own").drop("_is_own")
 
 
@@ -120,11 +124,13 @@ def _runs(rows: DataFrame, length: int) -> DataFrame:
 
 
 def crowded_facts(marked: DataFrame, columns: list[str], *, look_back: int, velocity_ms: int,
-                  testing_ms: int, probe_count: int, forget_ms: int) -> DataFrame:
+                  testing_ms: int, probe_count: int, forget_ms: int,
+                  own: list[tuple[str, int]]) -> DataFrame:
     """``columns`` of the own rows of ``marked`` with their facts, as ``facts.card_facts`` gives
     them. ``marked`` has the marks of its windows: _kind, _n, _amount, _real, _probe, _large."""
     real, memory = marked.filter("_real"), marked.filter(F.col("_kind") == MEMORY)
-    scanned = _scanned(_in_sessions(_moments(real), memory, forget_ms), memory, look_back, velocity_ms)
+    moments = _in_sessions(_moments(real, [name for name, _ in own]), memory, forget_ms)
+    scanned = _scanned(moments, memory, look_back, velocity_ms, own)
     carried = [c for c in scanned.columns if c not in ("card_id", "event_ms")]
     both = real.withColumn("_carry", F.lit(False)).unionByName(
         scanned.withColumn("_carry", F.lit(True)), allowMissingColumns=True)
@@ -132,7 +138,7 @@ def crowded_facts(marked: DataFrame, columns: list[str], *, look_back: int, velo
     moment = "PARTITION BY card_id, event_ms ORDER BY _carry DESC, transaction_id"
     upto = f"{moment} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     past = f"{moment} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    own = f"NOT _carry AND _kind = {OWN}"
+    mine = f"NOT _carry AND _kind = {OWN}"
     place = "if(_carry, _place, named_struct('event_ms', event_ms, 'transaction_id'," \
             " transaction_id, 'country_code', country_code))"
     numbered = both.selectExpr(
@@ -140,12 +146,14 @@ def crowded_facts(marked: DataFrame, columns: list[str], *, look_back: int, velo
         f"max(_session) OVER ({upto}) AS _session",
         f"max(_b_n) OVER ({upto}) + count_if(NOT _carry) OVER ({upto}) - max(_outside) OVER ({upto})"
         " AS velocity_count",
-        f"max(_b_own_n) OVER ({upto}) + coalesce(sum(if({own}, _n, 0)) OVER ({past}), 0) AS prior_count",
-        f"CAST(max(_b_own_amount) OVER ({upto}) + coalesce(sum(if({own}, _amount, 0)) OVER ({past}), 0)"
+        f"max(_b_own_n) OVER ({upto}) + coalesce(sum(if({mine}, _n, 0)) OVER ({past}), 0) AS prior_count",
+        f"CAST(max(_b_own_amount) OVER ({upto}) + coalesce(sum(if({mine}, _amount, 0)) OVER ({past}), 0)"
         f" AS {TOTAL}) AS prior_total",
         f"max({place}) OVER ({past}) AS _prev",
         f"max(_b_probes) OVER ({upto}) + count_if(_probe) OVER ({upto}) AS _q",
         f"max(_b_larges) OVER ({upto}) + coalesce(count_if(_large) OVER ({past}), 0) AS _group",
+        *[f"max(_b_f_{name}) OVER ({upto}) + sum(if(_carry, 0, _v_{name})) OVER ({upto})"
+          f" - max(_x_{name}) OVER ({upto}) AS own_{name}" for name, _ in own],
     ).filter("NOT _carry")
 
     large = numbered.filter("_large").select("card_id", "_session", "_group", F.col("event_ms").alias("_end_ms"))
@@ -163,4 +171,5 @@ def crowded_facts(marked: DataFrame, columns: list[str], *, look_back: int, velo
                     F.col("_prev.country_code").alias("prev_country"),
                     F.col("_prev.event_ms").alias("prev_ms"),
                     F.coalesce("_found", nothing).alias("probe_runs"),
-                    F.when(F.col("_session") > BEGINNING, F.col("_session")).alias("since_ms")))
+                    F.when(F.col("_session") > BEGINNING, F.col("_session")).alias("since_ms"),
+                    *(f"own_{name}" for name, _ in own)))

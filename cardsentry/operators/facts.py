@@ -15,7 +15,10 @@ What a stream knows from earlier micro-batches comes as rows too: a *memory* row
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import dataclasses
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
 
 from cardsentry.operators.crowded import BEGINNING, MEMORY, OWN, TOTAL, crowded_facts
 from cardsentry.operators.rules import RuleSet
@@ -37,9 +40,9 @@ def memory_facts() -> list[str]:
 
 
 
-def look_back_ms(rules: RuleSet) -> int:
-    return 1000 * max(rules[VELOCITY].whole("windowSeconds"),
-                      rules[CARD_TESTING].whole("windowSeconds"))
+def look_back_ms(rules: RuleSet, own: Sequence[OwnFact] = ()) -> int:
+    return max(1000 * rules[VELOCITY].whole("windowSeconds"),
+               1000 * rules[CARD_TESTING].whole("windowSeconds"), *(f.window_ms for f in own))
 
 
 def forget_ms(rules: RuleSet) -> int:
@@ -53,12 +56,15 @@ def hot_cards(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             .filter(F.col("_rows") > hot_rows).select("card_id"))
 
 
+_REMEMBERED = ("card_id", "transaction_id", "event_ms", "amount_minor", "country_code")
+
+
 def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
     """Input rows and, for a stream, the remembered ones, in one shape.
 
     ``memory`` has card_id, kind (MEMORY or CONTEXT), transaction_id, event_ms,
     amount_minor, country_code, seen (transactions since the card was last forgotten),
-    seen_total and, where the rows have it, is_late. Its context rows belong to that time too.
+    seen_total and any other columns of the rows. Its context rows belong to that time too.
     """
     own = rows.select("*", F.lit(OWN).alias("_kind"), F.lit(1).cast("bigint").alias("_n"),
                       F.col("amount_minor").cast(TOTAL).alias("_amount"))
@@ -70,12 +76,22 @@ def _prepared(rows: DataFrame, memory: DataFrame | None) -> DataFrame:
         F.when(F.col("kind") == MEMORY, F.col("seen")).otherwise(F.lit(0)).alias("_n"),
         F.when(F.col("kind") == MEMORY, F.col("seen_total")).otherwise(F.lit(0)).cast(TOTAL)
         .alias("_amount"),
-        *[c for c in ("is_late",) if c in rows.columns])
+        *[c for c in memory.columns if c in rows.columns and c not in _REMEMBERED])
     return own.unionByName(remembered, allowMissingColumns=True)
 
 
+@dataclasses.dataclass(frozen=True)
+class OwnFact:
+    """A fact that a rule brings along: the sum of ``value`` (SQL, a whole number) over the rows
+    of a card in the last ``window_ms``, up to and with the row itself, as column own_<name>."""
+
+    name: str
+    value: str
+    window_ms: int
+
+
 def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
-               memory: DataFrame | None = None) -> DataFrame:
+               memory: DataFrame | None = None, own: Sequence[OwnFact] = ()) -> DataFrame:
     """``rows`` with the per-card facts of every rule, thresholds not yet applied.
 
     Adds velocity_count (this row and the earlier ones inside the velocity window),
@@ -87,23 +103,27 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
     Order within a card is (event_ms, transaction_id). Ids are expected to be unique.
     With ``hot_rows`` rows are counted per card first, and cards above it take the way of
     ``crowded``; without it every card is scored in one piece. With a boolean column ``is_late``
-    in ``rows``, late rows take no part in card testing.
+    in ``rows``, late rows take no part in card testing. ``own`` adds facts of other rules, in the
+    same exchange.
     """
     columns, streaming = rows.columns, memory is not None
     marked = _marked(_prepared(rows, memory), rules, "is_late" in columns)
+    for fact in own:
+        marked = marked.withColumn(f"_v_{fact.name}", F.expr(
+            f"if(_real, coalesce(CAST({fact.value} AS BIGINT), 0), 0)"))
     if hot_rows is None:
-        return _windows(marked, rules, columns, streaming)
+        return _windows(marked, rules, columns, streaming, own)
     hot = hot_cards(marked.filter("_real"), hot_rows).withColumn("_hot", F.lit(True))
     # There are at most rows / hot_rows such ids, so they go to the rows: a shuffle by card would
     # bring a hot card into one task before it is known as one.
     told = marked.join(F.broadcast(hot), "card_id", "left")
-    calm = _windows(told.filter("_hot IS NULL"), rules, columns, streaming)
+    calm = _windows(told.filter("_hot IS NULL"), rules, columns, streaming, own)
     testing = rules[CARD_TESTING]
     return calm.unionByName(crowded_facts(
-        told.filter("_hot"), columns, look_back=look_back_ms(rules),
+        told.filter("_hot"), columns, look_back=look_back_ms(rules, own),
         velocity_ms=rules[VELOCITY].whole("windowSeconds") * 1000,
         testing_ms=testing.whole("windowSeconds") * 1000, probe_count=testing.whole("probeCount"),
-        forget_ms=forget_ms(rules)))
+        forget_ms=forget_ms(rules), own=[(f.name, f.window_ms) for f in own]))
 
 
 def _marked(prepared: DataFrame, rules: RuleSet, knows_late: bool) -> DataFrame:
@@ -119,7 +139,8 @@ def _marked(prepared: DataFrame, rules: RuleSet, knows_late: bool) -> DataFrame:
         f" AND amount_minor >= {testing.whole('largeAmountMinor')} AS _large")
 
 
-def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: bool) -> DataFrame:
+def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: bool,
+             own: Sequence[OwnFact]) -> DataFrame:
     velocity, testing = rules[VELOCITY], rules[CARD_TESTING]
     velocity_ms = velocity.whole("windowSeconds") * 1000
     testing_ms = testing.whole("windowSeconds") * 1000
@@ -150,8 +171,11 @@ def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         *([f"max(if(_real, null, event_ms)) OVER ({past}) AS _mem_ms",
            f"max(if(_real, null, country_code)) OVER ({past}) AS _mem_country"]
           if streaming else []),
+        *[f"sum(_v_{f.name}) OVER ({upto}) AS _o_{f.name}" for f in own],
     ).selectExpr(
         "*",
+        *[f"coalesce(sum(_v_{f.name}) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
+          f" AND {f.window_ms} PRECEDING), 0) AS _x_{f.name}" for f in own],
         f"count_if(_real) OVER ({card} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING"
         f" AND {velocity_ms} PRECEDING) AS _outside")
 
@@ -170,7 +194,9 @@ def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         f"coalesce(max(if(_back, event_ms, null)) OVER ({upto}), {BEGINNING}) AS _since",
         f"coalesce(max(if(_back, _rank - 1, null)) OVER ({upto}), 0) AS _rank_before",
         f"coalesce(last(if(_back, _prior_count, null), true) OVER ({upto}), 0) AS _count_before",
-        f"coalesce(last(if(_back, _prior_total, null), true) OVER ({upto}), 0) AS _total_before")
+        f"coalesce(last(if(_back, _prior_total, null), true) OVER ({upto}), 0) AS _total_before",
+        *[f"last(if(_back, _o_{f.name} - _v_{f.name}, null), true) OVER ({upto}) AS _s_{f.name}"
+          for f in own])
 
     # Card testing without a join. The rows up to and with a large one form a group, whose
     # complete runs stand at place 3g, whose large row stands at 3g + 1 and all else at 3g + 2.
@@ -200,4 +226,6 @@ def _windows(marked: DataFrame, rules: RuleSet, columns: list[str], streaming: b
         "if(_back, null, _prev_country) AS prev_country",
         "if(_back, null, _prev_ms) AS prev_ms",
         "if(size(_runs) > 0, array_sort(filter(_runs, r -> r.first_ms >= _since)), _runs) AS probe_runs",
-        f"nullif(_since, {BEGINNING}) AS since_ms")
+        f"nullif(_since, {BEGINNING}) AS since_ms",
+        *[f"_o_{f.name} - if(_since > event_ms - {f.window_ms}, _s_{f.name}, _x_{f.name})"
+          f" AS own_{f.name}" for f in own])

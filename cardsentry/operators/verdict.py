@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardsentry.functions.geo import km_per_hour
 from cardsentry.functions.numbers import round_to_long, whole_seconds
 from cardsentry.functions.risk import Model, logistic_risk
-from cardsentry.operators.facts import FACT_COLUMNS, card_facts
+from cardsentry.operators.facts import FACT_COLUMNS, OwnFact, card_facts
 from cardsentry.operators.rules import Rule, RuleSet
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, HIT, MODEL_SCORE, VELOCITY)
@@ -29,11 +29,15 @@ _NO_HITS = f"array<{HIT.simpleString()}>"
 
 @dataclasses.dataclass(frozen=True)
 class RowRule:
-    """A rule that gives at most one hit per transaction."""
+    """A rule that gives at most one hit per transaction.
+
+    ``facts`` are what it wants to know of the card beyond the facts that are always there.
+    """
 
     rule_id: str
     fires: Callable[[Rule], Column]
     evidence: Callable[[Rule], dict[str, Column]]
+    facts: Callable[[Rule], Sequence[OwnFact]] = lambda rule: ()
 
 
 def _velocity_fires(rule: Rule) -> Column:
@@ -137,6 +141,11 @@ def _active(rules: RuleSet, row_rules: Sequence[RowRule]) -> list[tuple[RowRule,
             if r.rule_id in rules and rules[r.rule_id].enabled]
 
 
+def own_facts(rules: RuleSet, row_rules: Sequence[RowRule]) -> list[OwnFact]:
+    """Facts that the rules bring along; a disabled rule brings them too, as others keep theirs."""
+    return [fact for r in row_rules if r.rule_id in rules for fact in r.facts(rules[r.rule_id])]
+
+
 def with_verdict(measures: DataFrame, rules: RuleSet, *, dedupe_hits: bool = False,
                  row_rules: Sequence[RowRule] = ROW_RULES) -> DataFrame:
     """Adds ``score`` (sum of the weights of all hits) and ``hits``.
@@ -174,7 +183,8 @@ def score_transactions(transactions: DataFrame, rules: RuleSet, *, model: Model
     One exchange on the card, whatever the number of rules. Facts and measures are
     left in the result; ``scored_only`` drops them.
     """
-    facts = card_facts(transactions, rules, hot_rows=hot_rows, memory=memory)
+    facts = card_facts(transactions, rules, hot_rows=hot_rows, memory=memory,
+                       own=own_facts(rules, row_rules))
     verdict = with_verdict(with_measures(facts, model), rules, dedupe_hits=dedupe_hits,
                            row_rules=row_rules)
     if "scored_at" not in verdict.columns:
@@ -184,7 +194,8 @@ def score_transactions(transactions: DataFrame, rules: RuleSet, *, model: Model
 
 def scored_only(verdict: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Scored rows without their facts, but for those to ``keep``."""
-    return verdict.drop(*[c for c in (*FACT_COLUMNS, *MEASURE_COLUMNS) if c not in keep])
+    return verdict.drop(*[c for c in verdict.columns if c not in keep and (
+        c in FACT_COLUMNS or c in MEASURE_COLUMNS or c.startswith("own_"))])
 
 
 def hit_rows(scored: DataFrame) -> DataFrame:

@@ -8,13 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cardsentry.functions.learned import LinearRisk
 from cardsentry.functions.risk import logistic_risk
 from cardsentry.functions.wire import transaction_json
 from cardsentry.operators import alerts as A, feedback, merge, quality, rollup, rules as R
 from cardsentry.operators.asof import rules_in_force
-from cardsentry.operators.facts import HOT_ROWS, card_facts
+from cardsentry.operators.facts import HOT_ROWS, OwnFact, card_facts
 from cardsentry.operators.verdict import (
-    hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
+    ROW_RULES, RowRule, hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
     AMOUNT_ANOMALY, CARD_TESTING, GEO_IMPOSSIBLE, MODEL_SCORE, RULE_IDS, VELOCITY)
 from cardsentry.session import new_folder, written
@@ -249,6 +250,30 @@ def score_disabled_rules(spark, sf_dir):
     return _verdict_view(scored_only(score_transactions(rows, rules)))
 
 
+SMALL_AMOUNTS = RowRule(
+    "small_amounts",
+    lambda rule: F.col("own_small") > rule.whole("maxSmall"),
+    lambda rule: {"small": F.col("own_small")},
+    lambda rule: [OwnFact("small", "amount_minor <= 2000", 1000 * rule.whole("windowSeconds"))])
+
+
+@_query("score_own_rule")
+def score_own_rule(spark, sf_dir):
+    """Verdicts with a sixth rule, which counts the small payments of a card in three minutes."""
+    rule = R.Rule("small_amounts", 1, True, 41, {"windowSeconds": 180.0, "maxSmall": 1.0})
+    return _verdict_view(scored_only(score_transactions(
+        sample_transactions(spark, sf_dir), {**R.default_rules(), rule.rule_id: rule},
+        row_rules=(*ROW_RULES, SMALL_AMOUNTS))))
+
+
+@_query("score_own_model")
+def score_own_model(spark, sf_dir):
+    """Verdicts with another linear model in the place of the built-in one."""
+    model = LinearRisk(-2.5, {"odd_hour": 1.5, "no_device": 0.75, "log_amount": 0.25})
+    rows = sample_transactions(spark, sf_dir, burst=False)
+    return _verdict_view(scored_only(score_transactions(rows, R.default_rules(), model=model)))
+
+
 @_query("score_deduped_hits")
 def score_deduped_hits(spark, sf_dir):
     return _verdict_view(_scored(spark, sf_dir, dedupe_hits=True))

@@ -226,6 +226,23 @@ _PARSED = f"event_id % 100 NOT IN {_BAD}"
 _add("stream_scored", _scored(where=_PARSED), _VERDICT)
 _add("stream_replayed", _scored(where=_PARSED), _VERDICT)
 _add("score_disabled_rules", _scored(without=DISABLED), _VERDICT)
+def _more_hits(base: str, ctes: str, select: str) -> str:
+    """The scored rows of ``base`` with the hits of ``select`` among the others."""
+    return base.replace("per_tx AS (", f"{ctes}, every_hit AS (SELECT * FROM hits UNION ALL {select}),\nper_tx AS (", 1
+                        ).replace("FROM hits GROUP BY 1", "FROM every_hit GROUP BY 1", 1)
+
+
+_add("score_own_rule", _more_hits(_scored(), """small AS (SELECT *,
+  count(*) FILTER (amount_minor <= 2000) OVER (PARTITION BY card_id ORDER BY event_ms
+    RANGE BETWEEN 179999 PRECEDING AND CURRENT ROW)
+  - count(*) FILTER (amount_minor <= 2000) OVER (PARTITION BY card_id, event_ms)
+  + count(*) FILTER (amount_minor <= 2000) OVER (PARTITION BY card_id, event_ms
+    ORDER BY transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_small FROM tx)""",
+    "SELECT transaction_id, card_id, event_ms, 'small_amounts', 41 FROM small WHERE n_small > 1"), _VERDICT)
+_add("score_own_model", _scored().replace(_tx(), _tx(False)).replace("risk >= 0.75", """
+  1 / (1 + exp(2.5 - 1.5 * CAST((event_ms // 3600000) % 24 BETWEEN 1 AND 4 AS INTEGER)
+  - 0.75 * CAST(device_fingerprint IS NULL AS INTEGER)
+  - 0.25 * ln(1 + amount_minor)::DOUBLE)) >= 0.75"""), _VERDICT)
 _add("stream_rule_change", _facts(where=_PARSED), f"""
 SELECT transaction_id, CASE WHEN event_ms < {HALF_WAY_MS} THEN 1 ELSE 2 END::BIGINT AS rule_version,
   n_recent AS n FROM facts WHERE n_recent > CASE WHEN event_ms < {HALF_WAY_MS} THEN 5 ELSE 2 END""")

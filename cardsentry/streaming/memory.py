@@ -24,6 +24,9 @@ MERGE_EVERY = 16
 # With more days than this in a micro-batch, the whole index is read.
 MOST_DAYS = 400
 
+# Columns of context rows that only facts of rules of one's own may read.
+_WIDE = ("currency", "merchant_id", "merchant_category", "device_fingerprint")
+
 _CARD = ("card_id string, seen bigint, seen_total decimal(38,0), since_ms bigint, "
          "last struct<event_ms:bigint,transaction_id:string,country_code:string>, as_of bigint")
 
@@ -85,7 +88,7 @@ def as_rows(spark: SparkSession, tables: Tables, before: Progress, known: DataFr
     return memory.unionByName(recent.select(
         "card_id", F.lit(CONTEXT).alias("kind"), "transaction_id", "event_ms", "amount_minor",
         "country_code", F.lit(None).cast("bigint").alias("seen"),
-        F.lit(None).cast(TOTAL).alias("seen_total"), "is_late"))
+        F.lit(None).cast(TOTAL).alias("seen_total"), "is_late", *_WIDE), allowMissingColumns=True)
 
 
 def remember(spark: SparkSession, tables: Tables, before: Progress, scored: DataFrame,

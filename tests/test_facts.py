@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.operators import crowded
-from cardsentry.operators.facts import card_facts, hot_cards
+from cardsentry.functions.learned import fit_risk
+from cardsentry.operators.facts import OwnFact, card_facts, hot_cards
 from cardsentry.operators.rules import default_rules
 from cardsentry.operators.verdict import score_transactions
 from cardsentry.schema import AMOUNT_ANOMALY, CARD_TESTING, VELOCITY
@@ -237,3 +238,43 @@ def test_amounts_near_the_limit_add_up(spark):
         assert [int(r["prior_total"]) for r in got] == [k * 9 * 10 ** 18 for k in range(4)]
         scored = score_transactions(frame(spark, rows), default_rules(), hot_rows=hot_rows)
         assert scored.count() == 4
+
+
+@pytest.mark.parametrize("hot_rows", [None, 30])
+def test_facts_of_rules_of_ones_own(spark, hot_rows):
+    rules = default_rules()
+    rules[AMOUNT_ANOMALY] = rules[AMOUNT_ANOMALY].with_params(stateTtlSeconds=60.0)
+    rows = _random_rows(21, n=500, span_ms=3_000_000)
+    own = [OwnFact("small", "amount_minor <= 500", 90_000), OwnFact("spent", "amount_minor", 7_000)]
+    got = {r["transaction_id"]: (r["own_small"], r["own_spent"]) for r in card_facts(
+        frame(spark, rows), rules, hot_rows=hot_rows, own=own).collect()}
+    expected, seen = {}, {}
+    for r in sorted(as_dicts(rows), key=lambda r: (r["event_ms"], r["transaction_id"])):
+        past = seen.setdefault(r["card_id"], [])
+        if past and r["event_ms"] - past[-1]["event_ms"] > 60_000:
+            past.clear()
+        past.append(r)
+        expected[r["transaction_id"]] = (
+            sum(p["amount_minor"] <= 500 for p in past if p["event_ms"] > r["event_ms"] - 90_000),
+            sum(p["amount_minor"] for p in past if p["event_ms"] > r["event_ms"] - 7_000))
+    assert got == expected
+
+
+def test_a_model_learned_from_labels(spark):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for k in range(800):
+        fraud = rng.random() < 0.2
+        rows.append(transaction(f"t{k}", T0 + k * 1000, amount_minor=rng.randrange(1, 9000) * (30 if fraud else 1),
+                                device_fingerprint=None if rng.random() < (0.9 if fraud else 0.1) else "d"))
+        labels.append((f"t{k}", "unknown" if k % 50 == 0 else "fraud" if fraud else "legit"))
+    told = spark.createDataFrame(labels, "transaction_id string, label string")
+    model = fit_risk(frame(spark, rows), told)
+    right = frame(spark, rows).join(told, "transaction_id").filter("label <> 'unknown'").select(
+        ((model() > 0.5) == (F.col("label") == "fraud")).alias("ok")).agg(F.avg(F.col("ok").cast("int"))).first()[0]
+    assert right > 0.9 and model.weights["no_device"] > 1
+    plan = score_transactions(frame(spark, rows), default_rules(), model=model)._jdf.queryExecution(
+        ).executedPlan().toString()
+    assert "Python" not in plan.replace("PythonRDD", "") and plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        fit_risk(frame(spark, rows), told.filter("label = 'legit'"))
