@@ -28,12 +28,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.session import new_folder, written
 
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 DEPTH = 3
 FILTER_BITS = 26
 _ROWS = 1 << 16  # phrases in a batch
@@ -43,9 +44,9 @@ _PACK = 21  # bits of a place, a symbol and a rank in one sort key
 _BREAKS = bytes.maketrans(b".,;:!?\n\v\f\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ",
                           b"\n\n\n\n\n\n\n\n\n\n abcdefghijklmnopqrstuvwxyz")
 _INDEX = pa.schema([("lang", pa.string()), ("n_words", pa.int64()),
-                    ("words", pa.list_(pa.string())), ("forward", pa.binary()),
+                    ("words", pa.binary()), ("forward", pa.binary()),
                     ("backward", pa.binary())])
-_INDEX_DDL = "lang string, n_words long, words array<string>, forward binary, backward binary"
+_INDEX_DDL = "lang string, n_words long, words binary, forward binary, backward binary"
 
 
 def _sorted_by(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
@@ -96,13 +97,14 @@ def shard(lang: str, texts: list[bytes], depth: int = DEPTH) -> dict:
     for k, word in enumerate(known):
         number[k] = -1 if word == b"" else 0 if word == b"\n" else len(words) + 1
         if number[k] > 0:
-            words.append(word.decode())
+            words.append(word)
     symbols = number[coded.indices.to_numpy()]
     symbols = symbols[symbols >= 0]
     symbols = symbols[np.append(True, (symbols[1:] != 0) | (symbols[:-1] != 0))]
-    return {"lang": lang, "n_words": int((symbols > 0).sum()), "words": words,
-            "forward": transform(symbols, depth).astype("<u4").tobytes(),
-            "backward": transform(symbols[::-1], depth).astype("<u4").tobytes()}
+    pack = zstandard.ZstdCompressor().compress  # rows travel through Arrow buffers
+    return {"lang": lang, "n_words": int((symbols > 0).sum()), "words": pack(b" ".join(words)),
+            "forward": pack(transform(symbols, depth).astype("<u4").tobytes()),
+            "backward": pack(transform(symbols[::-1], depth).astype("<u4").tobytes())}
 
 
 def build(spark: SparkSession, docs: DataFrame, *, depth: int = DEPTH) -> DataFrame:
@@ -149,9 +151,11 @@ class Shard:
     """The two indexes of a shard, opened."""
 
     def __init__(self, row: dict):
-        self.words = pa.array(row["words"], pa.string())
-        self.forward = np.frombuffer(row["forward"], "<i4")
-        self.backward = np.frombuffer(row["backward"], "<i4")
+        unpack = zstandard.ZstdDecompressor().decompress
+        words = unpack(row["words"])
+        self.words = pa.array(words.decode().split(" ") if words else [], pa.string())
+        self.forward = np.frombuffer(unpack(row["forward"]), "<i4")
+        self.backward = np.frombuffer(unpack(row["backward"]), "<i4")
         counts = np.bincount(self.forward, minlength=len(self.words) + 1)
         self.starts = np.cumsum(counts) - counts
         self.word_hashes = None

@@ -75,7 +75,7 @@ def test_large_counts_are_exact(spark):
         [("en", "a", 1, 9 * 10 ** 12), ("en", "b", 1, 7 * 10 ** 12 + 1), ("en", "a b", 2, 6 * 10 ** 12 - 7)],
         "lang string, phrase string, size int, n long").withColumn("n_before", F.lit(0).cast("long")) \
         .withColumn("n_behind", F.lit(0).cast("long"))
-    index = spark.createDataFrame([("en", 5, [], b"", b"")], P._INDEX_DDL)
+    index = spark.createDataFrame([("en", 5, b"", b"", b"")], P._INDEX_DDL)
     held = P.counts
     P.counts = lambda *a, **k: known
     try:
