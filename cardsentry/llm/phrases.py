@@ -10,7 +10,7 @@ A phrase is a pair of intervals of equal size, one in each index. All phrases of
 extended at once: the symbols in a phrase's backward interval are the words that follow it, their
 counts are the sizes of the longer phrases, and the two new intervals come from the smaller symbols
 (forward) and from the first place of the symbol (backward). So each shard gives phrases with
-their counts, and with how many occurrences have a word before and behind; shards are summed. A
+their counts, and if asked how many occurrences have a word before and behind; shards are summed. A
 phrase is spelled out, and extended to three words, only where its parts may be frequent in the
 whole language; a bitmap of fixed size says so from sums over hashes, and what it takes in by
 mistake only costs time.
@@ -207,20 +207,20 @@ class Shard:
     def _within(sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
         return pa.array((sums[start + size] - sums[start]).astype(np.int64))
 
-    def rows(self, lang: str, phrases: Intervals) -> Iterator[pa.RecordBatch]:
-        """Phrases with their counts and how many occurrences have a word before and behind."""
+    def rows(self, lang: str, phrases: Intervals, edges: bool) -> Iterator[pa.RecordBatch]:
+        """Phrases after their language with their counts, and with ``edges`` how many
+        occurrences have a word before and behind."""
         for at in range(0, len(phrases.size), _ROWS):
             part = phrases.chosen(slice(at, at + _ROWS))
-            n = len(part.size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * n, pa.string()), pa.array(np.full(n, len(part.words), np.int32)),
-                 self.texts(part), pa.array(part.size),
-                 self._within(self.before, part.forward, part.size),
-                 self._within(self.behind, part.backward, part.size)],
-                ["lang", "size", "phrase", "n", "n_before", "n_behind"])
+            columns = [pc.binary_join_element_wise(lang, self.texts(part), "\n"), pa.array(part.size)]
+            if edges:
+                columns += [self._within(self.before, part.forward, part.size),
+                            self._within(self.behind, part.backward, part.size)]
+            yield pa.RecordBatch.from_arrays(columns, _NAMES[:len(columns)])
 
 
-_COUNTS = "lang string, size int, phrase string, n long, n_before long, n_behind long"
+# A line break stands between a language and a phrase: no word holds one.
+_NAMES = ("key", "n", "n_before", "n_behind")
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
@@ -244,9 +244,10 @@ def _filter(hashes: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def counts(spark: SparkSession, index: DataFrame, *, least: int) -> DataFrame:
-    """lang, phrase, size, n, n_before, n_behind of all phrases of one to three words that occur
-    ``least`` times in their language, written.
+def counts(spark: SparkSession, index: DataFrame, *, least: int, edges: bool = False) -> DataFrame:
+    """lang, phrase, size, n of all phrases of one to three words that occur ``least`` times in
+    their language, written; with ``edges`` also n_before and n_behind, the occurrences that a
+    word precedes and follows.
 
     Most phrases occur a few times in all, so first their hashes alone are summed, those of three
     words where both pairs may be frequent; then what may be frequent is summed as what it is.
@@ -290,11 +291,17 @@ def counts(spark: SparkSession, index: DataFrame, *, least: int) -> DataFrame:
         for lang, opened in _opened(batches):
             for bits, found in ((few, short), (more, long)):
                 for phrases in found(lang, opened):
-                    yield from opened.rows(lang, frequent(bits, lang, opened, phrases))
+                    yield from opened.rows(lang, frequent(bits, lang, opened, phrases), edges)
 
-    summed = index.mapInArrow(spelled, _COUNTS).groupBy("lang", "phrase", "size").agg(
-        *(F.sum(c).alias(c) for c in ("n", "n_before", "n_behind"))).filter(F.col("n") >= least)
-    return written(summed, new_folder(spark, "phrases"))
+    sums = _NAMES[1:] if edges else _NAMES[1:2]
+    ddl = "key string, " + ", ".join(f"{c} long" for c in sums)
+    summed = index.mapInArrow(spelled, ddl).groupBy("key").agg(
+        *(F.sum(c).alias(c) for c in sums)).filter(F.col("n") >= least)
+    phrase = F.substring_index("key", "\n", -1)
+    named = summed.select(
+        F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"),
+        phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), *sums)
+    return written(named, new_folder(spark, "phrases"))
 
 
 def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: int,
@@ -310,7 +317,7 @@ def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: in
     words = F.split("phrase", " ")
     long = known.filter("size > 1").withColumn("w", words)
     splits = long.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).select(
-        "lang", "phrase", F.col("n").alias("a"), "k", "n_before", "n_behind",
+        "lang", "phrase", F.col("n").alias("a"), "k",
         F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice("w", F.col("k") + 1, F.col("size") - F.col("k")), " ").alias("rest"))
     part = known.select(F.col("lang").alias("of"), F.col("phrase").alias("part"), F.col("n").alias("f"))
@@ -322,14 +329,14 @@ def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: in
     held = splits.withColumn("over", squared.cast("decimal(38,0)")) \
         .withColumn("under", (wide["l"] * wide["r"]).cast("decimal(38,0)")) \
         .withColumn("score", F.expr("over div under"))
-    cut = held.groupBy("lang", "phrase", "a", "n_before", "n_behind").agg(
+    cut = held.groupBy("lang", "phrase", "a").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     inside = known.filter("size = 3").select("lang", "n", F.explode(F.array(
         F.array_join(F.slice(words, 1, 2), " "), F.array_join(F.slice(words, 2, 2), " "))).alias("phrase"))
     longest = inside.groupBy("lang", "phrase").agg(F.max("n").alias("longest"))
     kept = cut.join(longest, ["lang", "phrase"], "left").filter(
         F.col("longest").isNull() | (100 * F.col("longest") < share * F.col("a")))
-    flat = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "n_before", "n_behind")
+    flat = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = [F.desc("score"), F.desc("a"), "phrase"]
     salted = flat.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
     few = salted.withColumn("rank", F.row_number().over(
@@ -337,5 +344,4 @@ def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: in
     ranked = few.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
-        "lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score", "n_before",
-        "n_behind")
+        "lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")

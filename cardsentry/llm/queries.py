@@ -273,16 +273,14 @@ WITH pieces AS (
   FROM documents),
 words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 grams AS (
-  SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase, k > 1 AS before,
-         k + size <= len(w) AS behind
+  SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase
   FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k
         FROM words, (SELECT unnest([1, 2, 3]) AS size))),
 counts AS MATERIALIZED (
-  SELECT lang, phrase, size, count(*) AS f, count(*) FILTER (before) AS n_before,
-         count(*) FILTER (behind) AS n_behind FROM grams GROUP BY ALL),
+  SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL),
 totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
 candidates AS MATERIALIZED (
-  SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w, n_before, n_behind FROM counts
+  SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w FROM counts
   WHERE size > 1 AND f >= 10),
 splits AS (
   SELECT c.*, k, l.f AS l, r.f AS r,
@@ -299,7 +297,7 @@ inside AS (
 kept AS (
   SELECT cut.* FROM cut LEFT JOIN inside USING (lang, phrase)
   WHERE longest IS NULL OR 100 * longest < 50 * a)
-SELECT lang, rank, phrase, a, l, r, n, score, n_before, n_behind FROM (
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
   FROM kept) JOIN totals USING (lang) WHERE rank <= 2000
 """

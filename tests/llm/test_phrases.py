@@ -8,7 +8,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from cardsentry.llm import phrases as P
 from tests.llm.corpus import awkward, documents
@@ -22,7 +21,7 @@ def pieces(text):
 
 
 def plain(rows, least, share, top):
-    f, edges, n = Counter(), Counter(), Counter()
+    f, n = Counter(), Counter()
     for _, text, lang in rows:
         lang = "und" if lang is None else lang
         for w in pieces(text):
@@ -31,8 +30,6 @@ def plain(rows, least, share, top):
                 for k in range(len(w) - size + 1):
                     key = lang, tuple(w[k:k + size])
                     f[key] += 1
-                    edges[key, 0] += k > 0
-                    edges[key, 1] += k + size < len(w)
     long = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
     inside = Counter()
     for (lang, w), a in long.items():
@@ -46,8 +43,7 @@ def plain(rows, least, share, top):
         cuts = [(1_000_000 * a * a // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w))]
         score, k = min(cuts)
         out.setdefault(lang, []).append((
-            -score, -a, " ".join(w).encode(), lang, a, f[lang, w[:k]], f[lang, w[k:]], n[lang], score,
-            edges[(lang, w), 0], edges[(lang, w), 1]))
+            -score, -a, " ".join(w).encode(), lang, a, f[lang, w[:k]], f[lang, w[k:]], n[lang], score))
     return sorted((lang, rank, x[2].decode(), *x[4:]) for lang, found in out.items()
                   for rank, x in enumerate(sorted(found)[:top], 1))
 
@@ -73,8 +69,7 @@ def test_large_counts_are_exact(spark):
     """Products beyond 64 bits: counts as they may come from very many shards."""
     known = spark.createDataFrame(
         [("en", "a", 1, 9 * 10 ** 12), ("en", "b", 1, 7 * 10 ** 12 + 1), ("en", "a b", 2, 6 * 10 ** 12 - 7)],
-        "lang string, phrase string, size int, n long").withColumn("n_before", F.lit(0).cast("long")) \
-        .withColumn("n_behind", F.lit(0).cast("long"))
+        "lang string, phrase string, size int, n long")
     index = spark.createDataFrame([("en", 5, b"", b"", b"")], P._INDEX_DDL)
     held = P.counts
     P.counts = lambda *a, **k: known
@@ -111,3 +106,12 @@ def test_intervals_stand_for_the_phrases_in_both_indexes(monkeypatch):
         plain_before = Counter(m for t in joined for m in re.findall(
             f"(?<= )(\\w)(?= {' '.join(phrase)} )", t))
         assert before == plain_before
+
+
+def test_words_before_and_behind(spark):
+    table = documents(spark, [(1, "a b c. a b", "x\ny"), (2, "b c, c b a b c d", "x\ny"), (3, "a b", None)])
+    got = {(r["lang"], r["phrase"]): (r["n"], r["n_before"], r["n_behind"])
+           for r in P.counts(spark, P.build(spark, table), least=1, edges=True).collect()}
+    assert got["x\ny", "a b"] == (3, 1, 2) and got["x\ny", "b c"] == (3, 2, 1)
+    assert got["x\ny", "b"] == (5, 4, 4) and got["und", "a b"] == (1, 0, 0)
+    assert got["x\ny", "a b c"] == (2, 1, 1) and ("x\ny", "c a") not in got
