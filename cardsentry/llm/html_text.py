@@ -3,9 +3,11 @@
 A page's text blocks are aggregated by their tag path from the root: characters and punctuation
 marks per block of the path. Both ratios are smoothed over neighbouring blocks in page order and
 fused by their geometric mean; paths whose mean reaches half the mean of the page's text are
-content. Blocks inside a region that its tag declares as furniture (menu, footer, form ...) or that
-is hidden (the attribute, or a style without display) count as nothing. Class names, ids and
-roles (advert, comments ...) take a share of the ratio, and what is then too thin goes. The regions that hold the content (the
+content. Blocks inside a region that its tag declares as furniture (menu, footer ...) or that
+is hidden (the attribute, or a style without display) count as nothing, nor do those of a form
+unless it holds most of the page in long text. Regions that class names, ids or roles call
+comments, adverts or notices of cookies and newsletters go, unless next to nothing is left. They and other
+such names (related, search ...) take a share of the ratio, and what is then too thin goes. The regions that hold the content (the
 articles of the page if a third of the content's text is in them, else the siblings of content
 blocks and the elements around them that are mostly content) then give all their blocks but
 furniture and lists of links, so a short heading or paragraph stays with its article.
@@ -43,7 +45,7 @@ RAW = frozenset("script style textarea title noscript template iframe noframes x
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark
 math q ruby rp rt s samp small span strike strong sub sup time tt u var wbr""".split())
-FURNITURE = frozenset("""aside button datalist dialog fieldset footer form head menu nav object
+FURNITURE = frozenset("""aside button datalist dialog fieldset footer head menu nav object
 optgroup option select svg canvas audio video""".split())
 ARTICLE = frozenset(("article", "main"))
 
@@ -53,6 +55,12 @@ navbar|navigation|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|masthead|cookies?|co
 alert|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social\w*|related|recommended|
 comments?|commentlist|respond|replies|disqus|discussion|login|signup|search\w*|toolbar|pagination|pager|
 widgets?|copyright|legal|disclaimer|contentinfo|complementary)(?=$|[\s_-])""".replace("\n", ""), re.I).search
+# Those of them that leave no doubt.
+_OUTSIDE_NAME = re.compile(r"""(?:^|[\s_-])(?:advert\w*|sponsor\w*|cookies?|consent|gdpr|newsletter|
+comments?|commentlist|respond|replies|disqus)(?=$|[\s_-])""".replace("\n", ""), re.I).search
+_LEFT = 0.1  # the least share of a page's text beside the regions that go by such names
+_CONTROLS = frozenset("input label select textarea".split())
+_FORM_CHARS = 100  # of a form's text for each of its controls, if it is content
 _NAME_COSTS = 0.6, 0.4  # the share of its ratio that a path loses by such a name, in an article
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header|topbar|top-bar)(?=$|[\s_-])", re.I).search
 
@@ -65,14 +73,17 @@ class Block:
     linked: int  # characters inside links
     heading: bool
     named: int  # the innermost element that its names declare as furniture
+    outside: tuple[int, ...] = ()  # the elements whose names leave no doubt
+    form: int = 0
 
 
 class _Element:
-    __slots__ = ("name", "number", "furniture", "article", "link", "named")
+    __slots__ = ("name", "number", "furniture", "article", "link", "named", "outside", "form")
 
-    def __init__(self, name, number, furniture, article, link, named):
+    def __init__(self, name, number, furniture, article, link, named, outside=(), form=0):
         self.name, self.number, self.furniture = name, number, furniture
         self.article, self.link, self.named = article, link, named
+        self.outside, self.form = outside, form
 
 
 def hidden(attributes: str) -> bool:
@@ -94,11 +105,13 @@ ul""".split())
 _ENDS_SAME = frozenset("li dt dd tr td th option".split())
 
 
-def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
-    """Text blocks outside furniture in page order, and the articles that hold each of them."""
+def blocks_of(page: str) -> tuple[list[Block], dict[int, int], dict[int, int]]:
+    """Text blocks outside furniture in page order, the articles that hold each of them, and the
+    number of controls of each form."""
     stack = [_Element("", 0, False, 0, False, 0)]
     found: list[Block] = []
     articles: dict[int, int] = {}
+    controls: dict[int, int] = defaultdict(int)
     parts: list[str] = []
     linked = made = 0
 
@@ -114,7 +127,7 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
                                    "/".join(e.name + "!" * (e.named == e.number > 0)
                                             for e in elements), linked,
                                    elements[-1].name[:1] == "h" and elements[-1].name[1:].isdigit(),
-                                   stack[-1].named))
+                                   stack[-1].named, stack[-1].outside, stack[-1].form))
             parts.clear()
         linked = 0
 
@@ -126,6 +139,8 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
         nonlocal linked
         if "&" in text:
             text = entities.unescape(text)
+        if stack[-1].name == "head" and text.strip():
+            pop_to(len(stack) - 1)  # its end tag may be left out
         parts.append(text)
         if stack[-1].link:
             linked += len(text.strip())
@@ -158,6 +173,8 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
                 if stack[depth].name in ("td", "th", "table", "article", "body") and name in INLINE:
                     break
             continue
+        if name in _CONTROLS and stack[-1].form and "hidden" not in match[3].lower():
+            controls[stack[-1].form] += 1
         if name == "br":
             parts.append("\n")
             continue
@@ -170,6 +187,8 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
             if name == "hr":
                 flush()
             continue
+        if stack[-1].name == "head":
+            pop_to(len(stack) - 1)
         if name not in INLINE:
             flush()
             if name in _ENDS_PARAGRAPH:
@@ -195,12 +214,16 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, int]]:
                      or hidden(attributes))
         named = made if name not in ("html", "body", "article", "main") and names and (
             _FURNITURE_NAME(names) or (not above.article and _HEADER_NAME(names))) else above.named
+        outside = above.outside
+        if named == made and _OUTSIDE_NAME(names):
+            outside = (*outside, made)
+        form = above.form or (made if name == "form" else 0)
         article = made if name in ARTICLE and not furniture and not above.article else above.article
         if not attributes.rstrip().endswith("/") or name not in INLINE:
             stack.append(_Element(name, made, furniture, article, above.link or name == "a",
-                                  named))
+                                  named, outside, form))
     flush()
-    return found, articles
+    return found, articles, controls
 
 
 def ratios(blocks: list[Block]) -> dict[str, float]:
@@ -261,14 +284,42 @@ def _around(blocks: list[Block], content: set[int]) -> list[Block]:
     return [b for b in blocks if not near.isdisjoint(b.path[-2:]) or not whole.isdisjoint(b.path)]
 
 
+def _beside(blocks: list[Block], controls: dict[int, int]) -> set[int]:
+    """The places of blocks in comments, adverts, notices and forms."""
+    total = sum(len(b.text) for b in blocks)
+    chars: dict[int, int] = defaultdict(int)
+    for b in blocks:
+        for element in {*b.outside, b.form} - {0}:
+            chars[element] += len(b.text) - (b.linked if element == b.form else 0)
+    thin = {e for e in {b.form for b in blocks} - {0}
+            if 2 * chars[e] < total or chars[e] < _FORM_CHARS * controls.get(e, 0)}
+    small = {e for b in blocks for e in b.outside if total - chars[e] >= _LEFT * total}
+    out = {k for k, b in enumerate(blocks) if b.form not in thin and not small.isdisjoint(b.outside)}
+    if sum(len(blocks[k].text) for k in out) > (1 - _LEFT) * total:
+        out = set()  # a page of comments
+    return out | {k for k, b in enumerate(blocks) if b.form in thin}
+
+
+def _without(blocks: list[Block], articles: dict[int, int], held: list[int]):
+    """The blocks at some places, and their articles by the new places."""
+    return [blocks[k] for k in held], {at: articles[k] for at, k in enumerate(held) if k in articles}
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line."""
-    blocks, articles = blocks_of(page) if page else ([], {})
+    blocks, articles, controls = blocks_of(page) if page else ([], {}, {})
+    if any(b.outside or b.form for b in blocks):
+        beside = _beside(blocks, controls)
+        around = {e for k in beside for e in blocks[k].outside[:-1]}
+        blocks, articles = _without(blocks, articles,
+                                    [k for k in range(len(blocks)) if k not in beside])
+        for b in blocks:  # what stays around such a region only has its name for holding one
+            if b.named in around:
+                b.named = 0
     if blocks:
         out = declared(blocks, articles) if any(b.named for b in blocks) else ()
         held = [k for k, b in enumerate(blocks) if b.named not in out]
-        articles = {at: articles[k] for at, k in enumerate(held) if k in articles}
-        blocks = [blocks[k] for k in held]
+        blocks, articles = _without(blocks, articles, held)
     if not blocks:
         return ""
     scores = ratios(blocks)
