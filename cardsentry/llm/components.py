@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.session import drop_folder, new_folder, written
 
+ROUNDS = 2  # rounds with leaders before the ids of a list meet in full
+LEADERS = 4  # of a list and round
+RECENT = 16  # tokens before a meeting that are looked at for an earlier one
+
 
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
@@ -58,60 +62,77 @@ def connected(links: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
+def _round_of_leaders(labelled: DataFrame, waiting: DataFrame, number: int) -> DataFrame:
+    """Each list's ids against a few of its own, drawn anew for every round."""
+    entry = F.struct(*labelled.columns)
+    drawn = (F.min(F.struct(F.xxhash64("id", F.lit(number * LEADERS + k)).alias("order"),
+                            entry.alias("entry")))["entry"] for k in range(LEADERS))
+    chosen = waiting.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("drawn")).select(
+        F.explode("drawn").alias("b"))
+    chosen = chosen.select(*(F.col(f"b.{c}").alias(f"b_{c}") for c in labelled.columns))
+    return (waiting.select(*labelled.columns).join(chosen, F.col("token") == F.col("b_token"))
+            .filter(F.col("label") != F.col("b_label")))
+
+
+def _first_meetings(waiting: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """Ids of two components where they meet, the smaller id first; recent and b_recent are the
+    up to ``RECENT`` tokens that either has just before."""
+    along = Window.partitionBy("id").orderBy(order, "token")
+    # A settled list holds no pair that is apart, so only tokens of waiting lists count.
+    placed = waiting.withColumn("recent", F.collect_list("token").over(along.rowsBetween(-RECENT, -1))) \
+        .withColumn("older", F.greatest(F.lit(0), F.row_number().over(along) - 1 - RECENT))
+    placed = written(placed, new_folder(waiting.sparkSession, "lists"))
+    names = [*columns, "recent", "older"]
+    other = placed.filter("label <> main").select(*(F.col(c).alias(f"b_{c}") for c in names))
+    met = placed.join(other, F.col("token") == F.col("b_token")).filter(
+        (F.col("label") != F.col("b_label"))
+        & ((F.col("label") == F.col("main")) | (F.col("id") < F.col("b_id"))))
+    # The main component differs from list to list: all meetings of a pair in one order.
+    turned = F.col("b_id") < F.col("id")
+    return met.select("recent", "b_recent", *(
+        F.when(turned, F.col(one)).otherwise(F.col(two)).alias(name)
+        for c in names if c != "recent"
+        for name, one, two in ((c, f"b_{c}", c), (f"b_{c}", c, f"b_{c}"))))
+
+
 def link_lists(spark: SparkSession, lists: DataFrame,
                narrow: Callable[[DataFrame, bool], DataFrame],
-               verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """node, label: components of ids that meet in a list and are verified to link.
+               verified: Callable[[DataFrame], DataFrame], order: str = "token") -> DataFrame:
+    """node, label: connected components of ids that meet in a list and are verified to link.
 
     ``lists`` has token, id and what ``narrow`` needs; two ids that link share a token. Lists
-    whose ids are all connected are done, so each list first links everything to one leader, a
-    few times over, and last the ids outside a list's largest component meet all the others.
-    ``narrow`` filters rows (id ... against b_id ...), told whether all meetings of a pair are
-    among them, then with the smaller id first; ``verified`` keeps the pairs (a, b) that truly
-    link. No link between two components is left untested.
+    whose ids are all connected are done. In ``ROUNDS`` rounds each list links its ids to
+    ``LEADERS`` of them; then the ids outside a list's largest component meet all the others of
+    other components, once a pair and not in every list that the two share: a meeting behind an
+    earlier one counts as that one. ``order`` names the column that says what is earlier; it must
+    order the tokens of all ids alike. ``narrow`` filters rows (id ... against b_id ...); in the
+    last round it is told so, has the smaller id first, and ``older`` and ``b_older`` say how many
+    tokens of each lie too far back to be sure that they are not shared. ``verified`` keeps the
+    pairs (a, b) that truly link. No link between two components is left untested.
     """
     lists = written(lists, new_folder(spark, "lists"))
     labels = spark.createDataFrame([], "node long, label long")
-    entries, leader = lists.count(), 0
-    while True:
-        labelled = written(
-            lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-                *lists.columns, F.coalesce("label", "id").alias("label")), new_folder(spark, "lists"))
+    for number in range(ROUNDS + 1):
+        labelled = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+            *lists.columns, F.coalesce("label", "id").alias("label"))
+        folders = new_folder(spark, "lists"), new_folder(spark, "lists")
+        labelled = written(labelled, folders[0])
         groups = labelled.groupBy("token", "label").agg(F.count("*").alias("n"))
-        state = written(
-            groups.groupBy("token").agg(
-                F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"),
-                F.count("*").alias("k"))
-            .filter("k > 1").select("token", F.col("main.label").alias("main"),
-                                    (F.col("n") * (F.col("n") - F.col("main.n"))).alias("pairs")),
-            new_folder(spark, "lists"))
-        left = state.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
+        state = groups.groupBy("token").agg(
+            F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("k")).filter(
+            "k > 1").select("token", "main")
+        waiting = written(labelled.join(state, "token"), folders[1])
+        last = number == ROUNDS
+        if waiting.isEmpty():
             return labels
-        last = leader > 1 and left <= 40 * entries or leader == 4
-        waiting = labelled.join(state, "token")
-        if last:
-            other = waiting.filter("label <> main").select(
-                *(F.col(c).alias(f"b_{c}") for c in labelled.columns), "main")
-            met = (labelled.join(other, F.col("token") == F.col("b_token"))
-                   .filter((F.col("label") != F.col("b_label"))
-                           & ((F.col("label") == F.col("main")) | (F.col("id") < F.col("b_id")))))
-            # The main component differs from list to list: all meetings of a pair in one order.
-            turned = F.col("b_id") < F.col("id")
-            met = met.select(*(F.when(turned, F.col(one)).otherwise(F.col(other)).alias(name)
-                               for c in labelled.columns
-                               for name, one, other in ((c, f"b_{c}", c), (f"b_{c}", c, f"b_{c}"))))
-        else:
-            order = F.xxhash64("id", F.lit(leader)) if leader else F.col("id")
-            chosen = waiting.groupBy("token").agg(
-                F.min(F.struct(order.alias("order"), *labelled.columns)).alias("b"))
-            chosen = chosen.select(*(F.col(f"b.{c}").alias(f"b_{c}") for c in labelled.columns))
-            met = (labelled.join(chosen, F.col("token") == F.col("b_token"))
-                   .filter(F.col("label") != F.col("b_label")))
-        pairs = narrow(met, last).select(F.greatest("id", "b_id").alias("a"),
-                                         F.least("id", "b_id").alias("b")).distinct()
+        met = _first_meetings(waiting, labelled.columns, order) if last \
+            else _round_of_leaders(labelled, waiting, number)
+        met = narrow(met, last)
+        if last:  # after the cheaper filters
+            met = met.filter(~F.arrays_overlap("recent", "b_recent"))
+        pairs = met.select(F.greatest("id", "b_id").alias("a"), F.least("id", "b_id").alias("b")).distinct()
         known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         labels = connected(known.unionByName(verified(pairs)))
-        if last:
-            return labels
-        leader += 1
+        for folder in folders:
+            drop_folder(spark, folder)
+    return labels

@@ -9,11 +9,12 @@ union. The search loses no link between different sets:
    Counting is done once over all shingles, as packed 32-bit marks that each task has combined.
 2. Equal sets become one. The sets left are ordered rare-first, and each puts those shingles of
    its prefix that others share into an inverted list, with size and place.
-3. Pairs that meet in a list pass a length filter, a positional filter over all places where they
-   meet, and a suffix filter (sizes of the parts of the sets between fixed pivots of the hash
+3. Pairs that meet in a list pass a length filter, a positional filter at the first place where
+   they meet, and a suffix filter (sizes of the parts of the sets between fixed pivots of the hash
    order bound what they can share), and are verified once, by the exact intersection.
-4. A list whose sets are all connected is done. So lists link everything to one leader first
-   (few pairs, even in a group of thousands), and only sets still apart are paired off in full.
+4. A list whose sets are all connected is done. So lists link everything to a few leaders first
+   (few pairs, even in a group of thousands), and only sets still apart are paired off, each pair
+   where it meets first.
 
 Texts are lower-cased from A to Z; words are runs without ASCII white space. Null and empty texts
 have the empty set, which links with nothing. Rows may repeat a doc_id; nulls come first. An
@@ -309,21 +310,19 @@ def linked(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
     lists = prefixes(sets, percent, max(1, total // _BLOCK)).withColumnRenamed("set_id", "id")
 
     def narrow(met: DataFrame, full: bool) -> DataFrame:
-        # One place where two sets meet bounds what they share before and behind it.
-        met = met.filter(_may_link(percent, F.least("place", "b_place") + 1 + _rest()))
+        # A place where two sets meet bounds what they share before and behind it.
+        before = F.least("place", "b_place")
         if not full:
-            return met
+            return met.filter(_may_link(percent, before + 1 + _rest()))
+        before = F.least(before, F.col("older") + F.col("b_older"))
         # Sets that link share one of the (1 - 2t / (1 + t)) n + 1 rarest of the smaller set.
         small = F.least(F.struct("size", "id", "place"), F.struct(
             F.col("b_size").alias("size"), F.col("b_id").alias("id"), F.col("b_place").alias("place")))
-        met = met.filter((100 + percent) * small["place"] <= (100 - percent) * small["size"])
-        return (met.groupBy("id", "b_id", "size", "b_size")
-                .agg(F.count("*").alias("met"), F.max("place").alias("place"),
-                     F.max("b_place").alias("b_place"))
-                .filter(_may_link(percent, F.col("met") + _rest())))
-
-    return link_lists(spark, lists, narrow, lambda pairs: _verified(pairs, sets, percent)).select(
-        F.col("node").alias("set_id"), "label")
+        return met.filter(_may_link(percent, before + 1 + _rest())
+                          & ((100 + percent) * small["place"] <= (100 - percent) * small["size"]))
+
+    return link_lists(spark, lists, narrow, lambda pairs: _verified(pairs, sets, percent),
+                      order="place").select(F.col("node").alias("set_id"), "label")
 
 
 def components(spark: SparkSession, docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
