@@ -58,7 +58,7 @@ def _segment(text: Column, loss: Column) -> Column:
 def format_conversations(rows: DataFrame, template: Template = Template()) -> DataFrame:
     """conv_id, segments (text, loss), valid, first_bad_turn (position from 0, or null).
 
-    Texts are escaped before the one shuffle, which brings the turns of a conversation together.
+    One shuffle brings the turns of a conversation together; texts are escaped once they are in order.
     """
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -70,13 +70,12 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
     turns = rows.select(
         "conv_id", "turn", role.alias("role"), text.alias("text"),
         F.concat(F.lit("<s>["), opened, F.lit("] ")).alias("open"),
-        template.escape(text).alias("body"),
         F.concat(F.lit(" [/"), closed, F.lit("]</s>")).alias("close"))
     gathered = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
-        "turn", "role", "body", "open", "close"))).alias("turns"))
+        "turn", "role", "text", "open", "close"))).alias("turns"))
     segments = F.flatten(F.transform("turns", lambda t: F.array(
         _segment(t["open"], F.lit(False)),
-        _segment(t["body"], t["role"].isin(*template.loss_roles)),
+        _segment(template.escape(t["text"]), t["role"].isin(*template.loss_roles)),
         _segment(t["close"], F.lit(False)))))
     moves = F.create_map(*(F.lit(x) for (state, name), to in template.moves.items()
                            for x in (f"{state}|{name}", to)))
