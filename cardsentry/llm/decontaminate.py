@@ -12,13 +12,16 @@ Retrieval is exact, by block-max WAND over items in blocks of neighbouring numbe
    and a full score for the pivot alone.
 
 Every item above the threshold is then verified: the share of the question's word trigrams that
-the passage has, and the same for the answer. Items with ``question`` and ``answer`` columns
+the passage has, and the same for the answer. Both must reach ``least``; with ``alone``, a share
+(``ALONE`` in production), a question of ``long_question`` trigrams that is there to that share is a leak
+whatever became of its answer. Items with ``question`` and ``answer`` columns
 bring their own; of others the last sentence is the answer (the last quarter of the words if
 there is only one).
 
 The items are taken in chunks of about ``CHUNK``, each a bounded index, each meeting all texts.
-Null or empty texts hold no passage, items without a word are left out, repeated items count as
-items of their own and give one row per document. Words are runs of letters and digits,
+Null or empty texts hold no passage, items without a word are left out, and items that repeat
+both id and words count once. ``clean`` judges rows by id and text, so a row that only shares the id
+of a leak stays. Words are runs of letters and digits,
 lower-cased. Only ``doc_id``, ``text`` and ``item_id`` (and the two above) are read.
 """
 
@@ -36,6 +39,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 1000  # items of an index
 BLOCK = 4  # items of a block
+ALONE = 0.8  # the share of a question that is a leak without its answer
+_LEAKED = "__decontaminate_leaked"
 _K1, _B = 1.2, 0.75
 _WORDS = re.compile(r"[^\W_]+").findall
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+").split
@@ -185,15 +190,15 @@ def indexes(items: DataFrame) -> Iterator[Index]:
                                     for k in (0, 1))], ["item_id", "question", "answer"])
 
     parsed = (texts.mapInArrow(parse, "item_id long, question array<string>, answer array<string>")
-              .withColumn("words", F.concat("question", "answer")).filter(F.size("words") > 0)
-              .withColumn("row", F.monotonically_increasing_id()))
+              .dropDuplicates(["item_id", "question", "answer"])
+              .withColumn("words", F.concat("question", "answer")).filter(F.size("words") > 0))
     n, total = parsed.agg(F.count("*"), F.sum(F.size("words"))).first()
     if not n:
         return
-    frequencies = parsed.select("row", F.explode(F.array_distinct("words")).alias("word"))
+    frequencies = parsed.select(F.explode(F.array_distinct("words")).alias("word"))
     counted = frequencies.groupBy("word").agg(F.count("*").alias("df"))
     chunks = -(-n // CHUNK)
-    dealt = parsed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)))
+    dealt = parsed.withColumn("chunk", F.pmod(F.xxhash64("item_id", "words"), F.lit(chunks)))
     for chunk in range(chunks):
         part = dealt.filter(F.col("chunk") == chunk)
         rows = [(r["item_id"], r["question"], r["answer"]) for r in
@@ -209,7 +214,8 @@ _ROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.
 
 
 def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, *, threshold: float = 0.6,
-          least: float = 0.5) -> DataFrame:
+          least: float = 0.5, alone: float | None = None,
+          long_question: int = 8) -> DataFrame:
     """doc_id, item_id and the best passage's score, overlaps and first word, if it is verified."""
     def run(index: Index):
         def search_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +226,10 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, *, threshold:
                     texts = [words(t) for t in rows.column(1).to_pylist()]
                     ids = rows.column(0).to_pylist()
                     for text, item, score, question, answer, start in search(index, texts, threshold):
+                        whole = (alone is not None and question >= alone
+                                 and len(index.questions[item]) >= long_question)
                         key, value = (text, index.ids[item]), (score, question, answer, -start)
-                        if min(question, answer) >= least and value > best.get(key, (-1,)):
+                        if (whole or min(question, answer) >= least) and value > best.get(key, (-1,)):
                             best[key] = value
                     yield pa.RecordBatch.from_pylist(
                         [{"doc_id": ids[text], "item_id": item, "score": v[0],
@@ -240,6 +248,8 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, *, threshold:
 
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, **limits: float) -> DataFrame:
-    """The documents without a verified leak, all columns as they are; null ids are kept."""
-    bad = leaks(spark, docs, items, **limits).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("leaked"), "left_anti")
+    """The documents without a verified leak, all columns as they are."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    bad = leaks(spark, docs.select(key.alias("doc_id"), "text"), items, **limits).select(
+        F.col("doc_id").alias(_LEAKED)).distinct()
+    return docs.join(bad, key == F.col(_LEAKED), "left_anti")

@@ -173,7 +173,7 @@ def op2_html_text(spark, sf_dir):
 def op3_decontaminate(spark, sf_dir):
     """All verified leaks of benchmark items in all documents."""
     return decontaminate.leaks(spark, _table(spark, sf_dir, "documents"),
-                               _table(spark, sf_dir, "benchmark"))
+                               _table(spark, sf_dir, "benchmark"), alone=decontaminate.ALONE)
 
 
 @_query("op11_merkle_manifest")
