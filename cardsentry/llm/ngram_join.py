@@ -87,7 +87,7 @@ def _spread(n: int, parts: int):
             owner = np.repeat(np.arange(len(found)), sizes)
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+            first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]][:len(flat)])
             many = np.diff(np.r_[first, len(flat)]) > 1
             flat, owner = flat[first], np.where(many, len(found), owner[first])
             part = ((flat >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
