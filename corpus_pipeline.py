@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before has kept; between
 stages the rows are written as Parquet and read again. All but the last give the columns of
 ``documents``.
+
+A document is what its id and text say together: rows that only share an id are judged one by one.
+Null and empty texts pass every filter, null ids come first, an empty table gives no row; columns
+beside those of ``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
-from cardsentry.session import new_folder
+from cardsentry.session import new_folder, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -35,15 +39,32 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the smallest doc_id."""
-    groups = ngram_join.components(spark, docs)
-    others = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("other")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("other"), "left_anti").select(*COLUMNS)
+    """One document of each near-duplicate group stays, that with the smallest doc_id.
+
+    Of rows that repeat both id and text one stays; those without words all do.
+    """
+    docs = docs.select(*COLUMNS)
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ids = docs.select(F.col("doc_id").alias("id"), key.alias("key"))
+    groups = ngram_join.components(spark, docs.select(key.alias("doc_id"), "text")).filter(
+        "n_shingles > 0").groupBy(F.col("doc_id").alias("key")).agg(
+        F.min("component_id").alias("component"), F.count("*").alias("times"))
+    groups = written(groups, new_folder(spark, "pipeline-groups"))
+    first = ids.join(groups, "key").groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"))
+    gone = groups.join(first, "component").filter(F.col("key") != F.col("first.key"))
+    kept = docs.join(gone.select(F.col("key").alias("gone")), key == F.col("gone"), "left_anti")
+    # Rows that repeat both id and text are few, or none.
+    repeated = groups.filter("times > 1").join(first, F.col("key") == F.col("first.key"), "left_semi") \
+        .select(F.col("key").alias("repeated"))
+    once = kept.join(repeated, key == F.col("repeated"), "left_anti")
+    return once.unionByName(docs.withColumn("repeated", key).join(repeated, "repeated", "left_semi")
+                            .dropDuplicates(["repeated"]).select(*COLUMNS))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a verified passage of the benchmark go."""
-    return decontaminate.clean(spark, docs, _table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    return decontaminate.clean(spark, docs.select(*COLUMNS), _table(spark, sf_dir, "benchmark"),
+                               alone=decontaminate.ALONE)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
