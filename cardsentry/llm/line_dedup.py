@@ -4,7 +4,8 @@ A line is cut into ``edits`` + 1 segments. If two lines are within ``edits`` edi
 holds a segment of the other unchanged, at a place that the lengths and the segment's number
 confine to a few starts. So each different line puts its segments into an index by (length,
 number, text) and probes the indexes of its own length and of those up to ``edits`` shorter with
-the few substrings that can meet. Lines that meet are verified by a banded bit-parallel edit
+the few substrings that can meet. Lines that meet, and whose letters by remainder of their code
+points differ by no more than the edits allow, are verified by a banded bit-parallel edit
 distance, unless they are connected already (``components.link_lists``).
 
 Only hashes move in the search: each task combines equal lines and sends 64-bit keys in packed
@@ -210,13 +211,29 @@ def _lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             .dropDuplicates(["id"]))
 
 
+def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many letters of a line fall to each of 32 remainders of their code points."""
+    for batch in batches:
+        codes = (np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") & 31
+                 for x in batch.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([np.bincount(x, minlength=32).astype(np.int32) for x in codes],
+                                       pa.list_(pa.int32()))], ["id", "letters"])
+
+
 def classes(spark: SparkSession, docs: DataFrame, *, edits: int = 2, least: int = 5) -> DataFrame:
     """line (a hash), label: the class of each line that is like another, different line."""
     lists = written(meetings(docs, edits, least), new_folder(spark, "lists"))
     texts = written(_lines(docs, lists.select("id").distinct(), least), new_folder(spark, "lines"))
 
+    lists = lists.join(texts.mapInArrow(_letters, "id long, letters array<int>"), "id")
+
     def narrow(met: DataFrame, full: bool) -> DataFrame:
-        return met.filter(F.abs(F.col("size") - F.col("b_size")) <= edits)
+        # An edit changes two of the sums of letters by one.
+        apart = F.aggregate(F.zip_with("letters", "b_letters", lambda x, y: F.abs(x - y)), F.lit(0),
+                            lambda x, y: x + y)
+        return met.filter(F.when(F.abs(F.col("size") - F.col("b_size")) <= edits, apart <= 2 * edits)
+                          .otherwise(False))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
