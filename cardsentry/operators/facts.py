@@ -26,6 +26,8 @@ from cardsentry.schema import AMOUNT_ANOMALY, CARD_TESTING, VELOCITY
 
 # Cards with more rows than this take the way of ``crowded`` in the jobs over whole histories.
 HOT_ROWS = 1_000_000
+# Rows of whole cards that one task takes, as far as ``card_parts`` can say.
+ROWS_PER_TASK = 100_000
 
 # Kinds of rows in a window; memory and own ones are named in ``crowded``.
 CONTEXT = 1
@@ -56,6 +58,17 @@ def hot_cards(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             .filter(F.col("_rows") > hot_rows).select("card_id"))
 
 
+def card_parts(rows: DataFrame) -> int | None:
+    """Partitions by card that leave about ``ROWS_PER_TASK`` rows to each, None for a small table.
+
+    Every row is sorted several times in the task of its card, at some ten times the bytes it has
+    in the shuffle, so sizes in bytes make tasks too large. ``rows`` are counted: give a table or a
+    selection of its columns, whose footers know the number.
+    """
+    parts = -(-rows.count() // ROWS_PER_TASK)
+    return max(parts, rows.sparkSession.sparkContext.defaultParallelism) if parts > 1 else None
+
+
 _REMEMBERED = ("card_id", "transaction_id", "event_ms", "amount_minor", "country_code")
 
 
@@ -91,7 +104,7 @@ class OwnFact:
 
 
 def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
-               memory: DataFrame | None = None, own: Sequence[OwnFact] = ()) -> DataFrame:
+               parts: int | None = None, memory: DataFrame | None = None, own: Sequence[OwnFact] = ()) -> DataFrame:
     """``rows`` with the per-card facts of every rule, thresholds not yet applied.
 
     Adds velocity_count (this row and the earlier ones inside the velocity window),
@@ -102,7 +115,8 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
 
     Order within a card is (event_ms, transaction_id). Ids are expected to be unique.
     With ``hot_rows`` rows are counted per card first, and cards above it take the way of
-    ``crowded``; without it every card is scored in one piece. With a boolean column ``is_late``
+    ``crowded``; without it every card is scored in one piece. ``parts`` is the number of partitions
+    by card (see ``card_parts``), else the session's. With a boolean column ``is_late``
     in ``rows``, late rows take no part in card testing. ``own`` adds facts of other rules, in the
     same exchange.
     """
@@ -112,12 +126,12 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
         marked = marked.withColumn(f"_v_{fact.name}", F.expr(
             f"if(_real, coalesce(CAST({fact.value} AS BIGINT), 0), 0)"))
     if hot_rows is None:
-        return _windows(marked, rules, columns, streaming, own)
+        return _windows(_dealt(marked, parts), rules, columns, streaming, own)
     hot = hot_cards(marked.filter("_real"), hot_rows).withColumn("_hot", F.lit(True))
     # There are at most rows / hot_rows such ids, so they go to the rows: a shuffle by card would
     # bring a hot card into one task before it is known as one.
     told = marked.join(F.broadcast(hot), "card_id", "left")
-    calm = _windows(told.filter("_hot IS NULL"), rules, columns, streaming, own)
+    calm = _windows(_dealt(told.filter("_hot IS NULL"), parts), rules, columns, streaming, own)
     testing = rules[CARD_TESTING]
     return calm.unionByName(crowded_facts(
         told.filter("_hot"), columns, look_back=look_back_ms(rules, own),
@@ -126,6 +140,11 @@ def card_facts(rows: DataFrame, rules: RuleSet, *, hot_rows: int | None = None,
         forget_ms=forget_ms(rules), own=[(f.name, f.window_ms) for f in own]))
 
 
+def _dealt(rows: DataFrame, parts: int | None) -> DataFrame:
+    """The exchange that the windows need anyway, with its number of partitions."""
+    return rows if parts is None else rows.repartition(parts, "card_id")
+
+
 def _marked(prepared: DataFrame, rules: RuleSet, knows_late: bool) -> DataFrame:
     """Rows with their marks: real ones, small and large payments."""
     testing = rules[CARD_TESTING]

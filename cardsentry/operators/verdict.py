@@ -175,15 +175,15 @@ def with_verdict(measures: DataFrame, rules: RuleSet, *, dedupe_hits: bool = Fal
 
 
 def score_transactions(transactions: DataFrame, rules: RuleSet, *, model: Model = logistic_risk,
-                       hot_rows: int | None = None, memory: DataFrame | None = None,
-                       dedupe_hits: bool = False,
+                       hot_rows: int | None = None, parts: int | None = None,
+                       memory: DataFrame | None = None, dedupe_hits: bool = False,
                        row_rules: Sequence[RowRule] = ROW_RULES) -> DataFrame:
     """One scored row per transaction: its columns, score, hits and scored_at.
 
     One exchange on the card, whatever the number of rules. Facts and measures are
     left in the result; ``scored_only`` drops them.
     """
-    facts = card_facts(transactions, rules, hot_rows=hot_rows, memory=memory,
+    facts = card_facts(transactions, rules, hot_rows=hot_rows, parts=parts, memory=memory,
                        own=own_facts(rules, row_rules))
     verdict = with_verdict(with_measures(facts, model), rules, dedupe_hits=dedupe_hits,
                            row_rules=row_rules)

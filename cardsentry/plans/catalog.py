@@ -13,7 +13,7 @@ from cardsentry.functions.risk import logistic_risk
 from cardsentry.functions.wire import transaction_json
 from cardsentry.operators import alerts as A, feedback, merge, quality, rollup, rules as R
 from cardsentry.operators.asof import rules_in_force
-from cardsentry.operators.facts import HOT_ROWS, OwnFact, card_facts
+from cardsentry.operators.facts import HOT_ROWS, OwnFact, card_facts, card_parts
 from cardsentry.operators.verdict import (
     ROW_RULES, RowRule, hit_rows, hits_per_rule, score_transactions, scored_only, with_measures)
 from cardsentry.schema import (
@@ -66,7 +66,7 @@ def _scored(spark: SparkSession, sf_dir: str, burst: bool = True, **options) ->
     """Scored sample rows with a repeatable scored_at."""
     rows = sample_transactions(spark, sf_dir, burst, keep=("event_id",)).withColumn("scored_at", _scored_at())
     rules = R.default_rules() if burst else _natural_rules()
-    return scored_only(score_transactions(rows, rules, **options))
+    return scored_only(score_transactions(rows, rules, parts=card_parts(rows), **options))
 
 
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,8 +125,8 @@ def dedupe_transactions(spark, sf_dir):
 
 def _facts(spark: SparkSession, sf_dir: str, burst: bool, rules: R.RuleSet,
            hot_rows: int | None) -> DataFrame:
-    facts = with_measures(card_facts(sample_transactions(spark, sf_dir, burst), rules,
-                                     hot_rows=hot_rows))
+    rows = sample_transactions(spark, sf_dir, burst)
+    facts = with_measures(card_facts(rows, rules, hot_rows=hot_rows, parts=card_parts(rows)))
     return facts.select(
         "transaction_id", "velocity_count", "prior_count",
         F.col("prior_total").cast("bigint").alias("prior_total"), "prev_country", "gap_ms",
@@ -247,7 +247,7 @@ def score_disabled_rules(spark, sf_dir):
     """Verdicts while three of the rules are switched off."""
     rules = {k: dataclasses.replace(r, enabled=k not in DISABLED) for k, r in R.default_rules().items()}
     rows = sample_transactions(spark, sf_dir)
-    return _verdict_view(scored_only(score_transactions(rows, rules)))
+    return _verdict_view(scored_only(score_transactions(rows, rules, parts=card_parts(rows))))
 
 
 SMALL_AMOUNTS = RowRule(
@@ -261,8 +261,9 @@ SMALL_AMOUNTS = RowRule(
 def score_own_rule(spark, sf_dir):
     """Verdicts with a sixth rule, which counts the small payments of a card in three minutes."""
     rule = R.Rule("small_amounts", 1, True, 41, {"windowSeconds": 180.0, "maxSmall": 1.0})
+    rows = sample_transactions(spark, sf_dir)
     return _verdict_view(scored_only(score_transactions(
-        sample_transactions(spark, sf_dir), {**R.default_rules(), rule.rule_id: rule},
+        rows, {**R.default_rules(), rule.rule_id: rule}, parts=card_parts(rows),
         row_rules=(*ROW_RULES, SMALL_AMOUNTS))))
 
 
@@ -271,7 +272,8 @@ def score_own_model(spark, sf_dir):
     """Verdicts with another linear model in the place of the built-in one."""
     model = LinearRisk(-2.5, {"odd_hour": 1.5, "no_device": 0.75, "log_amount": 0.25})
     rows = sample_transactions(spark, sf_dir, burst=False)
-    return _verdict_view(scored_only(score_transactions(rows, R.default_rules(), model=model)))
+    return _verdict_view(scored_only(score_transactions(
+        rows, R.default_rules(), model=model, parts=card_parts(rows))))
 
 
 @_query("score_deduped_hits")
@@ -355,7 +357,7 @@ def alerts_rescored(spark, sf_dir):
     def scored(rules, hours: int) -> DataFrame:
         rows = sample_transactions(spark, sf_dir, keep=("event_id",)).withColumn(
             "scored_at", _scored_at() + F.expr(f"INTERVAL {hours} HOURS"))
-        return scored_only(score_transactions(rows, rules))
+        return scored_only(score_transactions(rows, rules, parts=card_parts(rows)))
 
     table = DayTable(spark, new_folder(spark, "alerts"))
     jobs.replace_alerts(table, scored(R.default_rules(), 0), F.col("scored_at"))

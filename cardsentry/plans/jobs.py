@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cardsentry.functions.risk import Model, logistic_risk
 from cardsentry.operators import quality
 from cardsentry.operators.alerts import flat_alerts
-from cardsentry.operators.facts import HOT_ROWS
+from cardsentry.operators.facts import HOT_ROWS, card_parts
 from cardsentry.operators.feedback import retune
 from cardsentry.operators.rollup import daily_card_agg
 from cardsentry.operators.rules import (
@@ -63,9 +63,9 @@ def score_all(spark: SparkSession, root: str, *, model: Model = logistic_risk,
     """Scores all landed transactions into ``scored`` by day, and the alerts among them."""
     transactions = landed_transactions(spark, root)
     transactions.write.mode("overwrite").parquet(f"{root}/transactions")
+    rows = read_table(spark, f"{root}/transactions")
     verdict = scored_only(score_transactions(
-        read_table(spark, f"{root}/transactions"), current_rules(spark, root),
-        model=model, hot_rows=hot_rows))
+        rows, current_rules(spark, root), model=model, hot_rows=hot_rows, parts=card_parts(rows)))
     overwrite_days(verdict.withColumn("event_date", event_date()),
                    f"{root}/scored", "event_date", "card_id", "event_ms")
     scored = read_table(spark, f"{root}/scored")

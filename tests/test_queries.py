@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from cardsentry.operators import facts
 from cardsentry.plans import catalog, oracle
 from cardsentry.operators.alerts import flat_alerts
 from cardsentry.operators.rules import default_rules
@@ -58,3 +59,16 @@ def test_unused_columns_are_not_read(spark):
 def test_no_query_multiplies_rows(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_tasks_of_cards_do_not_grow_with_the_table(spark, con, monkeypatch):
+    """Whole cards are dealt to more tasks, and the rows stay what they are."""
+    plan = _plan(QUERIES["alerts_upsert"](spark, SF))
+    assert "REPARTITION_BY_NUM" not in plan  # a small table is left to the session
+    monkeypatch.setattr(facts, "ROWS_PER_TASK", 20)
+    rows = QUERIES["alerts_upsert"](spark, SF)
+    plan = _plan(rows)
+    parts = -(-sample_transactions(spark, SF).count() // 20)
+    assert parts > 20 and "hashpartitioning(card_id" in plan and f", {parts}), REPARTITION_BY_NUM" in plan
+    assert "ENSURE_REQUIREMENTS" not in plan.split("REPARTITION_BY_NUM")[0].split("Window")[-1]
+    assert compare.difference(rows, con, ORACLE["alerts_upsert"]) is None
