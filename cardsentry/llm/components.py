@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.session import drop_folder, new_folder, written
@@ -62,11 +62,27 @@ def connected(links: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
-def _round_of_leaders(labelled: DataFrame, waiting: DataFrame, number: int) -> DataFrame:
-    """Each list's ids against a few of its own, drawn anew for every round."""
+def _round_of_leaders(labelled: DataFrame, waiting: DataFrame, number: int,
+                      hub: str | None) -> DataFrame:
+    """Each list's ids against a few of its own, drawn anew for every round.
+
+    With ``hub`` one leader is the id where it is largest, others are that of a random quarter of
+    the ids; after the first round every other leader is from outside the largest component.
+    """
     entry = F.struct(*labelled.columns)
-    drawn = (F.min(F.struct(F.xxhash64("id", F.lit(number * LEADERS + k)).alias("order"),
-                            entry.alias("entry")))["entry"] for k in range(LEADERS))
+
+    def drawn(k: int) -> Column:
+        mixed = F.xxhash64("id", F.lit(number * LEADERS + k))
+        if hub is None:
+            return F.min(F.struct(mixed.alias("order"), entry.alias("entry")))["entry"]
+        outside = F.when(F.col("label") != F.col("main"), 0).otherwise(1) \
+            if number and k % 2 == 0 else F.lit(0)
+        within = F.pmod(mixed, F.lit(4)) if number or k else F.lit(0)
+        return F.min(F.struct(outside.alias("outside"), F.when(within == 0, 0).otherwise(1).alias("within"),
+                              (-F.col(hub)).alias("hub"), mixed.alias("order"),
+                              entry.alias("entry")))["entry"]
+
+    drawn = [drawn(k) for k in range(LEADERS)]
     chosen = waiting.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("drawn")).select(
         F.explode("drawn").alias("b"))
     chosen = chosen.select(*(F.col(f"b.{c}").alias(f"b_{c}") for c in labelled.columns))
@@ -97,7 +113,8 @@ def _first_meetings(waiting: DataFrame, columns: list[str], order: str) -> DataF
 
 def link_lists(spark: SparkSession, lists: DataFrame,
                narrow: Callable[[DataFrame, bool], DataFrame],
-               verified: Callable[[DataFrame], DataFrame], order: str = "token") -> DataFrame:
+               verified: Callable[[DataFrame], DataFrame], order: str = "token",
+               hub: str | None = None) -> DataFrame:
     """node, label: connected components of ids that meet in a list and are verified to link.
 
     ``lists`` has token, id and what ``narrow`` needs; two ids that link share a token. Lists
@@ -126,7 +143,7 @@ def link_lists(spark: SparkSession, lists: DataFrame,
         if waiting.isEmpty():
             return labels
         met = _first_meetings(waiting, labelled.columns, order) if last \
-            else _round_of_leaders(labelled, waiting, number)
+            else _round_of_leaders(labelled, waiting, number, hub)
         met = narrow(met, last)
         if last:  # after the cheaper filters
             met = met.filter(~F.arrays_overlap("recent", "b_recent"))

@@ -246,20 +246,26 @@ def _frequencies(sets: DataFrame, parts: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """token, set_id, size, place: the shared shingles in the rare-first prefix of each set."""
+    """token, set_id, size, place, common: the shared shingles in the rare-first prefix of each set.
+
+    ``common`` grows with the number of sets that have the set's shingles: the text that the copies
+    of a group were made from has the largest, a copy with many changes a small one.
+    """
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = sets.select("set_id", "hashes", F.pmod(
         F.xxhash64("set_id"), F.lit(blocks)).alias("block"))
 
+    names = ("token", "set_id", "size", "place", "common")
+
     def order(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
-            return pd.DataFrame({c: [] for c in ("token", "set_id", "size", "place")})
+            return pd.DataFrame({c: [] for c in names})
         rows, values, inverse, _, order, bounds = _unique(rows, parts)
         total = np.empty(len(values), np.int64)
         for p, raw in zip(found["part"], found["counts"]):
             total[order[bounds[p]:bounds[p + 1]]] = np.frombuffer(raw, "<u4")
-        columns = [[], [], [], []]
-        end = 0
+        columns = [[], [], [], [], []]
+        end, weight = 0, np.rint(1024 * np.log2(total)).astype(np.int64)
         for set_id, hashes in zip(rows["set_id"], rows["hashes"]):
             end += len(hashes)
             mine = inverse[end - len(hashes):end]
@@ -268,13 +274,13 @@ def prefixes(sets: DataFrame, percent: int, blocks: int) -> DataFrame:
             place = np.flatnonzero(total[ranked] > 1)
             for column, value in zip(columns, (values[ranked[place]].view(np.int64),
                                                np.full(len(place), set_id),
-                                               np.full(len(place), len(mine)), place)):
+                                               np.full(len(place), len(mine)), place,
+                                               np.full(len(place), weight[mine].sum()))):
                 column.append(value)
-        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(
-            ("token", "set_id", "size", "place"), columns)})
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, columns)})
 
     return (placed.groupBy("block").cogroup(_frequencies(placed, parts).groupBy("block"))
-            .applyInPandas(order, "token long, set_id long, size long, place long"))
+            .applyInPandas(order, "token long, set_id long, size long, place long, common long"))
 
 
 def _may_link(percent: int, shared: Column) -> Column:
@@ -322,7 +328,7 @@ def linked(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
                           & ((100 + percent) * small["place"] <= (100 - percent) * small["size"]))
 
     return link_lists(spark, lists, narrow, lambda pairs: _verified(pairs, sets, percent),
-                      order="place").select(F.col("node").alias("set_id"), "label")
+                      order="place", hub="common").select(F.col("node").alias("set_id"), "label")
 
 
 def components(spark: SparkSession, docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
