@@ -38,8 +38,8 @@ from cardsentry.session import new_folder, written
 SHARD_BYTES = 2 << 20
 DEPTH = 3
 FILTER_BITS = 26
-_ROWS = 1 << 16  # phrases in a batch
 _HELD = 1 << 21  # hashes that a task adds up before it passes them on
+_HELD_TEXTS = 40 << 20  # bytes of phrases, likewise
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PACK = 21  # bits of a place, a symbol and a rank in one sort key
 
@@ -71,6 +71,17 @@ def _firsts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _planes(values: np.ndarray, kind: str = "<u4") -> bytes:
+    """Unsigned values with their bytes of one rank side by side, compressed."""
+    flat = np.ascontiguousarray(values, kind)
+    return zstandard.ZstdCompressor().compress(flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes())
+
+
+def _unplaned(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def transform(symbols: np.ndarray, depth: int) -> np.ndarray:
     """The symbol before each suffix, suffixes sorted by their first ``depth`` symbols; the text
     is circular and starts and ends with 0."""
@@ -105,8 +116,8 @@ def shard(lang: str, texts: list[bytes], depth: int = DEPTH) -> dict:
     symbols = symbols[np.append(True, (symbols[1:] != 0) | (symbols[:-1] != 0))]
     pack = zstandard.ZstdCompressor().compress  # rows travel through Arrow buffers
     return {"lang": lang, "n_words": int((symbols > 0).sum()), "words": pack(b" ".join(words)),
-            "forward": pack(transform(symbols, depth).astype("<u4").tobytes()),
-            "backward": pack(transform(symbols[::-1], depth).astype("<u4").tobytes())}
+            "forward": _planes(transform(symbols, depth)),
+            "backward": _planes(transform(symbols[::-1], depth))}
 
 
 def build(spark: SparkSession, docs: DataFrame, *, depth: int = DEPTH) -> DataFrame:
@@ -156,8 +167,8 @@ class Shard:
         unpack = zstandard.ZstdDecompressor().decompress
         words = unpack(row["words"])
         self.words = pa.array(words.decode().split(" ") if words else [], pa.string())
-        self.forward = np.frombuffer(unpack(row["forward"]), "<i4")
-        self.backward = np.frombuffer(unpack(row["backward"]), "<i4")
+        self.forward = _unplaned(row["forward"], "<i4")
+        self.backward = _unplaned(row["backward"], "<i4")
         counts = np.bincount(self.forward, minlength=len(self.words) + 1)
         self.starts = np.cumsum(counts) - counts
         self.word_hashes = None
@@ -206,23 +217,17 @@ class Shard:
         return pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
 
     @staticmethod
-    def _within(sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
-        return pa.array((sums[start + size] - sums[start]).astype(np.int64))
+    def _within(sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return (sums[start + size] - sums[start]).astype(np.int64)
 
-    def rows(self, lang: str, phrases: Intervals, edges: bool) -> Iterator[pa.RecordBatch]:
-        """Phrases after their language with their counts, and with ``edges`` how many
-        occurrences have a word before and behind."""
-        for at in range(0, len(phrases.size), _ROWS):
-            part = phrases.chosen(slice(at, at + _ROWS))
-            columns = [pc.binary_join_element_wise(lang, self.texts(part), "\n"), pa.array(part.size)]
-            if edges:
-                columns += [self._within(self.before, part.forward, part.size),
-                            self._within(self.behind, part.backward, part.size)]
-            yield pa.RecordBatch.from_arrays(columns, _NAMES[:len(columns)])
+    def rows(self, phrases: Intervals, edges: bool) -> list[np.ndarray]:
+        """The counts of phrases, and with ``edges`` how many occurrences have a word before and
+        behind."""
+        return [phrases.size] + edges * [self._within(self.before, phrases.forward, phrases.size),
+                                         self._within(self.behind, phrases.backward, phrases.size)]
 
 
-# A line break stands between a language and a phrase: no word holds one.
-_NAMES = ("key", "n", "n_before", "n_behind")
+_NAMES = ("n", "n_before", "n_behind")
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
@@ -241,16 +246,6 @@ def _summed(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes[at], np.add.reduceat(n[order], at) if len(at) else n
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """32-bit values with their bytes of one rank side by side, compressed."""
-    return zstandard.ZstdCompressor().compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-
-
-def _unplaned(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
-
-
 _PACKED = pa.schema([("part", pa.int32()), ("steps", pa.binary()), ("counts", pa.binary())])
 
 
@@ -266,6 +261,56 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordB
          pa.array([_planes(n[lo:hi]) for _, lo, hi in full], pa.binary())], schema=_PACKED)
 
 
+class _Texts:
+    """Phrases of languages and their counts, added up, as rows of a few bytes a phrase.
+
+    A row has the phrases of one language and part, ascending, and their sums.
+    """
+
+    def __init__(self, sums: tuple[str, ...]):
+        self.sums, self.held, self.size = sums, {}, 0
+        self.schema = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("phrases", pa.binary()),
+                                 *((c, pa.binary()) for c in sums)])
+        self.ddl = "part int, lang string, phrases binary, " + ", ".join(f"{c} binary" for c in sums)
+
+    def add(self, lang: str, part: np.ndarray | int, texts: pa.Array, counted: list[np.ndarray]) -> None:
+        part = np.broadcast_to(np.asarray(part, np.int32), len(texts))
+        self.held.setdefault(lang, []).append(
+            pa.table([pa.array(part), texts, *counted], names=["part", "phrase", *self.sums]))
+        self.size += texts.nbytes
+
+    def summed(self) -> Iterator[tuple[str, pa.Table]]:
+        """phrase, part and sums of each language; nothing is held any more."""
+        for lang in list(self.held):
+            yield lang, pa.concat_tables(self.held.pop(lang)).group_by("phrase", use_threads=False).aggregate(
+                [("part", "min"), *((c, "sum") for c in self.sums)]).rename_columns(["phrase", "part", *self.sums])
+            pa.default_memory_pool().release_unused()
+        self.size = 0
+
+    def packed(self) -> Iterator[pa.RecordBatch]:
+        for lang, table in self.summed():
+            order = pc.sort_indices(table["phrase"]).to_numpy()
+            order = order[np.argsort(table["part"].to_numpy()[order], kind="stable")]
+            part = table["part"].to_numpy()[order]
+            at = _firsts(part)
+            ends = np.append(at, len(part))
+            phrases = table["phrase"].take(pa.array(order)).combine_chunks()
+            texts = pc.binary_join(pa.LargeListArray.from_arrays(ends, phrases), "\n")  # no phrase holds a line break
+            pack = zstandard.ZstdCompressor().compress
+            counted = [[_planes(n[lo:hi], "<u8") for lo, hi in zip(at, ends[1:])]
+                       for n in (table[c].to_numpy()[order] for c in self.sums)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[at], pa.int32()), pa.array([lang] * len(at), pa.string()),
+                 pa.array([pack(x.as_buffer()) for x in texts], pa.binary()),
+                 *(pa.array(x, pa.binary()) for x in counted)], schema=self.schema)
+
+    def unpacked(self, rows: pa.Table) -> None:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for row in rows.to_pylist():
+            texts = pa.array(unpack(row["phrases"]).decode().split("\n"), pa.string())
+            self.add(row["lang"], row["part"], texts, [_unplaned(row[c], "<i8") for c in self.sums])
+
+
 def _filter(hashes: DataFrame) -> bytes:
     """A bitmap of 2 ** FILTER_BITS bits over the upper bits of hashes, whatever their number."""
     place = F.shiftrightunsigned("hash", 32 - FILTER_BITS).cast("long") + 1
@@ -335,21 +380,37 @@ def counts(spark: SparkSession, index: DataFrame, *, least: int, edges: bool = F
 
     more = hashed(long)
 
+    sums = _NAMES if edges else _NAMES[:1]
+    ddl = _Texts(sums).ddl
+
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = _Texts(sums)
         for lang, opened in _opened(batches):
             for bits, found in ((few, short), (more, long)):
                 for phrases in found(lang, opened):
-                    yield from opened.rows(lang, frequent(bits, lang, opened, phrases), edges)
-
-    sums = _NAMES[1:] if edges else _NAMES[1:2]
-    ddl = "key string, " + ", ".join(f"{c} long" for c in sums)
-    summed = index.mapInArrow(spelled, ddl).groupBy("key").agg(
-        *(F.sum(c).alias(c) for c in sums)).filter(F.col("n") >= least)
-    phrase = F.substring_index("key", "\n", -1)
-    named = summed.select(
-        F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"),
-        phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), *sums)
-    return written(named, new_folder(spark, "phrases"))
+                    often = frequent(bits, lang, opened, phrases)
+                    part = opened.hashes(lang, often).astype(np.uint64) * np.uint64(parts) >> np.uint64(32)
+                    texts.add(lang, part, opened.texts(often), opened.rows(often, edges))
+            if texts.size >= _HELD_TEXTS:
+                yield from texts.packed()
+        yield from texts.packed()
+
+    def named(rows: pa.Table) -> pa.Table:
+        texts = _Texts(sums)
+        texts.unpacked(rows)
+        found = [pa.table([pa.array([lang] * len(some), pa.string()), some["phrase"],
+                           pc.cast(pc.add(pc.count_substring(some["phrase"], " "), 1), pa.int32()),
+                           *(some[c] for c in sums)], schema=out)
+                 for lang, table in texts.summed()
+                 for some in [table.filter(pc.greater_equal(table["n"], least))]]
+        return pa.concat_tables(found)
+
+    out = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()),
+                     *((c, pa.int64()) for c in sums)])
+    # Sorted, a phrase and its sums take a third of the place that a row of both takes in a shuffle.
+    summed = index.mapInArrow(spelled, ddl).groupBy("part").applyInArrow(
+        named, "lang string, phrase string, size int, " + ", ".join(f"{c} long" for c in sums))
+    return written(summed, new_folder(spark, "phrases"))
 
 
 def collocations(spark: SparkSession, index: DataFrame, *, least: int, share: int,
