@@ -33,18 +33,25 @@ _ROWS = 512  # rows that a task holds as Python objects at once
 _WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # control byte: 4 widths
 _STARTS = np.cumsum(_WIDTHS, axis=1) - _WIDTHS
 _TOTALS = _WIDTHS.sum(axis=1)
-_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
     values = np.ascontiguousarray(values, "<u4")
-    widths = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < widths[:, None]]
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[:len(values)] = widths - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1)
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    more = codes[:len(values)]  # bytes of a value beyond its first
+    for most in (0xFF, 0xFFFF, 0xFFFFFF):
+        more += values > most
+    ends = np.cumsum(more, dtype=np.int64) + np.arange(1, len(values) + 1)
+    starts = ends - more - 1
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[starts] = values.astype(np.uint8)
+    for k in range(1, int(more.max(initial=0)) + 1):
+        wide = np.flatnonzero(more >= k)
+        data[starts[wide] + k] = (values[wide] >> np.uint32(8 * k)).astype(np.uint8)
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    return control.tobytes(), data.tobytes()
 
 
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -52,11 +59,13 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     codes = np.frombuffer(control, np.uint8)
     totals = _TOTALS[codes]
     starts = ((np.cumsum(totals) - totals)[:, None] + _STARTS[codes]).ravel()[:n]
-    padded = np.frombuffer(data + b"\0\0\0", np.uint8)
-    values = np.zeros(n, np.uint32)
-    for k in range(4):
-        values |= padded[starts + k].astype(np.uint32) << np.uint32(8 * k)
-    return values & _MASKS[_WIDTHS[codes].ravel()[:n]]
+    widths = _WIDTHS[codes].ravel()[:n]
+    raw = np.frombuffer(data, np.uint8)
+    values = raw[starts].astype(np.uint32)
+    for k in range(1, int(widths.max(initial=1))):
+        wide = np.flatnonzero(widths > k)
+        values[wide] |= raw[starts[wide] + k].astype(np.uint32) << np.uint32(8 * k)
+    return values
 
 
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
@@ -81,6 +90,16 @@ def _width(vocabulary_size: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary_size <= 65536 else np.dtype("<u4")
 
 
+def _joined(ids: pa.Array, dtype: np.dtype) -> np.ndarray:
+    """The ids of all documents of an array, one after another; no value is null."""
+    if not len(ids):
+        return np.empty(0, dtype)
+    ids = ids.cast(pa.large_binary())
+    _, ends, data = ids.buffers()
+    ends = np.frombuffer(ends, "<i8")[ids.offset:ids.offset + len(ids) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]].view(dtype)
+
+
 def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs in all documents; its length is bounded by the vocabulary."""
     dtype = _width(size)
@@ -88,8 +107,9 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=size)
+            ids = _joined(batch.column(0), dtype)
+            for at in range(0, len(ids), BLOCK_IDS):
+                total += np.bincount(ids[at:at + BLOCK_IDS], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
@@ -188,7 +208,7 @@ def read_documents(spark: SparkSession, folder: str, *, keep_ids: bool = False)
     blocks = spark.read.schema(_BLOCK_DDL).parquet(f"{folder}/blocks")
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each file
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    placed = blocks.join(parts, "part").select(
+    placed = blocks.join(F.broadcast(parts), "part").select(
         (F.col("base") + F.col("before")).alias("start"), "n_ids", "doc_ids", "lengths", "control",
         "data")
     ddl = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
