@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.llm.tokens import unit_ids
-from cardsentry.session import drop_folder, new_folder, written
+from cardsentry.session import kept
 
 BLOCK_IDS = 1 << 18
 _ROWS = 512  # rows that a task holds as Python objects at once
@@ -166,8 +166,7 @@ def write_ids(spark: SparkSession, docs: DataFrame, folder: str, *, vocabulary:
     """
     size = unit_ids(vocabulary).tokenizer.get_vocab_size()
     dtype = _width(size)
-    held = new_folder(spark, "ids")
-    tokens = written(tokenize(docs, vocabulary, end_id), held)
+    tokens = kept(tokenize(docs, vocabulary, end_id))
     counts = count_ids(tokens, size)
     order = np.lexsort((np.arange(size), -counts))
     ranks = np.empty(size, np.uint32)
@@ -178,7 +177,7 @@ def write_ids(spark: SparkSession, docs: DataFrame, folder: str, *, vocabulary:
      .select("doc_id", "ids", F.spark_partition_id().cast("long").alias("part"))
      .mapInArrow(_pack(ranks, dtype), _BLOCK_DDL)
      .write.option("compression", "zstd").parquet(f"{folder}/blocks"))
-    drop_folder(spark, held)
+    tokens.unpersist()
 
 
 def read_documents(spark: SparkSession, folder: str, *, keep_ids: bool = False) -> DataFrame:
