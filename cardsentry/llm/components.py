@@ -17,6 +17,7 @@ from cardsentry.session import drop_folder, new_folder, written
 ROUNDS = 2  # rounds with leaders before the ids of a list meet in full
 LEADERS = 4  # of a list and round
 RECENT = 16  # tokens before a meeting that are looked at for an earlier one
+FILE_ROWS = 100_000  # of links, for each file at least, once every core has one
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -52,11 +53,13 @@ def connected(links: DataFrame) -> DataFrame:
     turned = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     folder = new_folder(spark, "components")
     now = written(turned.distinct(), folder)
+    # A star never has more links than it was made from.
+    parts = max(spark.sparkContext.defaultParallelism, -(-now.count() // FILE_ROWS))
     while not _is_settled(now):
         large = _star(_both_ways(now), True)
         down = large.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
         before, folder = folder, new_folder(spark, "components")
-        now = written(_star(down, False), folder)
+        now = written(_star(down, False).coalesce(parts), folder)
         drop_folder(spark, before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
@@ -130,10 +133,13 @@ def link_lists(spark: SparkSession, lists: DataFrame,
     lists = written(lists, new_folder(spark, "lists"))
     labels = spark.createDataFrame([], "node long, label long")
     for number in range(ROUNDS + 1):
-        labelled = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-            *lists.columns, F.coalesce("label", "id").alias("label"))
         folders = new_folder(spark, "lists"), new_folder(spark, "lists")
-        labelled = written(labelled, folders[0])
+        if not number:  # no id has a label yet, so the lists are not written a second time
+            labelled = lists.withColumn("label", F.col("id"))
+        else:
+            labelled = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+                *lists.columns, F.coalesce("label", "id").alias("label"))
+            labelled = written(labelled, folders[0])
         groups = labelled.groupBy("token", "label").agg(F.count("*").alias("n"))
         state = groups.groupBy("token").agg(
             F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("k")).filter(
